@@ -92,33 +92,43 @@ def _doublings(catalogue: DataFrame):
     raise ValueError("shard lineage has a cycle")
 
 
+def _extend(reached: DataFrame, hop: DataFrame) -> DataFrame:
+    """Add to each reached ancestor the ones a hop further."""
+    step = hop.select(
+        "streamName", F.col("shardId").alias("ancestorId"), F.col("ancestorId").alias("_next")
+    )
+    carried = [c for c in reached.columns if c != "ancestorId"]
+    return (
+        reached.join(step, ["streamName", "ancestorId"], "left")
+        .select(*carried, F.explode(F.array("ancestorId", "_next")).alias("ancestorId"))
+        .filter(F.col("ancestorId").isNotNull())
+        .distinct()
+    )
+
+
 def shard_ancestors(catalogue: DataFrame) -> DataFrame:
     """(shard, ancestor) pairs, the closure of :func:`shard_parents`.
 
-    Each round doubles the distance covered, so a chain of n shards takes
-    log2(n) rounds of two joins, not n.
+    Each hop doubles the distance, so a chain of n shards takes log2(n) rounds
+    and not n. Any distance is a sum of some hops, so one join per hop, starting
+    from each shard itself, reaches every ancestor.
     """
-    closure = None
+    itself = F.col("shardId").alias("ancestorId")
+    reached = shard_parents(catalogue).select(*SHARD_KEY, itself).distinct()
     for hop in _doublings(catalogue):
-        grown = hop if closure is None else closure.union(hop).union(_compose(closure, hop))
-        closure = materialise(grown.distinct(), "ancestors")
-    if closure is None:
-        return shard_parents(catalogue).withColumnRenamed("parentId", "ancestorId")
-    return closure
+        reached = _extend(reached, hop)
+    return reached.filter(F.col("ancestorId") != F.col("shardId"))
 
 
 def with_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
     """The given shards and all their listed ancestors, each once.
 
-    Keeps a set of shards, never the pairs, and also doubles its reach.
+    Keeps a set of shards, never the pairs.
     """
-    reached = shards.select(*SHARD_KEY).distinct()
+    reached = shards.select("streamName", F.col("shardId").alias("ancestorId")).distinct()
     for hop in _doublings(catalogue):
-        further = hop.join(reached, SHARD_KEY, "left_semi").select(
-            "streamName", F.col("ancestorId").alias("shardId")
-        )
-        reached = materialise(reached.union(further).distinct(), "reached")
-    return reached
+        reached = _extend(reached, hop)
+    return reached.withColumnRenamed("ancestorId", "shardId")
 
 
 def latest_positions(

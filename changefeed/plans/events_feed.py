@@ -18,7 +18,7 @@ from changefeed.schema import (
     event_schema,
 )
 from changefeed.sources.feed import envelope, shard_catalogue, shard_ranges
-from changefeed.sources.store import append_feed, read_feed
+from changefeed.sources.store import append_feed, read_feed, read_pages, stored_ranges
 from changefeed.storage import materialise, scratch_path
 
 STREAM = "events"
@@ -126,6 +126,7 @@ class Stored:
     """What a running engine keeps as tables."""
 
     feed_path: str
+    ranges: DataFrame
     catalogue: DataFrame
     positions: DataFrame
     log_path: str
@@ -152,8 +153,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
     if key not in _stored:
         path = scratch_path(spark, "feed")
         append_feed(feed(spark, sf_dir), path)
-        rows = read_feed(spark, path)
-        ranges = materialise(shard_ranges(rows), "ranges")
+        ranges = materialise(stored_ranges(read_pages(spark, path)), "ranges")
         last_day = ranges.select(F.max(shard_day())).scalar()
         catalogue = materialise(
             shard_catalogue(ranges, lineage_of(ranges, last_day)), "catalogue"
@@ -161,7 +161,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
         log_path = scratch_path(spark, "log")
         write_log(ranges, log_path)
         _stored[key] = Stored(
-            path, catalogue, materialise(mixed_positions(catalogue), "positions"), log_path
+            path, ranges, catalogue, materialise(mixed_positions(catalogue), "positions"), log_path
         )
     return _stored[key]
 

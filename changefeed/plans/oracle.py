@@ -119,6 +119,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_feed_scan": envelope,
         "shard_scan_counts": f"""
             WITH {_CATALOGUE} SELECT "shardId", "startSeq", "headSeq", records FROM ranges""",
+        "shard_ranges_from_pages": f"""
+            WITH {_CATALOGUE} SELECT "shardId", "startSeq", "headSeq", records FROM ranges""",
         "shard_read_from_position": f"""
             WITH {_FEED} {_KEYS} FROM feed WHERE seq > lpad('501', 21, '0')""",
         "shard_catalogue": f"""
@@ -184,6 +186,7 @@ def oracle_sql() -> dict[str, str]:
             WITH {_FEED} {_KEYS} FROM feed
             QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 110000""",
         "batch_slice": f"WITH {_SLICE} {_KEYS} FROM slice",
+        "batch_slice_pruned": f"WITH {_SLICE} {_KEYS} FROM slice",
         # Progress
         "next_positions": f"""
             WITH {_SLICE},

@@ -27,8 +27,14 @@ from changefeed.schema import (
     TRIM_HORIZON,
 )
 from changefeed.sources.feed import shard_catalogue, shard_ranges
-from changefeed.sources.store import append_feed, write_catalogue
-from changefeed.storage import scratch_path
+from changefeed.sources.store import (
+    append_feed,
+    read_pages,
+    stored_ranges,
+    stored_slice,
+    write_catalogue,
+)
+from changefeed.storage import materialise, scratch_path
 from changefeed.streaming.runner import read_stream, write_with_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +115,12 @@ def shard_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def shard_ranges_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_pages(spark, ef.stored(spark, sf_dir).feed_path)
+    return stored_ranges(pages).select("shardId", "startSeq", "headSeq", "records")
+
+
 @query
 def shard_read_from_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = "501".rjust(21, "0")
@@ -152,11 +164,12 @@ def arrival_timestamp_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def payload_text_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ef.feed(spark, sf_dir).select("sequenceNumber", payload_text("data").alias("payload"))
+    rows = ef.stored(spark, sf_dir).feed
+    return rows.select("sequenceNumber", payload_text("data").alias("payload"))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_event(ef.feed(spark, sf_dir), ef.EVENT)
+    return decode_event(ef.stored(spark, sf_dir).feed, ef.EVENT)
 
 
 @query
@@ -222,7 +235,7 @@ def position_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     waiting = heads.select(
         *SHARD_KEY, F.lit(LATEST).alias("iteratorType"), F.lit("").alias("iteratorPosition")
     )
-    pinned = positions.pin_latest(waiting, heads)
+    pinned = materialise(positions.pin_latest(waiting, heads), "pinned")
     return _keys(positions.apply_positions(s.feed, pinned))
 
 
@@ -295,6 +308,12 @@ def batch_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(limits.batch_slice(s.feed, s.positions, PAGE, CAP))
 
 
+@query
+def batch_slice_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ef.stored(spark, sf_dir)
+    return _keys(stored_slice(spark, s.feed_path, s.positions, PAGE, CAP))
+
+
 # Progress
 
 
@@ -426,8 +445,8 @@ def shard_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def open_parent_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ef.stored(spark, sf_dir).feed
-    ranges = shard_ranges(rows)
+    s = ef.stored(spark, sf_dir)
+    rows, ranges = s.feed, s.ranges
     last_day = ranges.select(F.max(ef.shard_day())).scalar()
     raced = ef.raced_catalogue(ranges, ef.lineage_of(ranges, last_day), rows)
     return lineage.open_parent_violations(raced).select("shardId")
@@ -453,7 +472,7 @@ def latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def position_log_add(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranges = shard_ranges(ef.stored(spark, sf_dir).feed)
+    ranges = ef.stored(spark, sf_dir).ranges
     place = scratch_path(spark, "added")
     ef.write_log(ranges, place)
     return position_log.log_read(spark, place).select(*LOG_COLUMNS)
@@ -468,7 +487,7 @@ def position_log_get(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def position_log_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "purged")
-    ef.write_log(shard_ranges(ef.stored(spark, sf_dir).feed), place)
+    ef.write_log(ef.stored(spark, sf_dir).ranges, place)
     position_log.log_purge(spark, place, 10)
     return position_log.log_read(spark, place).select(*LOG_COLUMNS)
 
@@ -476,7 +495,7 @@ def position_log_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def position_log_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "kept")
-    ef.write_log(shard_ranges(ef.stored(spark, sf_dir).feed), place)
+    ef.write_log(ef.stored(spark, sf_dir).ranges, place)
     current = position_log.log_batch_ids(spark, place)[-1]
     position_log.log_retain(spark, place, current, 12)
     return position_log.log_read(spark, place).select(*LOG_COLUMNS)

@@ -5,7 +5,8 @@
 ``<path>/pages``   per append and file: the pages (runs of records) of each shard
 ``<path>/shards``  the shard catalogue, a new version per write (optional)
 
-An append counts once its page listing is complete.
+An append counts once its page listing is complete. The listing answers what a
+shard holds, and what part of the feed a batch needs, without reading records.
 """
 
 from __future__ import annotations
@@ -13,15 +14,31 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from changefeed import storage
 from changefeed.functions.sequence import norm_seq
-from changefeed.schema import CATALOGUE, DEFAULT_CAP, ENVELOPE, SHARD_KEY
+from changefeed.operators.limits import batch_limit, cap_per_shard
+from changefeed.operators.positions import reached
+from changefeed.schema import (
+    AFTER_SEQUENCE_NUMBER,
+    AT_SEQUENCE_NUMBER,
+    AT_TIMESTAMP,
+    CATALOGUE,
+    DEFAULT_CAP,
+    DEFAULT_PAGE,
+    ENVELOPE,
+    LATEST,
+    SHARD_END,
+    SHARD_KEY,
+)
 
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 
-_STORED = T.StructType(
+# Partition column of both tables: which append the row came with.
+_APPEND = T.StructField("append", T.StringType())
+
+_FEED = T.StructType(
     [
         *ENVELOPE.fields,
         T.StructField("shardId", T.StringType()),
@@ -29,6 +46,19 @@ _STORED = T.StructType(
     ]
 )
 
+PAGES = T.StructType(
+    [
+        T.StructField("streamName", T.StringType()),
+        T.StructField("shardId", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("firstKey", T.StringType()),
+        T.StructField("lastKey", T.StringType()),
+        T.StructField("firstSeq", T.StringType()),
+        T.StructField("lastSeq", T.StringType()),
+        T.StructField("records", T.LongType()),
+    ]
+)
+
 
 def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -52,28 +82,37 @@ def append_feed(feed: DataFrame, path: str, page: int = DEFAULT_CAP) -> None:
     # Unlike the default type, this one has statistics that a filter on time can use.
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.parquet(data)
-    rows = spark.read.schema(_STORED).parquet(data).select(
+    _list_pages(spark, data, ticket, page).write.parquet(f"{path}/pages/append={ticket}")
+
+
+def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataFrame:
+    rows = spark.read.schema(_FEED).parquet(data).select(
         *SHARD_KEY,
         "sequenceNumber",
         "seqKey",
         F.concat(F.lit(f"append={ticket}/"), F.col("_metadata.file_name")).alias("file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    # A shard is one run of rows in a file, so its first row there numbers the rest.
-    firsts = storage.materialise(
-        rows.groupBy(*SHARD_KEY, "file").agg(F.min("_row").alias("_first")), "firsts"
+    # A shard is one run of sorted rows in a file, so its row numbers there place
+    # the page ends; only the rows at those ends are aggregated.
+    key = [*SHARD_KEY, "file"]
+    runs = storage.materialise(
+        rows.groupBy(*key).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last")), "runs"
     )
-    (
-        rows.join(firsts, [*SHARD_KEY, "file"])
-        .groupBy(*SHARD_KEY, "file", F.floor((F.col("_row") - F.col("_first")) / page))
+    at = F.col("_row") - F.col("_first")
+    ends = (at % page == 0) | (at % page == page - 1) | (F.col("_row") == F.col("_last"))
+    return (
+        rows.join(runs, key)
+        .filter(ends)
+        .groupBy(*key, F.floor(at / page))
         .agg(
             F.min("seqKey").alias("firstKey"),
             F.max("seqKey").alias("lastKey"),
+            F.min_by("sequenceNumber", "seqKey").alias("firstSeq"),
             F.max_by("sequenceNumber", "seqKey").alias("lastSeq"),
-            F.count(F.lit(1)).alias("records"),
+            (F.max("_row") - F.min("_row") + 1).alias("records"),
         )
-        .select(*SHARD_KEY, "file", "firstKey", "lastKey", "lastSeq", "records")
-        .write.parquet(f"{path}/pages/append={ticket}")
+        .select(*PAGES.names)
     )
 
 
@@ -84,15 +123,102 @@ def write_catalogue(catalogue: DataFrame, path: str) -> None:
     )
 
 
+def _complete(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Names of the complete subdirectories, oldest first."""
+    marks = storage.matching(spark, f"{path.rstrip('/')}/{kind}/*/_SUCCESS")
+    return sorted(mark.split("/")[-2] for mark in marks)
+
+
+def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
+    root = f"{path.rstrip('/')}/{kind}"
+    schema = T.StructType([*schema.fields, _APPEND])
+    appends = _complete(spark, path, "pages")
+    if not appends:
+        return spark.createDataFrame([], schema)
+    return (
+        spark.read.schema(schema)
+        .option("basePath", root)
+        .parquet(*[f"{root}/{name}" for name in appends])
+    )
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The stored records: envelope, ``shardId`` and ``seqKey`` (the padded number)."""
-    return spark.read.schema(_STORED).parquet(f"{path.rstrip('/')}/data")
+    """The stored records: envelope, ``shardId``, ``seqKey`` (the padded number), ``append``."""
+    return _read(spark, path, "data", _FEED)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The page listing, one row per run of records of a shard."""
+    return _read(spark, path, "pages", PAGES)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest stored shard listing, if there is one."""
-    root = f"{path.rstrip('/')}/shards"
-    done = [n for n in storage.child_names(spark, root) if storage.exists(spark, f"{root}/{n}/_SUCCESS")]
-    if not done:
+    versions = _complete(spark, path, "shards")
+    if not versions:
         return None
-    return spark.read.schema(CATALOGUE).parquet(f"{root}/{max(done)}")
+    return spark.read.schema(CATALOGUE).parquet(f"{path.rstrip('/')}/shards/{versions[-1]}")
+
+
+def stored_ranges(pages: DataFrame) -> DataFrame:
+    """What ``shard_ranges`` gives for the feed, from its page listing alone."""
+    return pages.groupBy(*SHARD_KEY).agg(
+        F.min_by("firstSeq", "firstKey").alias("startSeq"),
+        F.max_by("lastSeq", "lastKey").alias("headSeq"),
+        F.sum("records").alias("records"),
+    )
+
+
+def _by_sequence(kind: Column) -> Column:
+    return kind.isin(AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER)
+
+
+def _needed(pages: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
+    """Per append and shard: its position and the last key a batch can reach.
+
+    A page behind the position drops out. So does a page with ``limit`` records
+    between the position and its start; the page that holds the position counts
+    for none, and after a time any page may, so there all stay.
+    """
+    kind = F.col("iteratorType")
+    whole = (
+        Window.partitionBy(*SHARD_KEY).orderBy("firstKey").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counted = F.sum("records").over(whole) - F.first("records").over(whole)
+    return (
+        pages.join(positions.filter(~kind.isin(SHARD_END, LATEST)), SHARD_KEY)
+        .filter(~_by_sequence(kind) | (F.col("lastKey") >= norm_seq("iteratorPosition")))
+        .withColumn("_before", F.coalesce(counted, F.lit(0)))
+        .filter((kind == AT_TIMESTAMP) | (F.col("_before") < limit))
+        .groupBy("append", *SHARD_KEY, kind.alias("_kind"), F.col("iteratorPosition").alias("_from"))
+        .agg(F.max("lastKey").alias("_upto"))
+    )
+
+
+def stored_slice(
+    spark: SparkSession,
+    path: str,
+    positions: DataFrame,
+    page: int = DEFAULT_PAGE,
+    cap: int = DEFAULT_CAP,
+) -> DataFrame:
+    """The same rows as ``batch_slice`` over the stored feed, reading far less of it.
+
+    The page listing tells which appends and which part of each shard the batch
+    can need; the rest is pruned before the exact cut.
+    """
+    needed = storage.materialise(
+        _needed(read_pages(spark, path), positions, batch_limit(page, cap)), "needed"
+    )
+    feed = read_feed(spark, path)
+    past = reached(
+        F.col("_kind"),
+        F.col("_from"),
+        F.col("sequenceNumber"),
+        F.col("approximateArrivalTimestamp"),
+    )
+    # The comparison makes Spark prune whole appends by what the listing still holds.
+    rows = feed.join(needed.filter(F.col("_upto") > ""), ["append", *SHARD_KEY]).filter(
+        past & (F.col("seqKey") <= F.col("_upto"))
+    )
+    return cap_per_shard(rows.select(*feed.columns), page, cap)

@@ -74,5 +74,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in _file_system(spark, path).listStatus(_path(spark, path))]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    found = _file_system(spark, pattern).globStatus(_path(spark, pattern))
+    return [status.getPath().toString() for status in found or []]
+
+
 def delete_dir(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).delete(_path(spark, path), True)
