@@ -8,7 +8,7 @@ from changefeed.schema import SHARD_KEY
 from changefeed.storage import materialise
 
 # Longest chain that doubling can follow is 2 ** this.
-_MAX_DOUBLINGS = 40
+_MAX_DOUBLINGS = 24
 
 
 def open_shards(catalogue: DataFrame) -> DataFrame:
@@ -141,6 +141,8 @@ def latest_positions(
     """
     known = previous.select(*SHARD_KEY)
     new = open_shards(catalogue).select(*SHARD_KEY).join(known, SHARD_KEY, "left_anti")
+    if new.isEmpty():
+        return previous.select(*SHARD_KEY, "iteratorType", "iteratorPosition")
     added = with_ancestors(new, catalogue).join(known, SHARD_KEY, "left_anti")
     return previous.select(*SHARD_KEY, "iteratorType", "iteratorPosition").unionByName(
         added.select(

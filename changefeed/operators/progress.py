@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from changefeed.functions.sequence import norm_seq
 from changefeed.schema import AFTER_SEQUENCE_NUMBER, SHARD_END, SHARD_KEY
@@ -148,35 +148,38 @@ def offset_encode(
     return documents.select(*key, "part", F.to_json(F.map_concat(metadata, shards)).alias("offset"))
 
 
-def _or_fail(value: Column, text: Column) -> Column:
-    message = F.concat(F.lit("not an offset document: "), F.coalesce(text, F.lit("null")))
-    return F.when(value.isNull(), F.raise_error(message).cast("string")).otherwise(value)
-
-
 def offset_decode(offsets: DataFrame, offset: str = "offset") -> DataFrame:
     """Offset documents to rows ``streamName, batchId, shardId, iteratorType, iteratorPosition``.
 
     Text that is not an offset document fails.
     """
-    text = F.col(offset)
-    doc = F.from_json(text, "map<string,map<string,string>>")
-    meta = F.col("_doc")[METADATA]
-    batch = meta[BATCH_ID]
+    kind = "map<string,map<string,string>>"
+    text, doc = F.col(offset), F.col("_doc")
+    meta = doc[METADATA]
+    shards = F.map_filter(doc, lambda k, _: k != METADATA)
+    complete = F.forall(
+        F.map_values(shards),
+        lambda at: at[ITERATOR_TYPE].isNotNull() & at[ITERATOR_POSITION].isNotNull(),
+    )
+    batch_id = meta[BATCH_ID].try_cast("bigint")
+    valid = F.coalesce(
+        meta[STREAM_NAME].isNotNull() & batch_id.isNotNull() & complete, F.lit(False)
+    )
+    message = F.concat(F.lit("not an offset document: "), F.coalesce(text, F.lit("null")))
+    # Checked before the explode, which would drop a document without shards.
+    checked = F.when(valid, shards).otherwise(F.raise_error(message).cast(kind))
     return (
-        offsets.select(text.alias("_text"), doc.alias("_doc"))
+        offsets.withColumn("_doc", F.from_json(text, kind))
         .select(
-            _or_fail(meta[STREAM_NAME], F.col("_text")).alias("streamName"),
-            _or_fail(F.when(batch.try_cast("bigint").isNotNull(), batch), F.col("_text"))
-            .cast("bigint")
-            .alias("batchId"),
-            "_text",
-            F.explode(F.map_filter("_doc", lambda k, _: k != METADATA)).alias("shardId", "_at"),
+            meta[STREAM_NAME].alias("streamName"),
+            batch_id.alias("batchId"),
+            F.explode(checked).alias("shardId", "_at"),
         )
         .select(
             "streamName",
             "batchId",
             "shardId",
-            _or_fail(F.col("_at")[ITERATOR_TYPE], F.col("_text")).alias("iteratorType"),
-            _or_fail(F.col("_at")[ITERATOR_POSITION], F.col("_text")).alias("iteratorPosition"),
+            F.col("_at")[ITERATOR_TYPE].alias("iteratorType"),
+            F.col("_at")[ITERATOR_POSITION].alias("iteratorPosition"),
         )
     )

@@ -150,8 +150,9 @@ class ChangeFeedReader(DataSourceStreamReader):
         pages = pages[pages["lastKey"] > pages["shardId"].map(done).fillna("")]
         if limited:
             limit = (self._options.cap // self._options.page + 1) * self._options.page
-            before = pages.groupby("shardId")["records"].cumsum() - pages["records"]
-            pages = pages[before < limit]
+            upto = pages.groupby("shardId")["records"].cumsum()
+            # At most the limit, but never nothing: one page may be larger by itself.
+            pages = pages[(upto <= limit) | (upto == pages["records"])]
         last = pages.drop_duplicates("shardId", keep="last")
         heads = dict(progress)
         for shard, seq in zip(last["shardId"], last["lastSeq"]):
@@ -185,7 +186,10 @@ class ChangeFeedReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[FileRanges]:
         self._refresh()
         first, last = check_offset(start), check_offset(end)
-        self._seen = last
+        for shard, at in last.items():
+            seen = self._seen.get(shard)
+            if seen is None or _key(seen[ITERATOR_POSITION]) <= _key(at[ITERATOR_POSITION]):
+                self._seen[shard] = at
         after = {s: _key(at[ITERATOR_POSITION]) for s, at in first.items()}
         upto = {s: _key(at[ITERATOR_POSITION]) for s, at in last.items()}
         pages = self._pages[self._pages["shardId"].isin(list(upto))]

@@ -1,0 +1,111 @@
+import random
+
+import pytest
+from helpers import as_dict, catalogue_of, positions_of
+
+from changefeed.operators import lineage
+
+
+def random_shards(seed, count=40):
+    """Splits, merges, parents that are gone, shards with twice the same parent."""
+    rng = random.Random(seed)
+    shards, open_ = {}, []
+    for i in range(count):
+        name = f"shard-{i:03d}"
+        parent = adjacent = None
+        if open_ and rng.random() < 0.8:
+            parent = rng.choice(open_)
+            if len(open_) > 1 and rng.random() < 0.4:
+                adjacent = rng.choice(open_)
+        elif rng.random() < 0.3:
+            parent = "shard-gone"
+        shards[name] = [parent, adjacent, str(i), None]
+        open_.append(name)
+        for p in {parent, adjacent} & shards.keys():
+            shards[p][3] = str(i)
+            if rng.random() < 0.7 and p in open_:
+                open_.remove(p)
+    return shards
+
+
+def parents(shards, shard):
+    return {p for p in shards[shard][:2] if p in shards}
+
+
+def ancestors(shards, shard):
+    found, todo = set(), [shard]
+    while todo:
+        for p in parents(shards, todo.pop()):
+            if p not in found:
+                found.add(p)
+                todo.append(p)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_lineage(spark, seed):
+    shards = random_shards(seed)
+    cat = catalogue_of(spark, shards)
+    pairs = {(r.shardId, r.parentId) for r in lineage.shard_parents(cat).collect()}
+    assert pairs == {(s, p) for s in shards for p in parents(shards, s)}
+    children = {r.parentId: r.children for r in lineage.shard_children(cat).collect()}
+    assert children == {p: sorted(s for s in shards if p in parents(shards, s)) for _, p in pairs}
+    got = [(r.shardId, r.ancestorId) for r in lineage.shard_ancestors(cat).collect()]
+    assert sorted(got) == sorted((s, a) for s in shards for a in ancestors(shards, s))
+
+    rng = random.Random(seed)
+    known = {s: ("AFTER_SEQUENCE_NUMBER", s) for s in rng.sample(sorted(shards), 12)}
+    want = dict(known)
+    for shard, rest in shards.items():
+        if rest[3] is None and shard not in known:
+            for s in {shard} | ancestors(shards, shard):
+                want.setdefault(s, ("LATEST", ""))
+    latest = lineage.latest_positions(cat, positions_of(spark, known), "LATEST")
+    assert latest.count() == len(want)
+    assert as_dict(latest) == want
+
+
+def test_open_and_closed(spark):
+    shards = random_shards(9)
+    cat = catalogue_of(spark, shards)
+    opened = {r.shardId for r in lineage.open_shards(cat).collect()}
+    assert opened == {s for s, rest in shards.items() if rest[3] is None}
+    assert {r.shardId for r in lineage.closed_shards(cat).collect()} == shards.keys() - opened
+
+
+def test_long_chain(spark):
+    chain = {f"c{i:04d}": (f"c{i - 1:04d}" if i else None, None, str(i), "9") for i in range(300)}
+    chain["c0299"] = ("c0298", None, "299", None)
+    cat = catalogue_of(spark, chain)
+    reached = lineage.latest_positions(cat, positions_of(spark, {}), "TRIM_HORIZON")
+    assert as_dict(reached).keys() == chain.keys()
+
+
+def test_no_lineage(spark):
+    cat = catalogue_of(spark, {"a": (None, None, "1", None)})
+    assert lineage.shard_ancestors(cat).collect() == []
+    assert as_dict(lineage.latest_positions(cat, positions_of(spark, {}), "LATEST")) == {
+        "a": ("LATEST", "")
+    }
+
+
+def test_cycle_fails(spark):
+    cat = catalogue_of(spark, {"a": ("b", None, "1", None), "b": ("a", None, "2", "3")})
+    with pytest.raises(ValueError, match="cycle"):
+        lineage.shard_ancestors(cat)
+
+
+def test_open_parent(spark):
+    cat = catalogue_of(spark, {"a": (None, None, "1", None), "b": ("a", None, "2", None)})
+    assert [r.shardId for r in lineage.open_parent_violations(cat).collect()] == ["a"]
+    with pytest.raises(Exception, match="shard a has children but is not closed"):
+        lineage.require_closed_parents(cat).collect()
+    fine = catalogue_of(spark, {"a": (None, None, "1", "1"), "b": ("a", None, "2", None)})
+    assert lineage.require_closed_parents(fine).count() == 2
+
+
+def test_streams_do_not_mix(spark):
+    both = catalogue_of(spark, {"b": ("a", None, "2", None)}).union(
+        catalogue_of(spark, {"a": (None, None, "1", "1")}, stream="other")
+    )
+    assert lineage.shard_parents(both).collect() == []
