@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changefeed.functions.sequence import norm_seq
 from changefeed.operators.ordinal import with_shard_ordinal
@@ -24,14 +24,17 @@ def batch_limit(page: int = DEFAULT_PAGE, cap: int = DEFAULT_CAP) -> int:
     return (cap // page + 1) * page
 
 
-def page_numbers(rows: DataFrame, page: int = DEFAULT_PAGE) -> DataFrame:
-    """Add ``pageNumber``: which read call, from 0, would have returned the row."""
+def page_of(ordinal: str, page: int) -> Column:
+    """The page, from 0, of a record's number in its shard, from 1."""
     if page < 1:
         raise ValueError("page must be positive")
+    return F.floor((F.col(ordinal) - 1) / page)
+
+
+def page_numbers(rows: DataFrame, page: int = DEFAULT_PAGE) -> DataFrame:
+    """Add ``pageNumber``: which read call, from 0, would have returned the row."""
     numbered = with_shard_ordinal(rows)
-    return numbered.select(
-        *rows.columns, F.floor((F.col("ordinal") - 1) / page).alias("pageNumber")
-    )
+    return numbered.select(*rows.columns, page_of("ordinal", page).alias("pageNumber"))
 
 
 def cap_per_shard(
@@ -68,13 +71,23 @@ def _salted_cut(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def _cut_at_sequence(rows: DataFrame, limit: int) -> DataFrame:
-    # Large limit: number the keys alone, note where each shard is cut, and filter
-    # the full rows by that one bound per shard. Payloads are never shuffled.
-    keys = with_shard_ordinal(rows.select(*SHARD_KEY, "sequenceNumber"))
+    # Large limit: only shards with more rows than that are cut. Number their keys,
+    # note where each is cut, and filter the full rows by that one bound per shard.
+    # Payloads are never shuffled, and nothing is if no shard is over the limit.
+    large = materialise(
+        rows.groupBy(*SHARD_KEY)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > limit)
+        .select(*SHARD_KEY),
+        "large",
+    )
+    if large.isEmpty():
+        return rows
+    keys = rows.select(*SHARD_KEY, "sequenceNumber").join(large, SHARD_KEY, "left_semi")
     bounds = materialise(
-        keys.filter(F.col("ordinal") == limit).select(
-            *SHARD_KEY, norm_seq("sequenceNumber").alias("_last")
-        ),
+        with_shard_ordinal(keys)
+        .filter(F.col("ordinal") == limit)
+        .select(*SHARD_KEY, norm_seq("sequenceNumber").alias("_last")),
         "bounds",
     )
     inside = F.col("_last").isNull() | (norm_seq("sequenceNumber") <= F.col("_last"))

@@ -110,6 +110,11 @@ def oracle_sql() -> dict[str, str]:
         WITH {_FEED}
         SELECT {_DOCUMENT} AS data, 'events' AS "streamName", "partitionKey",
                seq AS "sequenceNumber", ts AS "approximateArrivalTimestamp" FROM feed"""
+    page_numbers = f"""
+        WITH {_FEED}
+        SELECT "shardId", seq AS "sequenceNumber",
+               (row_number() OVER (PARTITION BY "shardId" ORDER BY seq) - 1) // 5
+                 AS "pageNumber" FROM feed"""
     return {
         # Sources
         "envelope_schema": """
@@ -144,7 +149,7 @@ def oracle_sql() -> dict[str, str]:
             WITH {_FEED} SELECT seq AS "sequenceNumber", event_type AS n FROM feed""",
         "typed_attribute": """
             SELECT event_id AS id, value, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
-                   CAST(NULL AS BIGINT) AS n_as_number FROM events""",
+                   false AS n_is_number FROM events""",
         "arrival_epoch": f"""
             WITH {_FEED} SELECT seq AS "sequenceNumber", epoch_us(ts) // 1000000 AS arrival_epoch
             FROM feed""",
@@ -174,11 +179,8 @@ def oracle_sql() -> dict[str, str]:
                                   ELSE 'LATEST' END AS iterator_type FROM events""",
         "apply_positions": f"WITH {_APPLIED} {_KEYS} FROM applied",
         # Limits
-        "page_numbers": f"""
-            WITH {_FEED}
-            SELECT "shardId", seq AS "sequenceNumber",
-                   (row_number() OVER (PARTITION BY "shardId" ORDER BY seq) - 1) // 5
-                     AS "pageNumber" FROM feed""",
+        "page_numbers": page_numbers,
+        "page_numbers_stored": page_numbers,
         "cap_per_shard": f"""
             WITH {_FEED} {_KEYS} FROM feed
             QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 15""",

@@ -30,6 +30,7 @@ from changefeed.sources.feed import shard_catalogue, shard_ranges
 from changefeed.sources.store import (
     append_feed,
     read_pages,
+    stored_ordinal,
     stored_ranges,
     stored_slice,
     write_catalogue,
@@ -196,12 +197,12 @@ def new_image_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def typed_attribute_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The text attribute read as a number gives null, as no event type is one.
+    # No event type is a number, so the text attribute read as one is null.
     return _decoded(spark, sf_dir).select(
         typed_attribute("id", "N", "bigint").alias("id"),
         typed_attribute("value", "N", "double").alias("value"),
         typed_attribute("k", "N", "bigint").alias("k"),
-        typed_attribute("n", "S", "bigint").alias("n_as_number"),
+        typed_attribute("n", "S", "bigint").isNotNull().alias("n_is_number"),
     )
 
 
@@ -292,6 +293,13 @@ def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits.page_numbers(rows, PAGE).select("shardId", "sequenceNumber", "pageNumber")
 
 
+@query
+def page_numbers_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored_ordinal(spark, ef.stored(spark, sf_dir).feed_path)
+    page = limits.page_of("ordinal", PAGE).alias("pageNumber")
+    return rows.select("shardId", "sequenceNumber", page)
+
+
 @query
 def cap_per_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(limits.cap_per_shard(ef.stored(spark, sf_dir).feed, PAGE, CAP))

@@ -35,6 +35,9 @@ from changefeed.schema import (
 
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 
+# Most files a read names one by one; beyond that it names whole appends.
+_MAX_NAMED = 10_000
+
 # Partition column of both tables: which append the row came with.
 _APPEND = T.StructField("append", T.StringType())
 
@@ -55,6 +58,7 @@ PAGES = T.StructType(
         T.StructField("lastKey", T.StringType()),
         T.StructField("firstSeq", T.StringType()),
         T.StructField("lastSeq", T.StringType()),
+        T.StructField("firstRow", T.LongType()),
         T.StructField("records", T.LongType()),
     ]
 )
@@ -68,7 +72,8 @@ def append_feed(feed: DataFrame, path: str, page: int = DEFAULT_CAP) -> None:
     """Append records (envelope plus ``shardId``) to a stored feed.
 
     ``page`` is the most records one listed page has, the grain of a capped
-    stream. Within a shard, later appends must hold later sequence numbers.
+    stream. Within a shard, later appends hold later sequence numbers; an append
+    that does not is refused and stays unlisted.
     """
     spark = feed.sparkSession
     path = path.rstrip("/")
@@ -82,7 +87,21 @@ def append_feed(feed: DataFrame, path: str, page: int = DEFAULT_CAP) -> None:
     # Unlike the default type, this one has statistics that a filter on time can use.
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.parquet(data)
-    _list_pages(spark, data, ticket, page).write.parquet(f"{path}/pages/append={ticket}")
+    pages = _list_pages(spark, data, ticket, page)
+    if _complete(spark, path, "pages"):
+        pages = storage.materialise(pages, "pages")
+        _require_later(pages, read_pages(spark, path))
+    pages.write.parquet(f"{path}/pages/append={ticket}")
+
+
+def _require_later(new: DataFrame, listed: DataFrame) -> None:
+    heads = listed.groupBy(*SHARD_KEY).agg(F.max("lastKey").alias("_head"))
+    behind = new.join(heads, SHARD_KEY).filter(F.col("firstKey") <= F.col("_head")).head(1)
+    if behind:
+        raise ValueError(
+            f"shard {behind[0]['shardId']} already has records up to {behind[0]['_head']}; "
+            f"an append from {behind[0]['firstSeq']} would be out of sequence"
+        )
 
 
 def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataFrame:
@@ -110,6 +129,7 @@ def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataF
             F.max("seqKey").alias("lastKey"),
             F.min_by("sequenceNumber", "seqKey").alias("firstSeq"),
             F.max_by("sequenceNumber", "seqKey").alias("lastSeq"),
+            F.min("_row").alias("firstRow"),
             (F.max("_row") - F.min("_row") + 1).alias("records"),
         )
         .select(*PAGES.names)
@@ -169,29 +189,95 @@ def stored_ranges(pages: DataFrame) -> DataFrame:
     )
 
 
+def stored_ordinal(spark: SparkSession, path: str, into: str = "ordinal") -> DataFrame:
+    """The stored records, those of each shard numbered from 1 in sequence order.
+
+    Nothing is sorted or shuffled by record: a record's row number in its file and
+    the number of the shard's records in earlier files add up to its place.
+    """
+    key = ["file", *SHARD_KEY]
+    earlier = (
+        Window.partitionBy(*SHARD_KEY).orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    runs = storage.materialise(
+        read_pages(spark, path)
+        .groupBy(*key)
+        .agg(
+            F.min("firstKey").alias("_key"),
+            F.min("firstRow").alias("_first"),
+            F.sum("records").alias("_n"),
+        )
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_first"))
+        .select(*key, "_shift"),
+        "runs",
+    )
+    feed = read_feed(spark, path)
+    file = F.concat(F.lit("append="), F.col("append"), F.lit("/"), F.col("_metadata.file_name"))
+    return (
+        feed.select(*feed.columns, file.alias("file"), F.col("_metadata.row_index").alias("_row"))
+        .join(runs, key)
+        .select(*feed.columns, (F.col("_row") + F.col("_shift")).alias(into))
+    )
+
+
 def _by_sequence(kind: Column) -> Column:
     return kind.isin(AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER)
 
 
 def _needed(pages: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
-    """Per append and shard: its position and the last key a batch can reach.
+    """The pages a batch can need, with the position of their shard.
 
     A page behind the position drops out. So does a page with ``limit`` records
     between the position and its start; the page that holds the position counts
-    for none, and after a time any page may, so there all stay.
+    for none, and after a time any page may, so there all stay. The windows run
+    over page listings, not over records.
     """
     kind = F.col("iteratorType")
-    whole = (
-        Window.partitionBy(*SHARD_KEY).orderBy("firstKey").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = F.sum("records").over(whole) - F.first("records").over(whole)
+    shard = Window.partitionBy(*SHARD_KEY)
+    earlier = shard.orderBy("firstKey").rowsBetween(Window.unboundedPreceding, -1)
+    counted = F.sum("records").over(earlier) - F.first("records").over(earlier)
     return (
         pages.join(positions.filter(~kind.isin(SHARD_END, LATEST)), SHARD_KEY)
         .filter(~_by_sequence(kind) | (F.col("lastKey") >= norm_seq("iteratorPosition")))
         .withColumn("_before", F.coalesce(counted, F.lit(0)))
         .filter((kind == AT_TIMESTAMP) | (F.col("_before") < limit))
-        .groupBy("append", *SHARD_KEY, kind.alias("_kind"), F.col("iteratorPosition").alias("_from"))
-        .agg(F.max("lastKey").alias("_upto"))
+        .select(
+            "append",
+            "file",
+            *SHARD_KEY,
+            "lastKey",
+            kind.alias("_kind"),
+            F.col("iteratorPosition").alias("_from"),
+            F.sum("records").over(shard).alias("_most"),
+        )
+    )
+
+
+def _rows_in(spark: SparkSession, path: str, needed: DataFrame) -> DataFrame:
+    """Records past their shard's position in the needed pages, reading no other files."""
+    names = [r["file"] for r in needed.select("file").distinct().limit(_MAX_NAMED + 1).collect()]
+    root = f"{path.rstrip('/')}/data"
+    if not names:
+        return _read(spark, path, "data", _FEED).limit(0)
+    if len(names) <= _MAX_NAMED:
+        feed = spark.read.schema(T.StructType([*_FEED.fields, _APPEND])).option("basePath", root)
+        feed = feed.parquet(*[f"{root}/{name}" for name in names])
+    else:
+        feed = read_feed(spark, path)
+    runs = needed.groupBy("append", *SHARD_KEY, "_kind", "_from").agg(
+        F.max("lastKey").alias("_upto")
+    )
+    past = reached(
+        F.col("_kind"),
+        F.col("_from"),
+        F.col("sequenceNumber"),
+        F.col("approximateArrivalTimestamp"),
+    )
+    # A comparison, unlike "is not null", lets Spark prune whole appends by this side.
+    return (
+        feed.join(runs.filter(F.col("_upto") > ""), ["append", *SHARD_KEY])
+        .filter(past & (F.col("seqKey") <= F.col("_upto")))
+        .select(*feed.columns)
     )
 
 
@@ -204,21 +290,13 @@ def stored_slice(
 ) -> DataFrame:
     """The same rows as ``batch_slice`` over the stored feed, reading far less of it.
 
-    The page listing tells which appends and which part of each shard the batch
-    can need; the rest is pruned before the exact cut.
+    The page listing tells which files and which part of each shard the batch can
+    need, and which shards cannot go over the limit; only the others are cut.
     """
-    needed = storage.materialise(
-        _needed(read_pages(spark, path), positions, batch_limit(page, cap)), "needed"
-    )
-    feed = read_feed(spark, path)
-    past = reached(
-        F.col("_kind"),
-        F.col("_from"),
-        F.col("sequenceNumber"),
-        F.col("approximateArrivalTimestamp"),
-    )
-    # The comparison makes Spark prune whole appends by what the listing still holds.
-    rows = feed.join(needed.filter(F.col("_upto") > ""), ["append", *SHARD_KEY]).filter(
-        past & (F.col("seqKey") <= F.col("_upto"))
-    )
-    return cap_per_shard(rows.select(*feed.columns), page, cap)
+    limit = batch_limit(page, cap)
+    needed = storage.materialise(_needed(read_pages(spark, path), positions, limit), "needed")
+    within, over = needed.filter(F.col("_most") <= limit), needed.filter(F.col("_most") > limit)
+    rows = _rows_in(spark, path, within)
+    if over.isEmpty():
+        return rows
+    return rows.unionByName(cap_per_shard(_rows_in(spark, path, over), page, cap))
