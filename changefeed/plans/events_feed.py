@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changefeed.functions.sequence import norm_seq
+from changefeed.functions.payload import payload_text
 from changefeed.operators.position_log import log_add, log_read
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
@@ -83,11 +83,11 @@ def document() -> Column:
     )
 
 
-def feed_of(rows: DataFrame, data: Column | None = None) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of ``events`` as a feed: the envelope and the shard id."""
     return envelope(
-        rows,
-        data=F.encode(document() if data is None else data, "UTF-8"),
+        events(spark, sf_dir),
+        data=F.encode(document(), "UTF-8"),
         stream=STREAM,
         partition_key=F.col("user_id").cast("string"),
         sequence_number=sequence_number(),
@@ -96,10 +96,6 @@ def feed_of(rows: DataFrame, data: Column | None = None) -> DataFrame:
     )
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_of(events(spark, sf_dir))
-
-
 def shard_day() -> Column:
     return F.substring("shardId", 9, 5).cast("int")
 
@@ -244,7 +240,24 @@ def raced_catalogue(ranges: DataFrame, lineage: DataFrame, rows: DataFrame) -> D
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """The feed with every third record packed: an array of its document and a twin."""
-    text = document()
+    """A feed with every third record packed: an array of its document and a twin."""
+    text = payload_text("data")
     both = F.concat(F.lit("["), text, F.lit(","), text, F.lit("]"))
-    return feed_of(rows, F.when(F.col("event_id") % 3 == 0, both).otherwise(text))
+    third = F.col("sequenceNumber").cast("bigint") % 3 == 1
+    return rows.withColumn("data", F.encode(F.when(third, both).otherwise(text), "UTF-8"))
+
+
+def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream, of orders; a shard per year and customer bucket."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return envelope(
+        rows,
+        data=F.encode(F.to_json(F.struct("o_orderkey", "o_orderstatus")), "UTF-8"),
+        stream="orders",
+        partition_key=F.col("o_custkey").cast("string"),
+        sequence_number=_padded(F.col("o_orderkey") + 1, 21),
+        arrival=F.col("o_orderdate").cast("timestamp"),
+        keep=(
+            shard_id(F.year("o_orderdate") - 1990, F.col("o_custkey") % BUCKETS).alias("shardId"),
+        ),
+    )

@@ -98,6 +98,17 @@ log AS (
   UNION ALL
   SELECT day + 1, "shardId", 'SHARD_END', '' FROM ranges)
 """
+_STREAMS = f"""
+{_CATALOGUE},
+streams AS (
+  SELECT 'events' AS "streamName", "shardId", "startSeq", "headSeq", records FROM ranges
+  UNION ALL
+  SELECT 'orders', 'shardId-' || lpad(CAST(year(o_orderdate) - 1990 AS VARCHAR), 5, '0')
+           || '-' || lpad(CAST(o_custkey % 8 AS VARCHAR), 2, '0') AS shard,
+         min(lpad(CAST(o_orderkey + 1 AS VARCHAR), 21, '0')),
+         max(lpad(CAST(o_orderkey + 1 AS VARCHAR), 21, '0')), count(*)
+  FROM orders GROUP BY shard)
+"""
 _KEYS = (
     'SELECT "shardId", seq AS "sequenceNumber", "partitionKey", '
     'ts AS "approximateArrivalTimestamp"'
@@ -131,6 +142,7 @@ def oracle_sql() -> dict[str, str]:
         "shard_catalogue": f"""
             WITH {_CATALOGUE} SELECT "shardId", "parentShardId", "adjacentParentShardId",
                    "startSeq", "endSeq" FROM cat""",
+        "many_streams_catalogue": f"WITH {_STREAMS} SELECT * FROM streams",
         # Projections and decoding
         "envelope_projection": envelope,
         "arrival_timestamp": """
@@ -221,6 +233,13 @@ def oracle_sql() -> dict[str, str]:
                    || '","iteratorPosition":"' || "iteratorPosition" || '"}}',
                    ',' ORDER BY "shardId") || '}}' AS "offset"
             FROM log GROUP BY batch_id""",
+        "many_streams_offsets": f"""
+            WITH {_STREAMS}
+            SELECT "streamName", '{{"metadata":{{"batchId":"7","streamName":"' || "streamName"
+              || '"}},' || string_agg('"' || "shardId"
+                   || '":{{"iteratorType":"AFTER_SEQUENCE_NUMBER","iteratorPosition":"'
+                   || "headSeq" || '"}}', ',' ORDER BY "shardId") || '}}' AS "offset"
+            FROM streams GROUP BY "streamName" """,
         "offset_decode": f"""WITH {_LOG} SELECT 'events' AS "streamName", {_LOG_COLUMNS} FROM log""",
         "previous_positions": f"""
             WITH {_LOG} SELECT "shardId", "iteratorType", "iteratorPosition" FROM log

@@ -137,6 +137,13 @@ def shard_catalogue_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.drop("streamName")
 
 
+@query
+def many_streams_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Several streams in one table; the orders' shards bear ids of the events' kind.
+    both = ef.feed(spark, sf_dir).unionByName(ef.orders_feed(spark, sf_dir))
+    return shard_ranges(both)
+
+
 # Projections and decoding
 
 
@@ -215,7 +222,7 @@ def arrival_epoch_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unpack_records_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = unpack_records(ef.packed(ef.events(spark, sf_dir)))
+    rows = unpack_records(ef.packed(ef.stored(spark, sf_dir).feed))
     return rows.select(
         "shardId", "sequenceNumber", "subSequence", payload_text("data").alias("payload")
     )
@@ -364,6 +371,18 @@ def offset_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def many_streams_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = ef.feed(spark, sf_dir).unionByName(ef.orders_feed(spark, sf_dir))
+    heads = shard_ranges(both).select(
+        *SHARD_KEY,
+        F.lit(AFTER_SEQUENCE_NUMBER).alias("iteratorType"),
+        F.col("headSeq").alias("iteratorPosition"),
+        F.lit(7).alias("batchId"),
+    )
+    return progress.offset_encode(heads).select("streamName", "offset")
+
+
 @query
 def offset_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = progress.offset_encode(_by_batch(ef.stored(spark, sf_dir)), max_shards=3)
@@ -413,7 +432,8 @@ def stream_position_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writer = write_with_log(
         stream,
-        lambda batch, batch_id: batch.write.mode("append").parquet(f"{place}/rows"),
+        # One folder per batch, so that a replayed batch replaces itself.
+        lambda batch, n: batch.write.mode("overwrite").parquet(f"{place}/rows/batch={n}"),
         f"{place}/feed",
         f"{place}/log",
         ef.STREAM,

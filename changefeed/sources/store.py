@@ -68,12 +68,15 @@ def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def append_feed(feed: DataFrame, path: str, page: int = DEFAULT_CAP) -> None:
+def append_feed(
+    feed: DataFrame, path: str, page: int = DEFAULT_CAP, files: int | None = None
+) -> None:
     """Append records (envelope plus ``shardId``) to a stored feed.
 
     ``page`` is the most records one listed page has, the grain of a capped
     stream. Within a shard, later appends hold later sequence numbers; an append
-    that does not is refused and stays unlisted.
+    that does not is refused and stays unlisted. ``files`` is how many to write,
+    at most as many as shuffle partitions by default; aim at some 128 MB each.
     """
     spark = feed.sparkSession
     path = path.rstrip("/")
@@ -81,7 +84,7 @@ def append_feed(feed: DataFrame, path: str, page: int = DEFAULT_CAP) -> None:
     data = f"{path}/data/append={ticket}"
     laid_out = (
         feed.select(*ENVELOPE.names, "shardId", norm_seq("sequenceNumber").alias("seqKey"))
-        .repartitionByRange(*SHARD_KEY, "seqKey")
+        .repartitionByRange(*([files] if files else []), *SHARD_KEY, "seqKey")
         .sortWithinPartitions(*SHARD_KEY, "seqKey")
     )
     # Unlike the default type, this one has statistics that a filter on time can use.

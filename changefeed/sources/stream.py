@@ -114,11 +114,12 @@ class ChangeFeedReader(DataSourceStreamReader):
 
     # Planning, on the driver.
 
-    def _directories(self, kind: str) -> list[str]:
-        """Complete subdirectories, oldest first."""
+    def _new_directories(self, kind: str) -> list[str]:
+        """Complete subdirectories not loaded yet, oldest first."""
         fs, root = pafs.FileSystem.from_uri(f"{self._options.path}/{kind}")
         found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
         dirs = sorted(i.path for i in found if i.type == pafs.FileType.Directory)
+        dirs = [d for d in dirs if d not in self._loaded]
         marks = fs.get_file_info([f"{d}/_SUCCESS" for d in dirs]) if dirs else []
         return [d for d, m in zip(dirs, marks) if m.type == pafs.FileType.File]
 
@@ -129,17 +130,17 @@ class ChangeFeedReader(DataSourceStreamReader):
         return table.to_pandas()
 
     def _refresh(self) -> None:
-        new = [d for d in self._directories("pages") if d not in self._loaded]
+        new = self._new_directories("pages")
         if new:
             parts = [self._rows(d, _PAGE_COLUMNS) for d in new]
             self._pages = pd.concat([p for p in [self._pages, *parts] if len(p)] or [self._pages])
             self._pages = self._pages.sort_values(["shardId", "firstKey"], ignore_index=True)
             self._loaded.update(new)
-        listings = self._directories("shards")
-        if listings and (self._ends is None or listings[-1] not in self._loaded):
+        listings = self._new_directories("shards")
+        if listings:
             shards = self._rows(listings[-1], ["shardId", "endSeq"])
             self._ends = dict(zip(shards["shardId"], shards["endSeq"]))
-            self._loaded.add(listings[-1])
+            self._loaded.update(listings)
 
     def _heads(self, progress: dict, limited: bool) -> dict:
         """Where each listed shard stands when the next batch is done."""

@@ -118,6 +118,22 @@ def test_stored_ordinals(spark, feed, stored):
     assert {(r.shardId, r.sequenceNumber): r.ordinal for r in got} == ranks
 
 
+def test_two_streams_in_one_store(spark, tmp_path):
+    # Same shard ids in both streams.
+    path = str(tmp_path)
+    both = feed_of(spark, {"a": 30, "b": 9}).union(feed_of(spark, {"a": 7}, "other", first=5))
+    append_feed(both.repartition(4), path, page=5, files=3)
+    numbered = stored_ordinal(spark, path).filter("streamName = 'other'").collect()
+    assert sorted((r.ordinal, int(r.sequenceNumber)) for r in numbered) == [
+        (i, i + 4) for i in range(1, 8)
+    ]
+    standing = positions_of(spark, {"a": ("TRIM_HORIZON", "")}).union(
+        positions_of(spark, {"a": ("AFTER_SEQUENCE_NUMBER", "8")}, "other")
+    )
+    got = stored_slice(spark, path, standing, 5, 7).groupBy("streamName").count().collect()
+    assert {r.streamName: r["count"] for r in got} == {"s": 10, "other": 3}
+
+
 def test_append_out_of_sequence_is_refused(spark, tmp_path):
     path = str(tmp_path)
     append_feed(feed_of(spark, {"a": 5}, first=10), path)

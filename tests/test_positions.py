@@ -3,6 +3,7 @@ from helpers import as_dict, feed_of, positions_of, seqs
 from pyspark.sql import functions as F
 
 from changefeed.operators import positions as pos
+from changefeed.storage import session_conf
 
 
 @pytest.mark.parametrize(
@@ -57,6 +58,17 @@ def test_one_position_is_the_same_as_a_filter(spark, kind, position):
     assert seqs(pos.read_from(feed, kind, position)) == seqs(pos.apply_positions(feed, every))
 
 
+def test_same_rows_without_a_broadcast(spark):
+    # The way taken when positions are too many to send to every executor.
+    feed = feed_of(spark, {"hot": 300, **{s: 10 for s in ALL}})
+    standing = positions_of(spark, {**ALL, "hot": ("AFTER_SEQUENCE_NUMBER", "20")})
+    want = seqs(pos.apply_positions(feed, standing))
+    with session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        shuffled = pos.apply_positions(feed, standing)
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert seqs(shuffled) == want
+
+
 def test_unknown_position_fails(spark):
     with pytest.raises(ValueError, match="unknown position"):
         pos.read_from(feed_of(spark, {"a": 1}), "SOMEWHERE")

@@ -274,7 +274,7 @@ def test_position_log_of_a_stream(spark, tmp_path):
             spark, path, "s", startingPosition="trim_horizon", includeShardId="true"
         )
         writer = write_with_log(
-            stream, lambda b, n: b.write.mode("append").parquet(f"{tmp_path}/out"),
+            stream, lambda b, n: b.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"),
             path, log, "s", "trim_horizon", min_batches_to_retain=1,
         )
         query = writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
