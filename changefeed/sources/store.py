@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -256,13 +257,12 @@ def _needed(pages: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def _rows_in(spark: SparkSession, path: str, needed: DataFrame) -> DataFrame:
-    """Records past their shard's position in the needed pages, reading no other files."""
-    names = [r["file"] for r in needed.select("file").distinct().limit(_MAX_NAMED + 1).collect()]
+def _rows_in(
+    spark: SparkSession, path: str, needed: DataFrame, names: list[str] | None
+) -> DataFrame:
+    """Records past their shard's position in the needed pages, reading only those files."""
     root = f"{path.rstrip('/')}/data"
-    if not names:
-        return _read(spark, path, "data", _FEED).limit(0)
-    if len(names) <= _MAX_NAMED:
+    if names is not None:
         feed = spark.read.schema(T.StructType([*_FEED.fields, _APPEND])).option("basePath", root)
         feed = feed.parquet(*[f"{root}/{name}" for name in names])
     else:
@@ -298,8 +298,17 @@ def stored_slice(
     """
     limit = batch_limit(page, cap)
     needed = storage.materialise(_needed(read_pages(spark, path), positions, limit), "needed")
-    within, over = needed.filter(F.col("_most") <= limit), needed.filter(F.col("_most") > limit)
-    rows = _rows_in(spark, path, within)
-    if over.isEmpty():
-        return rows
-    return rows.unionByName(cap_per_shard(_rows_in(spark, path, over), page, cap))
+    is_over = F.col("_most") > limit
+    files = needed.select("file", is_over.alias("over")).distinct().limit(_MAX_NAMED + 1).collect()
+    if not files:
+        return read_feed(spark, path).filter(F.lit(False))
+    many = len(files) > _MAX_NAMED
+    over = None if many else [f["file"] for f in files if f["over"]]
+    within = None if many else [f["file"] for f in files if not f["over"]]
+    parts = []
+    if many or within:
+        parts.append(_rows_in(spark, path, needed.filter(~is_over), within))
+    if many or over:
+        cut = _rows_in(spark, path, needed.filter(is_over), over)
+        parts.append(cap_per_shard(cut, page, cap))
+    return reduce(DataFrame.unionByName, parts)
