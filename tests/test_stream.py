@@ -1,9 +1,11 @@
 import pytest
 from helpers import as_dict, catalogue_of, feed_of
+from pyspark.sql import functions as F
 
+from changefeed.functions.payload import decode_event, typed_attribute
 from changefeed.operators import position_log
 from changefeed.operators.limits import batch_limit
-from changefeed.schema import ENVELOPE, SHARD_KEY
+from changefeed.schema import ENVELOPE, SHARD_KEY, event_schema
 from changefeed.sources import options as opts
 from changefeed.sources.feed import shard_ranges
 from changefeed.sources.store import append_feed, read_feed, write_catalogue
@@ -313,3 +315,73 @@ def test_stream_equals_batch(spark, tmp_path):
     stored = read_feed(spark, path).select(*ENVELOPE.names)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, stored.collect()))
     assert shard_ranges(read_feed(spark, path)).select(*SHARD_KEY, "records").count() == 2
+
+
+def test_memory_sink_with_a_cast(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 1}, data=b'{"id": 1}'), str(tmp_path / "feed"))
+    stream = read_stream(spark, str(tmp_path / "feed"), "s", startingPosition="TRIM_HORIZON")
+    query = (
+        stream.selectExpr("cast(data as string) as data", "streamName", "sequenceNumber")
+        .writeStream.format("memory")
+        .queryName("schematest")
+        .start()
+    )
+    try:
+        query.processAllAvailable()
+        rows = [tuple(r) for r in spark.table("schematest").collect()]
+    finally:
+        query.stop()
+    assert rows == [('{"id": 1}', "s", "000000000000000000001")]
+
+
+def test_decoded_stream_from_latest(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    event = event_schema(image={"id": "N", "n": "S"}, keys={"id": "N"})
+
+    def push(numbers, first):
+        text = "concat('{\"change\":{\"NewImage\":{\"n\":{\"S\":\"', cast(sequenceNumber as int) - 1, '\"}}}}')"
+        rows = feed_of(spark, {"a": numbers}, first=first)
+        append_feed(rows.withColumn("data", F.expr(f"cast({text} as binary)")), path)
+
+    def numbers():
+        stream = decode_event(read_stream(spark, path, "s", startingPosition="latest"), event)
+        run(stream.select(typed_attribute("n", "S", "int", strict=True).alias("n")), tmp_path)
+        return sorted(r.n for r in spark.read.schema("n int").parquet(f"{tmp_path}/out").collect())
+
+    push(1, first=1)
+    assert numbers() == []
+    push(5, first=2)
+    assert numbers() == [1, 2, 3, 4, 5]  # not 0, which came before the start
+
+
+@pytest.mark.parametrize("limits", [{}, {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "0"}])
+def test_failed_batch_is_replayed_as_it_was(spark, tmp_path, limits):
+    path, log = str(tmp_path / "feed"), str(tmp_path / "log")
+    append_one_file(feed_of(spark, {"a": 10}), path, page=5)
+    write_catalogue(catalogue_of(spark, {"a": (None, None, "1", None)}), path)
+    seen = []
+
+    def attempt(fail):
+        def sink(batch, n):
+            seen.append((n, sorted(int(r.sequenceNumber) for r in batch.collect())))
+            if fail:
+                raise RuntimeError("lost the sink")
+
+        stream = read_stream(
+            spark, path, "s", startingPosition="trim_horizon", includeShardId="true", **limits
+        )
+        writer = write_with_log(stream, sink, path, log, "s", "trim_horizon")
+        query = writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination(120)
+
+    with pytest.raises(Exception, match="lost the sink"):
+        attempt(fail=True)
+    assert position_log.log_get(spark, log, 0) is None
+    append_one_file(feed_of(spark, {"a": 3}, first=11), path, page=5)
+    attempt(fail=False)
+    first = list(range(1, 6)) if limits else list(range(1, 11))
+    assert seen[:2] == [(0, first), (0, first)]
+    assert as_dict(position_log.log_get(spark, log, 0))["a"][1] == str(first[-1]).zfill(21)
+    for _ in range(3):
+        attempt(fail=False)
+    assert sorted(n for _, rows in seen[1:] for n in rows) == list(range(1, 14))
