@@ -8,7 +8,7 @@ from changefeed.functions.sequence import norm_seq
 from changefeed.operators.ordinal import with_shard_ordinal
 from changefeed.operators.positions import apply_positions
 from changefeed.schema import DEFAULT_CAP, DEFAULT_PAGE, SHARD_KEY
-from changefeed.storage import materialise
+from changefeed.storage import materialise, materialise_counted
 
 # Slots a shard's pre-cut rows are spread over before the final cut.
 _SLOTS = 256
@@ -74,14 +74,14 @@ def _cut_at_sequence(rows: DataFrame, limit: int) -> DataFrame:
     # Large limit: only shards with more rows than that are cut. Number their keys,
     # note where each is cut, and filter the full rows by that one bound per shard.
     # Payloads are never shuffled, and nothing is if no shard is over the limit.
-    large = materialise(
+    large, shards = materialise_counted(
         rows.groupBy(*SHARD_KEY)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > limit)
         .select(*SHARD_KEY),
         "large",
     )
-    if large.isEmpty():
+    if not shards:
         return rows
     keys = rows.select(*SHARD_KEY, "sequenceNumber").join(large, SHARD_KEY, "left_semi")
     bounds = materialise(

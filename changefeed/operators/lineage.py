@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changefeed.schema import SHARD_KEY
-from changefeed.storage import materialise
+from changefeed.storage import materialise_counted
 
 # Longest chain that doubling can follow is 2 ** this.
 _MAX_DOUBLINGS = 24
@@ -84,8 +84,8 @@ def _doublings(catalogue: DataFrame):
     """Ancestor pairs at distance 1, 2, 4, 8 and so on, until there are none."""
     hop = shard_parents(catalogue).withColumnRenamed("parentId", "ancestorId")
     for _ in range(_MAX_DOUBLINGS):
-        hop = materialise(hop, "hop")
-        if hop.isEmpty():
+        hop, pairs = materialise_counted(hop, "hop")
+        if not pairs:
             return
         yield hop
         hop = _compose(hop, hop).distinct()

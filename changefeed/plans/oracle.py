@@ -240,12 +240,14 @@ def oracle_sql() -> dict[str, str]:
                    || '":{{"iteratorType":"AFTER_SEQUENCE_NUMBER","iteratorPosition":"'
                    || "headSeq" || '"}}', ',' ORDER BY "shardId") || '}}' AS "offset"
             FROM streams GROUP BY "streamName" """,
-        "offset_decode": f"""WITH {_LOG} SELECT 'events' AS "streamName", {_LOG_COLUMNS} FROM log""",
+        "offset_decode": f"""
+            WITH {_LOG} SELECT 'events' AS "streamName", {_LOG_COLUMNS} FROM log""",
         "previous_positions": f"""
             WITH {_LOG} SELECT "shardId", "iteratorType", "iteratorPosition" FROM log
             WHERE batch_id = 15""",
         "stream_resume": f"""
-            WITH {_FEED} SELECT seq AS "sequenceNumber", count(*) AS times FROM feed GROUP BY seq""",
+            WITH {_FEED}
+            SELECT seq AS "sequenceNumber", count(*) AS times FROM feed GROUP BY seq""",
         "stream_position_log": f"""
             WITH {_CATALOGUE}
             SELECT CAST(0 AS BIGINT) AS batch_id, "shardId",

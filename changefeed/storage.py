@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -29,6 +29,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/changefeed/{label}-{uuid.uuid4().hex}"
 
 
+def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`materialise`, and the number of rows, counted by the same job."""
+    seen = Observation()
+    written = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return written, seen.get["rows"]
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
