@@ -64,7 +64,7 @@ def test_hot_shard_spans_partitions(spark, feed):
     placed = feed.repartitionByRange(*SHARD_KEY, "sequenceNumber")
     placed = placed.withColumn("part", F.spark_partition_id())
     spread = placed.groupBy("shardId").agg(F.countDistinct("part").alias("n"))
-    assert {r.shardId: r.n for r in spread.collect()}["hot"] > 2
+    assert {r.shardId: r.n for r in spread.collect()}["hot"] > 1
 
 
 def test_page_numbers(feed):
