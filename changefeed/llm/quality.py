@@ -72,7 +72,7 @@ def fit(rows: list[tuple[list[float], float]], rounds: int = 25, ridge: float =
     """Fits by Newton steps. With labels of one kind only, or none, the evidence is the prior."""
     y = np.array([label for _, label in rows], float)
     prior = float((y.sum() + 1) / (len(y) + 2))
-    x = np.array([values for values, _ in rows], float).reshape(len(rows), -1)
+    x = np.array([values for values, _ in rows], float).reshape(len(rows), FEATURES)
     if len(np.unique(y > 0.5)) < 2:
         return Classifier((0.0,) * FEATURES, (1.0,) * FEATURES, (0.0,) * FEATURES, _logit(prior), prior)
     mean, scale = x.mean(0), x.std(0) + 1e-9

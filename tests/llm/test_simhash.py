@@ -1,0 +1,91 @@
+import itertools
+import random
+import re
+
+import pytest
+import xxhash
+from conftest import prose
+
+from changefeed.llm import simhash
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashed = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashed) > len(hashed))
+
+
+def plain_components(prints, union, radius=3):
+    smallest = {}
+    for doc, fp in prints:
+        union.find(fp)
+        if doc is not None:
+            smallest[fp] = min(doc, smallest.get(fp, doc))
+    for a, b in itertools.combinations(sorted(union.up), 2):
+        if (a ^ b).bit_count() <= radius:
+            union.join(a, b)
+    named = {}
+    for fp, doc in smallest.items():
+        root = union.find(fp)
+        named[root] = min(doc, named.get(root, doc))
+    return sorted(((doc, fp, named.get(union.find(fp))) for doc, fp in prints), key=repr)
+
+
+def compared(found):
+    return sorted(((r[0], r[1] % 2**64, r[2]) for r in found.collect()), key=repr)
+
+
+def test_odd_rows(odd_docs, union):
+    want = [(r["doc_id"], plain_fingerprint(r["text"])) for r in odd_docs.collect()]
+    assert compared(simhash.near_duplicates(odd_docs)) == plain_components(want, union)
+
+
+def test_documents(documents, union):
+    want = [(r["doc_id"], plain_fingerprint(r["text"])) for r in documents.collect()]
+    assert compared(simhash.near_duplicates(documents)) == plain_components(want, union)
+
+
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_links_of_close_fingerprints(spark, union, tile):
+    pick = random.Random(tile)
+    prints = []
+    for _ in range(30):
+        base = pick.getrandbits(64)
+        for _ in range(8):
+            base ^= sum(1 << b for b in pick.sample(range(64), pick.randint(0, 4)))
+            prints.append(base)
+    prints += [0, 2**64 - 1, 1, 7]
+    rows = [(p - 2**64 if p >= 2**63 else p,) for p in set(prints)]
+    distinct = spark.createDataFrame(rows, "fingerprint bigint")
+    got = simhash.linked_fingerprints(distinct, 3, tile).collect()
+    for a, b in got:
+        assert ((a ^ b) % 2**64).bit_count() <= 64
+        union.join(a % 2**64, b % 2**64)
+    want = type(union)()
+    for a, b in itertools.combinations(sorted(set(prints)), 2):
+        if (a ^ b).bit_count() <= 3:
+            want.join(a, b)
+    assert {n: union.find(n) for n in union.up} == {n: want.find(n) for n in want.up}
+
+
+def test_empty(no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+    assert simhash.keep_one(no_docs).collect() == []
+
+
+def test_keep_one(spark, odd_docs):
+    kept = simhash.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect())
+    found = simhash.near_duplicates(odd_docs).collect()
+    assert ids == sorted({r["component_id"] for r in found})
+    assert kept.where("doc_id is null").count() == 2
+
+
+def test_long_text_is_read_whole():
+    text = prose(9, 150_000)
+    assert simhash.text_fingerprint(text.encode()) % 2**64 == plain_fingerprint(text)

@@ -1,0 +1,118 @@
+import re
+from collections import defaultdict
+
+import pytest
+
+from changefeed.llm import urls
+from changefeed.llm.queries import URL_RULES
+
+PAGES = "page_id bigint, url string, html string, host string, path string, component string, verdict string"
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def plain_rule(host, path):
+    fits = [
+        (len(h + p), h + p, verdict)
+        for verdict, h, p in URL_RULES
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fits, default=(0, None, None))[1:]
+
+
+def plain_filter(rows, links, union):
+    for a, b in links:
+        union.join(a, b)
+    verdicts = defaultdict(set)
+    for url in {*union.up, *(r[1] for r in rows if r[1] is not None)}:
+        verdicts[union.find(url)].add(plain_rule(*plain_parts(url))[1])
+    out = []
+    for page, url, *_ in rows:
+        host, path = plain_parts(url)
+        rule, verdict = plain_rule(host, path)
+        if verdict is None:
+            known = verdicts[union.find(url)] if url is not None else set()
+            verdict = "block" if "block" in known and "allow" not in known else "allow"
+        out.append((page, host, path, rule, verdict))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows):
+    pages = spark.createDataFrame([(*r, "h", None, "c", "v") for r in rows], PAGES)
+    found = urls.filter_urls(pages, urls.rule_frame(pages, URL_RULES))
+    assert found.columns == ["page_id", "host", "path", "rule", "verdict"]
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def canonical(url):
+    return f"<head><LINK href='{url}' rel=canonical></head>"
+
+
+def refresh(url):
+    return f'<meta http-equiv="refresh" content="0; url={url}">'
+
+
+BLOCKED, ALLOWED = "http://x.com/de/1", "https://a.org/index"
+ROWS = [
+    (1, "http://u.net/1", canonical(BLOCKED)),
+    (2, "http://u.net/2", refresh("http://u.net/1")),
+    (3, "http://v.net/1", canonical(BLOCKED)),
+    (4, "http://v.net/1", refresh(ALLOWED)),
+    (5, "http://w.net/1", canonical("http://w.net/2")),
+    (6, "HTTP://WWW.Example.ORG/en/12?q=1#f", None),
+    (7, "https://example.org/es/x", None),
+    (8, "https://example.org/es", "<p>canonical refresh http-equiv</p>"),
+    (9, "https://notexample.org", ""),
+    (10, "no scheme", None),
+    (11, None, canonical(BLOCKED)),
+    (12, "://com/de/", None),
+    (13, "http://", None),
+    (14, "http://com?x=/de/", None),
+    (15, "http://s.net/a", canonical("/b")),
+    (16, "http://s.net/b#x", canonical("relative")),
+    (16, "http://s.net/b#x", canonical("relative")),
+    (None, "http://a.b.com/fr/1", None),
+    (18, "http://u.net/2#top", None),
+    (19, "http://example.org/EN/1", None),
+    (20, BLOCKED, None),
+]
+LINKS = [
+    ("http://u.net/1", BLOCKED), ("http://u.net/2", "http://u.net/1"), ("http://v.net/1", ALLOWED), ("http://v.net/1", BLOCKED),
+    ("http://w.net/1", "http://w.net/2"), ("http://s.net/a", "http://s.net/b"), ("http://s.net/b#x", "http://s.net/b"),
+    ("http://u.net/2#top", "http://u.net/2"), ("HTTP://WWW.Example.ORG/en/12?q=1#f", "HTTP://WWW.Example.ORG/en/12?q=1"),
+]
+
+
+def test_aliases_and_rules(spark, union):
+    assert run(spark, ROWS) == plain_filter(ROWS, LINKS, union)
+
+
+def test_blocks_reach_aliases(spark):
+    rows = [r for r in ROWS if r[0] in (1, 2, 18, 20)]
+    assert {r[0]: r[4] for r in run(spark, rows)} == {1: "block", 2: "block", 18: "block", 20: "block"}
+    assert {r[4] for r in run(spark, ROWS) if r[0] in (3, 4)} == {"allow"}
+
+
+def test_pages(spark, sf_dir, union):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()
+    links = [(r["url"], r["url"].split("#")[0]) for r in pages if "#" in r["url"]]
+    rows = [tuple(r) for r in pages]
+    assert run(spark, rows) == plain_filter(rows, links, union)
+
+
+def test_empty(spark):
+    assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("rules", [(), (("block", "com", ""), ("allow", "com", ""), ("block", "net", "/"))])
+def test_other_rules(spark, rules):
+    pages = spark.createDataFrame([(1, "http://a.com/x", None), (2, "http://b.net/", None)], "page_id int, url string, html string")
+    found = urls.filter_urls(pages, urls.rule_frame(pages, rules)).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {1: "allow", 2: "block" if rules else "allow"}
