@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from changefeed.functions.sequence import norm_seq
 from changefeed.operators.ordinal import with_shard_ordinal
@@ -10,8 +10,8 @@ from changefeed.operators.positions import apply_positions
 from changefeed.schema import DEFAULT_CAP, DEFAULT_PAGE, SHARD_KEY
 from changefeed.storage import materialise, materialise_counted
 
-# Slots a shard's pre-cut rows are spread over before the final cut.
-_SLOTS = 256
+# Numbers the parts of an unpacked record, which share one sequence number.
+SUB_SEQUENCE = "subSequence"
 
 
 def batch_limit(page: int = DEFAULT_PAGE, cap: int = DEFAULT_CAP) -> int:
@@ -42,38 +42,12 @@ def cap_per_shard(
 ) -> DataFrame:
     """The first rows of each shard, up to :func:`batch_limit`.
 
-    ``(shard, sequenceNumber)`` is taken to be unique, as in any feed.
+    ``(shard, sequenceNumber)``, with ``subSequence`` if there is one, tells rows
+    apart. Only shards with more rows than the limit are cut: their keys are
+    numbered, and full rows are filtered by that one bound per shard, so payloads
+    are not shuffled.
     """
     limit = batch_limit(page, cap)
-    pruned_before_shuffle = int(
-        rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if limit <= pruned_before_shuffle:
-        return _salted_cut(rows, limit)
-    return _cut_at_sequence(rows, limit)
-
-
-def _salted_cut(rows: DataFrame, limit: int) -> DataFrame:
-    # Small limit: Spark keeps at most `limit` rows per shard and task before each
-    # shuffle. The slot spreads a shard that lives in very many input partitions.
-    seq = norm_seq("sequenceNumber")
-    slot = F.pmod(F.spark_partition_id(), F.lit(_SLOTS))
-    near = Window.partitionBy(*SHARD_KEY, "_slot").orderBy(seq)
-    whole = Window.partitionBy(*SHARD_KEY).orderBy(seq)
-    return (
-        rows.withColumn("_slot", slot)
-        .withColumn("_r", F.row_number().over(near))
-        .filter(F.col("_r") <= limit)
-        .withColumn("_r", F.row_number().over(whole))
-        .filter(F.col("_r") <= limit)
-        .select(*rows.columns)
-    )
-
-
-def _cut_at_sequence(rows: DataFrame, limit: int) -> DataFrame:
-    # Large limit: only shards with more rows than that are cut. Number their keys,
-    # note where each is cut, and filter the full rows by that one bound per shard.
-    # Payloads are never shuffled, and nothing is if no shard is over the limit.
     large, shards = materialise_counted(
         rows.groupBy(*SHARD_KEY)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -81,16 +55,21 @@ def _cut_at_sequence(rows: DataFrame, limit: int) -> DataFrame:
         .select(*SHARD_KEY),
         "large",
     )
-    if not shards:
-        return rows
-    keys = rows.select(*SHARD_KEY, "sequenceNumber").join(large, SHARD_KEY, "left_semi")
+    return cut_large(rows, large, limit) if shards else rows
+
+
+def cut_large(rows: DataFrame, large: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each shard in ``large``, and all rows of other shards."""
+    tie = [SUB_SEQUENCE] if SUB_SEQUENCE in rows.columns else []
+    keys = rows.select(*SHARD_KEY, "sequenceNumber", *tie).join(large, SHARD_KEY, "left_semi")
+    place = F.struct(norm_seq("sequenceNumber"), *tie)
     bounds = materialise(
-        with_shard_ordinal(keys)
+        with_shard_ordinal(keys, tie_break=tuple(tie))
         .filter(F.col("ordinal") == limit)
-        .select(*SHARD_KEY, norm_seq("sequenceNumber").alias("_last")),
+        .select(*SHARD_KEY, place.alias("_last")),
         "bounds",
     )
-    inside = F.col("_last").isNull() | (norm_seq("sequenceNumber") <= F.col("_last"))
+    inside = F.col("_last").isNull() | (place <= F.col("_last"))
     return rows.join(bounds, SHARD_KEY, "left").filter(inside).select(*rows.columns)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from changefeed.functions.sequence import norm_seq
 from changefeed.schema import SHARD_KEY
-from changefeed.storage import materialise_counted
+from changefeed.storage import materialise, materialise_counted
 
-# Longest chain that doubling can follow is 2 ** this.
-_MAX_DOUBLINGS = 24
+# Generations that a frontier moves before what it has reached is written.
+_GENERATIONS = 8
 
 
 def open_shards(catalogue: DataFrame) -> DataFrame:
@@ -70,65 +71,66 @@ def require_closed_parents(catalogue: DataFrame) -> DataFrame:
     )
 
 
-def _compose(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a, c) with (a, b) in ``left`` and (b, c) in ``right``."""
-    step = right.select(
-        "streamName", F.col("shardId").alias("ancestorId"), F.col("ancestorId").alias("_next")
-    )
-    return left.join(step, ["streamName", "ancestorId"]).select(
-        *SHARD_KEY, F.col("_next").alias("ancestorId")
-    )
-
-
-def _doublings(catalogue: DataFrame):
-    """Ancestor pairs at distance 1, 2, 4, 8 and so on, until there are none."""
-    hop = shard_parents(catalogue).withColumnRenamed("parentId", "ancestorId")
-    for _ in range(_MAX_DOUBLINGS):
-        hop, pairs = materialise_counted(hop, "hop")
-        if not pairs:
-            return
-        yield hop
-        hop = _compose(hop, hop).distinct()
-    raise ValueError("shard lineage has a cycle")
-
+def with_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The given shards and all their listed ancestors, each once.
 
-def _extend(reached: DataFrame, hop: DataFrame) -> DataFrame:
-    """Add to each reached ancestor the ones a hop further."""
-    step = hop.select(
-        "streamName", F.col("shardId").alias("ancestorId"), F.col("ancestorId").alias("_next")
-    )
-    carried = [c for c in reached.columns if c != "ancestorId"]
+    A frontier of shards not reached before moves some generations a round, and is
+    written to the shared folder; only sets of shards are ever built, none of them
+    larger than the catalogue. A lineage that leads back to itself fails.
+    """
+    parents = materialise(shard_parents(catalogue), "parents")
+    reached = frontier = materialise(shards.select(*SHARD_KEY).distinct(), "frontier")
+    while True:
+        moved = frontier.withColumn("_age", F.lit(0))
+        for age in range(_GENERATIONS):
+            moved = _older(moved, parents, age)
+        frontier, found = materialise_counted(
+            moved.select(*SHARD_KEY).distinct().join(reached, SHARD_KEY, "left_anti"), "frontier"
+        )
+        if not found:
+            break
+        reached = reached.unionByName(frontier)
+    _require_no_cycle(reached, parents, catalogue)
+    return reached
+
+
+def _older(moved: DataFrame, parents: DataFrame, age: int) -> DataFrame:
+    """All rows, and after each of the given age its parents, one generation older."""
+    step = parents.select(F.col("streamName").alias("_stream"), F.col("shardId").alias("_of"), "parentId")
+    newest = F.when(F.col("_age") == age, F.col("shardId"))
+    itself = F.struct("shardId", "_age")
+    parent = F.struct(F.col("parentId").alias("shardId"), F.lit(age + 1).alias("_age"))
     return (
-        reached.join(step, ["streamName", "ancestorId"], "left")
-        .select(*carried, F.explode(F.array("ancestorId", "_next")).alias("ancestorId"))
-        .filter(F.col("ancestorId").isNotNull())
-        .distinct()
+        moved.join(step, (F.col("streamName") == F.col("_stream")) & (newest == F.col("_of")), "left")
+        .select(
+            "streamName",
+            F.explode(F.when(F.col("_of").isNull(), F.array(itself)).otherwise(F.array(itself, parent))).alias("_s"),
+        )
+        .select("streamName", "_s.*")
     )
 
 
-def shard_ancestors(catalogue: DataFrame) -> DataFrame:
-    """(shard, ancestor) pairs, the closure of :func:`shard_parents`.
-
-    Each hop doubles the distance, so a chain of n shards takes log2(n) rounds
-    and not n. Any distance is a sum of some hops, so one join per hop, starting
-    from each shard itself, reaches every ancestor.
-    """
-    itself = F.col("shardId").alias("ancestorId")
-    reached = shard_parents(catalogue).select(*SHARD_KEY, itself).distinct()
-    for hop in _doublings(catalogue):
-        reached = _extend(reached, hop)
-    return reached.filter(F.col("ancestorId") != F.col("shardId"))
-
-
-def with_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """The given shards and all their listed ancestors, each once.
-
-    Keeps a set of shards, never the pairs.
-    """
-    reached = shards.select("streamName", F.col("shardId").alias("ancestorId")).distinct()
-    for hop in _doublings(catalogue):
-        reached = _extend(reached, hop)
-    return reached.withColumnRenamed("ancestorId", "shardId")
+def shard_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The listed ancestors of the given shards, each once, without these shards."""
+    return with_ancestors(shards, catalogue).join(shards, SHARD_KEY, "left_anti")
+
+
+def _require_no_cycle(reached: DataFrame, parents: DataFrame, catalogue: DataFrame) -> None:
+    # A cycle has a parent that does not start before its child. Only if there is
+    # one are childless shards taken away, until none is left or all have children.
+    start = catalogue.select(*SHARD_KEY, norm_seq("startSeq").alias("_start"))
+    before = start.select("streamName", F.col("shardId").alias("parentId"), F.col("_start").alias("_before"))
+    edges = parents.join(reached, SHARD_KEY)
+    late = edges.join(start, SHARD_KEY).join(before, ["streamName", "parentId"])
+    if late.filter(~F.coalesce(F.col("_before") < F.col("_start"), F.lit(False))).isEmpty():
+        return
+    left, count = materialise_counted(edges, "edges")
+    while count:
+        parent = left.select("streamName", F.col("parentId").alias("shardId")).distinct()
+        left, fewer = materialise_counted(left.join(parent, SHARD_KEY, "left_semi"), "edges")
+        if fewer == count:
+            raise ValueError("shard lineage has a cycle")
+        count = fewer
 
 
 def latest_positions(

@@ -1,15 +1,13 @@
 """Position log: a keyed table of where each shard stood after each batch.
 
-Entries are appended under ``batch_id`` directories with a version, and the
-newest version of a key wins. So adding needs no read, a retried add replaces
-the first, a lost executor only repeats its own task, and a batch of a million
-shards is a few files rather than a million.
+Entries are appended under ``batch_id`` directories with a version, one more than
+the highest that the batch has, and the newest version of a key wins. So a retried
+add replaces the first whatever a clock says, a lost executor only repeats its own
+task, and a batch of a million shards is a few files rather than a million.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from changefeed import storage
@@ -60,17 +58,24 @@ def log_add(entries: DataFrame, path: str, batch_id: int | None = None) -> None:
     """
     if batch_id is not None:
         entries = entries.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    spark = entries.sparkSession
+    stored = _stored(spark, path, log_batch_ids(spark, path))
+    if batch_id is not None:
+        stored = stored.filter(F.col("batch_id") == batch_id)
+    newest = stored.groupBy("batch_id").agg(F.max("version").alias("_newest"))
     incomplete = F.col("iteratorType").isNull() | F.col("iteratorPosition").isNull()
     refuse = F.raise_error(F.lit("a null position cannot be written to the position log"))
     (
-        entries.select(
+        entries.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        .join(newest, "batch_id", "left")
+        .select(
             *SHARD_KEY,
             F.when(incomplete, refuse.cast("string"))
             .otherwise(F.col("iteratorType"))
             .alias("iteratorType"),
             "iteratorPosition",
-            F.lit(time.time_ns()).alias("version"),
-            F.col("batch_id").cast("bigint").alias("batch_id"),
+            (F.coalesce("_newest", F.lit(0)) + 1).alias("version"),
+            "batch_id",
         )
         .hint("rebalance", "batch_id")
         .write.mode("append")
@@ -79,31 +84,25 @@ def log_add(entries: DataFrame, path: str, batch_id: int | None = None) -> None:
     )
 
 
-def log_read(spark: SparkSession, path: str) -> DataFrame:
-    """All entries, newest version of each key; filters on ``batch_id`` prune directories."""
-    batches = log_batch_ids(spark, path)
+def _stored(spark: SparkSession, path: str, batches: list[int]) -> DataFrame:
+    """Every version of the entries of some batches."""
     if not batches:
-        return spark.createDataFrame([], _STORED).drop("version").select(
-            "batch_id", *SHARD_KEY, "iteratorType", "iteratorPosition"
-        )
+        return spark.createDataFrame([], _STORED)
     root = _root(path)
     dirs = [f"{root}/{_PREFIX}{b}" for b in batches]
-    return _newest(spark.read.schema(_STORED).option("basePath", root).parquet(*dirs))
+    return spark.read.schema(_STORED).option("basePath", root).parquet(*dirs)
+
+
+def log_read(spark: SparkSession, path: str) -> DataFrame:
+    """All entries, newest version of each key; filters on ``batch_id`` prune directories."""
+    return _newest(_stored(spark, path, log_batch_ids(spark, path)))
 
 
 def log_get(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Entries of one batch, or ``None`` for a batch the log does not know."""
-    root = _root(path)
-    directory = f"{root}/{_PREFIX}{batch_id}"
-    if not storage.exists(spark, directory):
+    if not storage.exists(spark, f"{_root(path)}/{_PREFIX}{batch_id}"):
         return None
-    return _newest(spark.read.schema(_STORED).option("basePath", root).parquet(directory))
-
-
-def numeric_names(names: DataFrame, name: str = "name") -> DataFrame:
-    """Of directory names, the ones that are batch ids, as ``batch_id``."""
-    as_id = F.when(F.col(name).rlike("^[+-]?[0-9]+$"), F.col(name).try_cast("bigint"))
-    return names.select(as_id.alias("batch_id")).filter(F.col("batch_id").isNotNull())
+    return _newest(_stored(spark, path, [batch_id]))
 
 
 def log_batch_ids(spark: SparkSession, path: str) -> list[int]:
@@ -116,11 +115,6 @@ def log_batch_ids(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def retained(log: DataFrame, threshold: int) -> DataFrame:
-    """The entries a purge at ``threshold`` keeps."""
-    return log.filter(F.col("batch_id") >= threshold)
-
-
 def log_purge(spark: SparkSession, path: str, threshold: int) -> list[int]:
     """Remove the batches below ``threshold`` from storage; returns their ids."""
     gone = [b for b in log_batch_ids(spark, path) if b < threshold]
@@ -132,7 +126,7 @@ def log_purge(spark: SparkSession, path: str, threshold: int) -> list[int]:
 def retention_threshold(current_batch: int, min_batches_to_retain: int) -> int | None:
     """Lowest batch id to keep, or ``None`` while nothing is old enough."""
     if min_batches_to_retain <= 0:
-        raise ValueError("min_batches_to_retain has to be positive")
+        raise ValueError(f"cannot retain {min_batches_to_retain} batches; keep one or more")
     threshold = current_batch - min_batches_to_retain
     return threshold if threshold >= 0 else None
 

@@ -14,9 +14,6 @@ STREAM_NAME = "streamName"
 ITERATOR_TYPE = "iteratorType"
 ITERATOR_POSITION = "iteratorPosition"
 
-# Shards in one offset document; a stream with more gets several documents.
-MAX_SHARDS_PER_DOCUMENT = 10_000
-
 
 def next_positions(
     slice_: DataFrame, positions: DataFrame, catalogue: DataFrame
@@ -88,7 +85,7 @@ def previous_positions(log: DataFrame, batch_id: int) -> DataFrame:
     if batch_id < 0:
         return found.filter(F.lit(False))
     message = (
-        f"no committed positions for batch {batch_id}; some data may have been missed"
+        f"the position log has no batch {batch_id}; going on would skip its records"
     )
     present = found.select(F.count(F.lit(1))).scalar()
     # The empty case has no row to fail on, so it gets one that fails.
@@ -101,27 +98,23 @@ def previous_positions(log: DataFrame, batch_id: int) -> DataFrame:
     return found.unionByName(missing)
 
 
-def offset_encode(
-    positions: DataFrame, max_shards: int = MAX_SHARDS_PER_DOCUMENT
-) -> DataFrame:
+def offset_encode(positions: DataFrame, parts: int = 1) -> DataFrame:
     """Positions with a ``batchId`` column to offset documents (JSON).
 
-    One document per stream and batch: ``streamName, batchId, part, offset``. A
-    stream of more than ``max_shards`` shards is spread over several parts, each
-    a complete document, so no task ever builds an unbounded one.
+    ``parts`` documents at most per stream and batch, each complete in itself:
+    ``streamName, batchId, part, offset``. A shard goes to a part by its id; ask
+    for more parts where a stream has more shards than one task should hold.
     """
+    if parts < 1:
+        raise ValueError("an offset needs one part at least")
     key = ["streamName", "batchId"]
-    sizes = positions.groupBy(*key).agg(
-        F.ceil(F.count(F.lit(1)) / max_shards).cast("int").alias("_parts")
-    )
     entry = F.struct(
         "shardId",
         F.coalesce("iteratorType", F.lit("")).alias("kind"),
         F.coalesce("iteratorPosition", F.lit("")).alias("position"),
     )
     documents = (
-        positions.join(sizes, key)
-        .withColumn("part", F.pmod(F.xxhash64("shardId"), F.col("_parts")).cast("int"))
+        positions.withColumn("part", F.pmod(F.xxhash64("shardId"), F.lit(parts)).cast("int"))
         .groupBy(*key, "part")
         .agg(F.sort_array(F.collect_list(entry)).alias("_shards"))
     )

@@ -24,6 +24,10 @@ from changefeed.storage import materialise, scratch_path
 STREAM = "events"
 FIRST_DAY = "2024-01-01"
 BUCKETS = 8
+# Records a listed page has, so that shards of the small test tables have several.
+PAGE = 5
+# Where the feed of mixed lengths is read from.
+MIXED_START = "5" + "0" * 24
 
 EVENT = event_schema(image={"id": "N", "n": "S", "value": "N", "k": "N"}, keys={"id": "N"})
 
@@ -96,6 +100,14 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with sequence numbers of very different lengths, some with zeros in front."""
+    number = F.col("sequenceNumber").cast("bigint")
+    zeros = F.repeat(F.lit("0"), (number % 5 * 11).cast("int"))
+    longer = F.concat(F.when(number % 3 == 0, F.lit("000")).otherwise(F.lit("")), number.cast("string"), zeros)
+    return feed(spark, sf_dir).withColumn("sequenceNumber", longer)
+
+
 def shard_day() -> Column:
     return F.substring("shardId", 9, 5).cast("int")
 
@@ -148,7 +160,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         path = scratch_path(spark, "feed")
-        append_feed(feed(spark, sf_dir), path)
+        append_feed(feed(spark, sf_dir), path, page=PAGE)
         ranges = materialise(stored_ranges(read_pages(spark, path)), "ranges")
         last_day = ranges.select(F.max(shard_day())).scalar()
         catalogue = materialise(

@@ -24,6 +24,13 @@ feed AS (
            || '-' || lpad(CAST(user_id % 8 AS VARCHAR), 2, '0') AS "shardId"
   FROM events)
 """
+_MIXED = f"""
+{_FEED},
+mixed AS (
+  SELECT * EXCLUDE (seq), CASE WHEN (event_id + 1) % 3 = 0 THEN '000' ELSE '' END || digits AS seq
+  FROM (SELECT *, CAST(event_id + 1 AS VARCHAR)
+                  || repeat('0', CAST((event_id + 1) % 5 * 11 AS INTEGER)) AS digits FROM feed))
+"""
 _CATALOGUE = f"""
 {_FEED},
 ranges AS (
@@ -133,6 +140,11 @@ def oracle_sql() -> dict[str, str]:
                    'string' AS "sequenceNumber", 'timestamp' AS "approximateArrivalTimestamp",
                    count(*) AS records FROM events""",
         "stream_feed_scan": envelope,
+        "stream_capped_batches": f"""
+            WITH {_FEED}
+            SELECT "shardId", seq AS "sequenceNumber",
+                   (row_number() OVER (PARTITION BY "shardId" ORDER BY seq) - 1) // 50 AS batch
+            FROM feed""",
         "shard_scan_counts": f"""
             WITH {_CATALOGUE} SELECT "shardId", "startSeq", "headSeq", records FROM ranges""",
         "shard_ranges_from_pages": f"""
@@ -190,15 +202,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, CASE WHEN event_type IN ('error', 'purchase') THEN 'TRIM_HORIZON'
                                   ELSE 'LATEST' END AS iterator_type FROM events""",
         "apply_positions": f"WITH {_APPLIED} {_KEYS} FROM applied",
+        "apply_positions_stored": f"WITH {_APPLIED} {_KEYS} FROM applied",
         # Limits
         "page_numbers": page_numbers,
         "page_numbers_stored": page_numbers,
         "cap_per_shard": f"""
             WITH {_FEED} {_KEYS} FROM feed
             QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 15""",
-        "cap_per_shard_default": f"""
-            WITH {_FEED} {_KEYS} FROM feed
-            QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 110000""",
+        "cap_per_shard_large": f"""
+            WITH {_FEED} SELECT CAST((event_id + 1) % 3 AS VARCHAR) AS "shardId", seq AS "sequenceNumber",
+              "partitionKey", ts AS "approximateArrivalTimestamp" FROM feed
+            QUALIFY row_number() OVER (PARTITION BY event_id % 3 ORDER BY seq) <= 1100""",
+        "cap_unpacked": f"""
+            WITH {_FEED}
+            SELECT "shardId", seq AS "sequenceNumber", CAST(part AS INTEGER) AS "subSequence"
+            FROM feed JOIN (SELECT unnest([0, 1]) AS part) parts ON part = 0 OR event_id % 3 = 0
+            QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq, part) <= 15""",
+        "mixed_length_sequences": f"""
+            WITH {_MIXED}
+            SELECT "shardId", seq AS "sequenceNumber", "partitionKey", ts AS "approximateArrivalTimestamp"
+            FROM mixed WHERE (length(digits), digits) > (25, '5' || repeat('0', 24))""",
+        "mixed_length_ranges": f"""
+            WITH {_MIXED}
+            SELECT "shardId", arg_min(seq, (length(digits), digits)) AS "startSeq",
+                   arg_max(seq, (length(digits), digits)) AS "headSeq", count(*) AS records
+            FROM mixed GROUP BY "shardId" """,
         "batch_slice": f"WITH {_SLICE} {_KEYS} FROM slice",
         "batch_slice_pruned": f"WITH {_SLICE} {_KEYS} FROM slice",
         # Progress
@@ -249,14 +277,19 @@ def oracle_sql() -> dict[str, str]:
             WITH {_FEED}
             SELECT seq AS "sequenceNumber", count(*) AS times FROM feed GROUP BY seq""",
         "stream_position_log": f"""
-            WITH {_CATALOGUE}
-            SELECT CAST(0 AS BIGINT) AS batch_id, "shardId",
-              CASE WHEN "endSeq" IS NULL THEN 'AFTER_SEQUENCE_NUMBER' ELSE 'SHARD_END' END
-                AS "iteratorType",
-              CASE WHEN "endSeq" IS NULL THEN
-                (SELECT max(seq) FROM feed WHERE feed."shardId" = cat."shardId") ELSE '' END
-                AS "iteratorPosition"
-            FROM cat""",
+            WITH {_CATALOGUE},
+            stage AS (
+              SELECT "shardId", seq, CASE WHEN hour(ts) >= 18 AND bucket % 2 = 0 THEN 2
+                WHEN hour(ts) >= 12 AND bucket % 2 = 0 THEN 1 ELSE 0 END AS n FROM feed),
+            ends AS (
+              SELECT batch_id, "shardId", max(seq) AS head FROM stage
+              JOIN (SELECT unnest([0, 1, 2]) AS batch_id) ON n <= batch_id GROUP BY ALL)
+            SELECT CAST(b.batch_id AS BIGINT) AS batch_id, cat."shardId",
+              CASE WHEN head IS NULL THEN 'TRIM_HORIZON' WHEN head >= "endSeq" THEN 'SHARD_END'
+                   ELSE 'AFTER_SEQUENCE_NUMBER' END AS "iteratorType",
+              CASE WHEN head IS NULL OR head >= "endSeq" THEN '' ELSE head END AS "iteratorPosition"
+            FROM cat CROSS JOIN (SELECT unnest([0, 1, 2]) AS batch_id) b
+            LEFT JOIN ends ON ends."shardId" = cat."shardId" AND ends.batch_id = b.batch_id""",
         # Lineage
         "open_shards": f"""
             WITH {_CATALOGUE} SELECT "shardId", "startSeq" FROM cat WHERE "endSeq" IS NULL""",
@@ -275,7 +308,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE ("endSeq" IS NULL OR "shardId" IN (SELECT "shardId" FROM busy))
               AND "shardId" IN (SELECT "parentId" FROM parents)""",
         "shard_ancestors": f"""
-            WITH RECURSIVE {_ANCESTORS} SELECT "shardId", a AS "ancestorId" FROM anc""",
+            WITH RECURSIVE {_ANCESTORS}
+            SELECT DISTINCT cat."shardId", cat.day < 28 AS seen
+            FROM anc JOIN cat ON cat."shardId" = anc.a
+            WHERE anc."shardId" IN (SELECT "shardId" FROM cat WHERE "endSeq" IS NULL)
+              AND "endSeq" IS NOT NULL""",
         "latest_positions": f"""
             WITH RECURSIVE {_ANCESTORS},
             prev AS (SELECT "shardId", "endSeq" FROM cat WHERE day < 28),
@@ -294,6 +331,6 @@ def oracle_sql() -> dict[str, str]:
         "position_log_retention": f"""
             WITH {_LOG} SELECT {_LOG_COLUMNS} FROM log
             WHERE batch_id >= (SELECT max(batch_id) - 12 FROM log)""",
-        "position_log_batches": """
-            SELECT event_id AS batch_id FROM events WHERE event_type <> 'error'""",
+        "position_log_batches": f"""
+            WITH {_LOG} SELECT DISTINCT CAST(batch_id AS BIGINT) AS batch_id FROM log""",
     }

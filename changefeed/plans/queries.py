@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from changefeed.functions.payload import (
     decode_event,
@@ -30,18 +31,23 @@ from changefeed.sources.feed import shard_catalogue, shard_ranges
 from changefeed.sources.store import (
     append_feed,
     read_pages,
+    stored_from,
     stored_ordinal,
     stored_ranges,
     stored_slice,
     write_catalogue,
 )
 from changefeed.storage import materialise, scratch_path
-from changefeed.streaming.runner import read_stream, write_with_log
+from changefeed.streaming.runner import drain, read_stream, write_with_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Page and cap small enough to cut the shards of the small test tables.
 PAGE, CAP = 5, 12
+# Larger ones for a stream, which then takes a few batches at most scales.
+STREAM_PAGE, STREAM_CAP = 10, 45
+# A limit over a thousand rows, and how many shards are thrown together to exceed it.
+LARGE_PAGE, LARGE_CAP, FEW_SHARDS = 100, 1_050, 3
 LOG_COLUMNS = ["batch_id", "shardId", "iteratorType", "iteratorPosition"]
 POSITION_COLUMNS = ["shardId", "iteratorType", "iteratorPosition"]
 
@@ -92,14 +98,7 @@ def stream_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, ef.stored(spark, sf_dir).feed_path, ef.STREAM, startingPosition="TRIM_HORIZON"
     )
     out = scratch_path(spark, "scan")
-    run = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{out}/rows")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    drain(lambda: _to_files(stream, out))
     return spark.read.schema(ENVELOPE).parquet(f"{out}/rows").select(
         payload_text("data").alias("data"),
         "streamName",
@@ -109,6 +108,34 @@ def stream_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _to_files(stream: DataFrame, place: str) -> DataStreamWriter:
+    return (
+        stream.writeStream.format("parquet")
+        .option("path", f"{place}/rows")
+        .option("checkpointLocation", f"{place}/checkpoint")
+    )
+
+
+@query
+def stream_capped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Which batch of a capped stream brought each record.
+    stream = read_stream(
+        spark,
+        ef.stored(spark, sf_dir).feed_path,
+        ef.STREAM,
+        startingPosition="TRIM_HORIZON",
+        includeShardId="true",
+        **{"executor.maxRecordPerRead": str(STREAM_PAGE), "executor.maxFetchRecordsPerShard": str(STREAM_CAP)},
+    )
+    place = scratch_path(spark, "capped")
+
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.select("shardId", "sequenceNumber").write.mode("overwrite").parquet(f"{place}/rows/batch={n}")
+
+    drain(lambda: stream.writeStream.option("checkpointLocation", f"{place}/checkpoint").foreachBatch(keep))
+    return spark.read.schema("shardId string, sequenceNumber string, batch bigint").parquet(f"{place}/rows")
+
+
 @query
 def shard_scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_ranges(ef.stored(spark, sf_dir).feed).select(
@@ -285,6 +312,12 @@ def parse_starting_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def apply_positions_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ef.stored(spark, sf_dir)
+    return _keys(stored_from(spark, s.feed_path, s.positions))
+
+
 @query
 def apply_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = ef.stored(spark, sf_dir)
@@ -313,8 +346,31 @@ def cap_per_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def cap_per_shard_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keys(limits.cap_per_shard(ef.stored(spark, sf_dir).feed))
+def cap_per_shard_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Few shards, each over a limit of many pages.
+    bucket = F.col("sequenceNumber").cast("bigint") % FEW_SHARDS
+    rows = ef.feed(spark, sf_dir).withColumn("shardId", bucket.cast("string"))
+    return _keys(limits.cap_per_shard(rows, LARGE_PAGE, LARGE_CAP))
+
+
+@query
+def cap_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The cap counts the parts of packed records, not the packs.
+    parts = unpack_records(ef.packed(ef.stored(spark, sf_dir).feed))
+    return limits.cap_per_shard(parts, PAGE, CAP).select("shardId", "sequenceNumber", "subSequence")
+
+
+@query
+def mixed_length_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Numbers of up to 52 digits: order and position turn on their lengths.
+    return _keys(positions.read_from(ef.mixed_lengths(spark, sf_dir), AFTER_SEQUENCE_NUMBER, ef.MIXED_START))
+
+
+@query
+def mixed_length_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "mixed")
+    append_feed(ef.mixed_lengths(spark, sf_dir), path)
+    return stored_ranges(read_pages(spark, path)).select("shardId", "startSeq", "headSeq", "records")
 
 
 @query
@@ -385,7 +441,7 @@ def many_streams_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def offset_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = progress.offset_encode(_by_batch(ef.stored(spark, sf_dir)), max_shards=3)
+    documents = progress.offset_encode(_by_batch(ef.stored(spark, sf_dir)), parts=3)
     return progress.offset_decode(documents).withColumnRenamed("batchId", "batch_id").select(
         "streamName", *LOG_COLUMNS
     )
@@ -401,17 +457,16 @@ def previous_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Two runs of one query, the second after half of the feed was appended.
     rows = ef.feed(spark, sf_dir)
-    middle = ef.stored(spark, sf_dir).feed.select(F.max("seqKey")).scalar()
-    half = norm_seq("sequenceNumber").cast("double") * 2 <= middle.cast("double")
+    number = F.col("sequenceNumber").cast("double")
+    middle = rows.select(F.max(number)).scalar()
+    half = number * 2 <= middle
     place = scratch_path(spark, "resume")
     for part in (rows.filter(half), rows.filter(~half)):
         append_feed(part, f"{place}/feed")
         stream = read_stream(
             spark, f"{place}/feed", ef.STREAM, startingPosition="trim_horizon"
         )
-        stream.writeStream.format("parquet").option("path", f"{place}/rows").option(
-            "checkpointLocation", f"{place}/checkpoint"
-        ).trigger(availableNow=True).start().awaitTermination()
+        drain(lambda: _to_files(stream, place))
     return (
         spark.read.schema(ENVELOPE)
         .parquet(f"{place}/rows")
@@ -422,27 +477,32 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_position_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A stream that logs where each shard stands after its batch.
+    # A stream from the latest records on: a first batch without records pins all
+    # shards, and those of odd buckets, idle after it, stay after their heads.
     s = ef.stored(spark, sf_dir)
     place = scratch_path(spark, "logged")
-    append_feed(ef.feed(spark, sf_dir), f"{place}/feed")
+    rows = ef.feed(spark, sf_dir)
+    late = (F.hour("approximateArrivalTimestamp") >= 12) & (ef.shard_bucket() % 2 == 0)
+    later = (F.hour("approximateArrivalTimestamp") >= 18) & late
     write_catalogue(s.catalogue, f"{place}/feed")
-    stream = read_stream(
-        spark, f"{place}/feed", ef.STREAM, startingPosition="trim_horizon", includeShardId="true"
-    )
-    writer = write_with_log(
-        stream,
+
+    def run() -> None:
         # One folder per batch, so that a replayed batch replaces itself.
-        lambda batch, n: batch.write.mode("overwrite").parquet(f"{place}/rows/batch={n}"),
-        f"{place}/feed",
-        f"{place}/log",
-        ef.STREAM,
-        "trim_horizon",
-    )
-    writer.option("checkpointLocation", f"{place}/checkpoint").trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    return position_log.log_get(spark, f"{place}/log", 0).select(*LOG_COLUMNS)
+        stream = read_stream(spark, f"{place}/feed", ef.STREAM, includeShardId="true")
+        writer = write_with_log(
+            stream,
+            lambda batch, n: batch.write.mode("overwrite").parquet(f"{place}/rows/batch={n}"),
+            f"{place}/feed",
+            f"{place}/log",
+            ef.STREAM,
+            f"{place}/checkpoint",
+        )
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    for part in (rows.filter(~late), rows.filter(late & ~later), rows.filter(later)):
+        append_feed(part, f"{place}/feed")
+        run()
+    return position_log.log_read(spark, f"{place}/log").select(*LOG_COLUMNS)
 
 
 # Lineage
@@ -482,9 +542,14 @@ def open_parent_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shard_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineage.shard_ancestors(ef.stored(spark, sf_dir).catalogue).select(
-        "shardId", "ancestorId"
-    )
+    # Ancestors of open shards that a batch before has not seen.
+    catalogue = ef.stored(spark, sf_dir).catalogue
+    opened = lineage.open_shards(catalogue).select(*SHARD_KEY)
+    seen = ef.earlier_positions(catalogue).select(*SHARD_KEY)
+    found = lineage.shard_ancestors(opened, catalogue)
+    return found.select("shardId", F.lit(True).alias("listed")).join(
+        seen.select("shardId", F.lit(True).alias("seen")), "shardId", "left"
+    ).select("shardId", F.coalesce("seen", F.lit(False)).alias("seen"))
 
 
 @query
@@ -531,10 +596,10 @@ def position_log_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def position_log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Names under a log folder: batch ids, and names that are not.
-    names = ef.events(spark, sf_dir).select(
-        F.when(F.col("event_type") == "error", F.concat(F.lit("tmp-"), F.col("event_id")))
-        .otherwise(F.col("event_id").cast("string"))
-        .alias("name")
-    )
-    return position_log.numeric_names(names)
+    # A folder with batches of the log and others beside them.
+    place = scratch_path(spark, "names")
+    ef.write_log(ef.stored(spark, sf_dir).ranges, place)
+    names = ef.events(spark, sf_dir).select(F.concat(F.lit("tmp-"), "event_type").alias("batch_id"), "event_id")
+    names.write.mode("append").partitionBy("batch_id").parquet(f"{place}/{position_log.LOG_DIR}")
+    found = position_log.log_batch_ids(spark, place)
+    return spark.createDataFrame([(n,) for n in found], "batch_id bigint")

@@ -46,9 +46,6 @@ CATALOGUE = T.StructType(
     ]
 )
 
-# Sequence numbers are compared as text of this width.
-SEQUENCE_WIDTH = 40
-
 # Soft limits of one batch.
 DEFAULT_PAGE = 10_000
 DEFAULT_CAP = 100_000

@@ -17,23 +17,36 @@ LOG_KIND = "executor.metadata.committer"
 LOG_PATH = "executor.metadata.path"
 
 
+# Blanks and control characters, code points 0 to 32.
+_BLANKS = "".join(chr(code) for code in range(33))
+
+# Fixed value: how a missing stream name is reported.
+_NO_STREAM = "Stream name is a required field"
+
+
+def log_settings(options: dict[str, str]) -> tuple[str, str | None]:
+    """Type and place of the position log, as the options of a stream name them."""
+    lowered = {k.lower(): v for k, v in options.items()}
+    return find_option(lowered, LOG_KIND) or "hdfs", find_option(lowered, LOG_PATH)
+
+
 @dataclass(frozen=True)
 class FeedOptions:
-    """Validated options; ``cap`` and ``page`` are ``None`` if no limit was asked for."""
+    """Validated options; the limits hold whether or not they were asked for."""
 
     stream_name: str
     path: str
     start: str
     include_shard_id: bool
-    page: int | None
-    cap: int | None
+    page: int
+    cap: int
 
 
 def starting_position(text: str | None) -> str:
     """``LATEST`` if absent; blanks around it and its case do not matter."""
     if text is None:
         return LATEST
-    wanted = text.strip("".join(map(chr, range(33)))).lower()
+    wanted = text.strip(_BLANKS).lower()
     if wanted == "latest":
         return LATEST
     if wanted == "trim_horizon":
@@ -50,10 +63,10 @@ def find_option(options: dict[str, str], name: str) -> str | None:
     return None
 
 
-def _count(options: dict[str, str], name: str, least: int) -> int | None:
+def _count(options: dict[str, str], name: str, least: int, default: int) -> int:
     text = find_option(options, name)
     if text is None:
-        return None
+        return default
     value = int(text)
     if value < least:
         raise ValueError(f"{name} must be at least {least}, not {value}")
@@ -64,20 +77,15 @@ def parse_options(options: dict[str, str]) -> FeedOptions:
     lowered = {k.lower(): v for k, v in options.items()}
     stream = lowered.get(STREAM_NAME)
     if not stream:
-        raise ValueError("Stream name is a required field")
+        raise ValueError(_NO_STREAM)
     path = lowered.get(PATH)
     if not path:
         raise ValueError("path of the stored feed is a required field")
-    page = _count(lowered, MAX_RECORDS_PER_READ, 1)
-    cap = _count(lowered, MAX_RECORDS_PER_SHARD, 0)
-    if page is not None or cap is not None:
-        page = DEFAULT_PAGE if page is None else page
-        cap = DEFAULT_CAP if cap is None else cap
     return FeedOptions(
         stream_name=stream,
         path=path.rstrip("/"),
         start=starting_position(lowered.get(STARTING_POSITION)),
         include_shard_id=lowered.get(INCLUDE_SHARD_ID, "false").lower() == "true",
-        page=page,
-        cap=cap,
+        page=_count(lowered, MAX_RECORDS_PER_READ, 1, DEFAULT_PAGE),
+        cap=_count(lowered, MAX_RECORDS_PER_SHARD, 0, DEFAULT_CAP),
     )

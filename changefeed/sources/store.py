@@ -1,7 +1,8 @@
 """A feed as a Parquet table, laid out for reading shards from a position.
 
 ``<path>/data``    the records, range-clustered by shard and sequence number, so
-                   file statistics prune reads and a hot shard fills many files
+                   file statistics prune reads and a hot shard fills many files;
+                   a partition per append and part, with one file each
 ``<path>/pages``   per append and file: the pages (runs of records) of each shard
 ``<path>/shards``  the shard catalogue, a new version per write (optional)
 
@@ -13,13 +14,12 @@ from __future__ import annotations
 
 import time
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from changefeed import storage
 from changefeed.functions.sequence import norm_seq
-from changefeed.operators.limits import batch_limit, cap_per_shard
+from changefeed.operators.limits import batch_limit, cut_large
 from changefeed.operators.positions import reached
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
@@ -36,11 +36,9 @@ from changefeed.schema import (
 
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 
-# Most files a read names one by one; beyond that it names whole appends.
-_MAX_NAMED = 10_000
-
-# Partition column of both tables: which append the row came with.
+# Partition columns: which append a row came with, and in which of its files.
 _APPEND = T.StructField("append", T.StringType())
+_PART = T.StructField("part", T.IntegerType())
 
 _FEED = T.StructType(
     [
@@ -55,15 +53,21 @@ PAGES = T.StructType(
         T.StructField("streamName", T.StringType()),
         T.StructField("shardId", T.StringType()),
         T.StructField("file", T.StringType()),
+        T.StructField("part", T.IntegerType()),
         T.StructField("firstKey", T.StringType()),
         T.StructField("lastKey", T.StringType()),
         T.StructField("firstSeq", T.StringType()),
         T.StructField("lastSeq", T.StringType()),
+        T.StructField("firstArrival", T.TimestampType()),
+        T.StructField("lastArrival", T.TimestampType()),
         T.StructField("firstRow", T.LongType()),
         T.StructField("records", T.LongType()),
     ]
 )
 
+# The catalogue as stored: shards that are gone stay, marked as not listed.
+_LISTING = T.StructType([*CATALOGUE.fields, T.StructField("listed", T.BooleanType())])
+
 
 def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -76,8 +80,8 @@ def append_feed(
 
     ``page`` is the most records one listed page has, the grain of a capped
     stream. Within a shard, later appends hold later sequence numbers; an append
-    that does not is refused and stays unlisted. ``files`` is how many to write,
-    at most as many as shuffle partitions by default; aim at some 128 MB each.
+    that does not is refused and removed. ``files`` is how many to write, at most
+    as many as shuffle partitions by default; aim at some 128 MB each.
     """
     spark = feed.sparkSession
     path = path.rstrip("/")
@@ -86,15 +90,20 @@ def append_feed(
     laid_out = (
         feed.select(*ENVELOPE.names, "shardId", norm_seq("sequenceNumber").alias("seqKey"))
         .repartitionByRange(*([files] if files else []), *SHARD_KEY, "seqKey")
-        .sortWithinPartitions(*SHARD_KEY, "seqKey")
+        .withColumn("part", F.spark_partition_id())
+        .sortWithinPartitions("part", *SHARD_KEY, "seqKey")
     )
     # Unlike the default type, this one has statistics that a filter on time can use.
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
-        laid_out.write.parquet(data)
+        laid_out.write.partitionBy("part").parquet(data)
     pages = _list_pages(spark, data, ticket, page)
     if _complete(spark, path, "pages"):
         pages = storage.materialise(pages, "pages")
-        _require_later(pages, read_pages(spark, path))
+        try:
+            _require_later(pages, read_pages(spark, path))
+        except ValueError:
+            storage.delete_dir(spark, data)
+            raise
     pages.write.parquet(f"{path}/pages/append={ticket}")
 
 
@@ -109,42 +118,69 @@ def _require_later(new: DataFrame, listed: DataFrame) -> None:
 
 
 def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataFrame:
-    rows = spark.read.schema(_FEED).parquet(data).select(
-        *SHARD_KEY,
-        "sequenceNumber",
-        "seqKey",
-        F.concat(F.lit(f"append={ticket}/"), F.col("_metadata.file_name")).alias("file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    # A shard is one run of sorted rows in a file, so its row numbers there place
-    # the page ends; only the rows at those ends are aggregated.
-    key = [*SHARD_KEY, "file"]
-    runs = storage.materialise(
-        rows.groupBy(*key).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last")), "runs"
-    )
-    at = F.col("_row") - F.col("_first")
-    ends = (at % page == 0) | (at % page == page - 1) | (F.col("_row") == F.col("_last"))
+    # A file is sorted, so a page of a shard is what it has of so many rows of the
+    # file, and its ends are at its lowest and highest row: one scan, no join.
+    row = F.col("_row")
+    ends = F.struct("seqKey", "sequenceNumber")
     return (
-        rows.join(runs, key)
-        .filter(ends)
-        .groupBy(*key, F.floor(at / page))
+        spark.read.schema(T.StructType([*_FEED.fields, _PART]))
+        .parquet(data)
+        .select(
+            *SHARD_KEY,
+            "part",
+            "sequenceNumber",
+            "seqKey",
+            "approximateArrivalTimestamp",
+            F.concat(
+                F.lit(f"append={ticket}/part="), F.col("part"), F.lit("/"), F.col("_metadata.file_name")
+            ).alias("file"),
+            F.col("_metadata.row_index").alias("_row"),
+        )
+        .groupBy(*SHARD_KEY, "part", "file", F.floor(row / page))
         .agg(
-            F.min("seqKey").alias("firstKey"),
-            F.max("seqKey").alias("lastKey"),
-            F.min_by("sequenceNumber", "seqKey").alias("firstSeq"),
-            F.max_by("sequenceNumber", "seqKey").alias("lastSeq"),
-            F.min("_row").alias("firstRow"),
-            (F.max("_row") - F.min("_row") + 1).alias("records"),
+            F.min_by(ends, row).alias("_first"),
+            F.max_by(ends, row).alias("_last"),
+            F.min("approximateArrivalTimestamp").alias("firstArrival"),
+            F.max("approximateArrivalTimestamp").alias("lastArrival"),
+            F.min(row).alias("firstRow"),
+            F.count(F.lit(1)).alias("records"),
+        )
+        .select(
+            *SHARD_KEY,
+            "file",
+            "part",
+            F.col("_first.seqKey").alias("firstKey"),
+            F.col("_last.seqKey").alias("lastKey"),
+            F.col("_first.sequenceNumber").alias("firstSeq"),
+            F.col("_last.sequenceNumber").alias("lastSeq"),
+            "firstArrival",
+            "lastArrival",
+            "firstRow",
+            "records",
         )
-        .select(*PAGES.names)
     )
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
-    """Store a shard listing; the newest one counts."""
-    catalogue.select(*CATALOGUE.names).write.parquet(
-        f"{path.rstrip('/')}/shards/version={_ticket()}"
-    )
+    """Store a shard listing; the newest one counts.
+
+    Shards of the listing before that are not in this one are kept as gone, which
+    tells them from shards that no listing has had yet.
+    """
+    path = path.rstrip("/")
+    listing = catalogue.select(*CATALOGUE.names, F.lit(True).alias("listed"))
+    before = _listing(catalogue.sparkSession, path)
+    if before is not None:
+        gone = before.join(catalogue.select(*SHARD_KEY), SHARD_KEY, "left_anti")
+        listing = listing.unionByName(gone.withColumn("listed", F.lit(False)))
+    listing.write.parquet(f"{path}/shards/version={_ticket()}")
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    versions = _complete(spark, path, "shards")
+    if not versions:
+        return None
+    return spark.read.schema(_LISTING).parquet(f"{path.rstrip('/')}/shards/{versions[-1]}")
 
 
 def _complete(spark: SparkSession, path: str, kind: str) -> list[str]:
@@ -167,8 +203,8 @@ def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> Da
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The stored records: envelope, ``shardId``, ``seqKey`` (the padded number), ``append``."""
-    return _read(spark, path, "data", _FEED)
+    """The stored records: envelope, ``shardId``, ``seqKey`` (see ``norm_seq``), ``append``, ``part``."""
+    return _read(spark, path, "data", T.StructType([*_FEED.fields, _PART]))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -178,10 +214,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest stored shard listing, if there is one."""
-    versions = _complete(spark, path, "shards")
-    if not versions:
-        return None
-    return spark.read.schema(CATALOGUE).parquet(f"{path.rstrip('/')}/shards/{versions[-1]}")
+    listing = _listing(spark, path)
+    return None if listing is None else listing.filter("listed").select(*CATALOGUE.names)
 
 
 def stored_ranges(pages: DataFrame) -> DataFrame:
@@ -216,7 +250,9 @@ def stored_ordinal(spark: SparkSession, path: str, into: str = "ordinal") -> Dat
         "runs",
     )
     feed = read_feed(spark, path)
-    file = F.concat(F.lit("append="), F.col("append"), F.lit("/"), F.col("_metadata.file_name"))
+    file = F.concat(
+        F.lit("append="), F.col("append"), F.lit("/part="), F.col("part"), F.lit("/"), F.col("_metadata.file_name")
+    )
     return (
         feed.select(*feed.columns, file.alias("file"), F.col("_metadata.row_index").alias("_row"))
         .join(runs, key)
@@ -224,50 +260,50 @@ def stored_ordinal(spark: SparkSession, path: str, into: str = "ordinal") -> Dat
     )
 
 
-def _by_sequence(kind: Column) -> Column:
-    return kind.isin(AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER)
-
+def _needed(pages: DataFrame, positions: DataFrame, limit: int | None) -> DataFrame:
+    """The pages that a read from the positions can need, with these.
 
-def _needed(pages: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
-    """The pages a batch can need, with the position of their shard.
-
-    A page behind the position drops out. So does a page with ``limit`` records
-    between the position and its start; the page that holds the position counts
-    for none, and after a time any page may, so there all stay. The windows run
-    over page listings, not over records.
+    A page wholly behind its shard's position drops out. So does, if there is a
+    limit, one with so many records between the position and its start; only
+    pages wholly past the position count there. The windows run over page
+    listings, not over records.
     """
-    kind = F.col("iteratorType")
+    kind, place = F.col("iteratorType"), F.col("iteratorPosition")
+    at, start = norm_seq(place), F.timestamp_millis(place.try_cast("bigint"))
+
+    def past(key: str, arrival: str) -> Column:
+        return (
+            F.when(kind == AFTER_SEQUENCE_NUMBER, F.col(key) > at)
+            .when(kind == AT_SEQUENCE_NUMBER, F.col(key) >= at)
+            .when(kind == AT_TIMESTAMP, F.col(arrival) >= start)
+            .otherwise(F.lit(True))
+        )
+
     shard = Window.partitionBy(*SHARD_KEY)
     earlier = shard.orderBy("firstKey").rowsBetween(Window.unboundedPreceding, -1)
-    counted = F.sum("records").over(earlier) - F.first("records").over(earlier)
-    return (
+    whole = F.when(past("firstKey", "firstArrival"), F.col("records")).otherwise(0)
+    needed = (
         pages.join(positions.filter(~kind.isin(SHARD_END, LATEST)), SHARD_KEY)
-        .filter(~_by_sequence(kind) | (F.col("lastKey") >= norm_seq("iteratorPosition")))
-        .withColumn("_before", F.coalesce(counted, F.lit(0)))
-        .filter((kind == AT_TIMESTAMP) | (F.col("_before") < limit))
-        .select(
-            "append",
-            "file",
-            *SHARD_KEY,
-            "lastKey",
-            kind.alias("_kind"),
-            F.col("iteratorPosition").alias("_from"),
-            F.sum("records").over(shard).alias("_most"),
-        )
+        .filter(past("lastKey", "lastArrival"))
+        .withColumn("_before", F.coalesce(F.sum(whole).over(earlier), F.lit(0)))
+    )
+    if limit is not None:
+        needed = needed.filter(F.col("_before") < limit)
+    return needed.select(
+        "append",
+        "part",
+        *SHARD_KEY,
+        "lastKey",
+        kind.alias("_kind"),
+        place.alias("_from"),
+        F.sum("records").over(shard).alias("_most"),
     )
 
 
-def _rows_in(
-    spark: SparkSession, path: str, needed: DataFrame, names: list[str] | None
-) -> DataFrame:
-    """Records past their shard's position in the needed pages, reading only those files."""
-    root = f"{path.rstrip('/')}/data"
-    if names is not None:
-        feed = spark.read.schema(T.StructType([*_FEED.fields, _APPEND])).option("basePath", root)
-        feed = feed.parquet(*[f"{root}/{name}" for name in names])
-    else:
-        feed = read_feed(spark, path)
-    runs = needed.groupBy("append", *SHARD_KEY, "_kind", "_from").agg(
+def _rows_in(spark: SparkSession, path: str, needed: DataFrame) -> DataFrame:
+    """Records past their shard's position in the needed pages, of the files that hold these."""
+    feed = read_feed(spark, path)
+    runs = needed.groupBy("append", "part", *SHARD_KEY, "_kind", "_from").agg(
         F.max("lastKey").alias("_upto")
     )
     past = reached(
@@ -276,14 +312,20 @@ def _rows_in(
         F.col("sequenceNumber"),
         F.col("approximateArrivalTimestamp"),
     )
-    # A comparison, unlike "is not null", lets Spark prune whole appends by this side.
+    # A comparison, unlike "is not null", lets Spark prune partitions by this side.
     return (
-        feed.join(runs.filter(F.col("_upto") > ""), ["append", *SHARD_KEY])
+        feed.join(runs.filter(F.col("_upto") > ""), ["append", "part", *SHARD_KEY])
         .filter(past & (F.col("seqKey") <= F.col("_upto")))
         .select(*feed.columns)
     )
 
 
+def stored_from(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """The same rows as ``apply_positions`` over the stored feed, without files behind the positions."""
+    pages = _needed(read_pages(spark, path), positions, None)
+    return _rows_in(spark, path, storage.materialise(pages, "needed"))
+
+
 def stored_slice(
     spark: SparkSession,
     path: str,
@@ -294,21 +336,13 @@ def stored_slice(
     """The same rows as ``batch_slice`` over the stored feed, reading far less of it.
 
     The page listing tells which files and which part of each shard the batch can
-    need, and which shards cannot go over the limit; only the others are cut.
+    need, and which shards cannot go over the limit; only the others are cut, by
+    their keys. Files are pruned by the join with the listing, at any number.
     """
     limit = batch_limit(page, cap)
     needed = storage.materialise(_needed(read_pages(spark, path), positions, limit), "needed")
-    is_over = F.col("_most") > limit
-    files = needed.select("file", is_over.alias("over")).distinct().limit(_MAX_NAMED + 1).collect()
-    if not files:
-        return read_feed(spark, path).filter(F.lit(False))
-    many = len(files) > _MAX_NAMED
-    over = None if many else [f["file"] for f in files if f["over"]]
-    within = None if many else [f["file"] for f in files if not f["over"]]
-    parts = []
-    if many or within:
-        parts.append(_rows_in(spark, path, needed.filter(~is_over), within))
-    if many or over:
-        cut = _rows_in(spark, path, needed.filter(is_over), over)
-        parts.append(cap_per_shard(cut, page, cap))
-    return reduce(DataFrame.unionByName, parts)
+    rows = _rows_in(spark, path, needed)
+    large, shards = storage.materialise_counted(
+        needed.filter(F.col("_most") > limit).select(*SHARD_KEY).distinct(), "large"
+    )
+    return cut_large(rows, large, limit) if shards else rows

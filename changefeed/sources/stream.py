@@ -13,17 +13,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StringType, StructType
 
+from changefeed.functions.sequence import sequence_key
+from changefeed.operators.limits import batch_limit
 from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
     ENVELOPE,
     LATEST,
-    SEQUENCE_WIDTH,
     SHARD_END,
 )
 from changefeed.sources.options import FeedOptions, parse_options
@@ -37,7 +39,13 @@ _ARROW_TYPES = {
     "approximateArrivalTimestamp": pa.timestamp("us", "UTC"),
     "shardId": pa.string(),
 }
-_PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "lastSeq", "records"]
+_PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "lastSeq", "firstRow", "records"]
+
+# Where in a file a batch ended that stopped inside a page.
+_FILE, _ROW = "file", "row"
+
+# Names of file systems here, by the schemes that Hadoop knows them by.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "file": "file"}
 
 
 def register(spark: SparkSession) -> None:
@@ -81,7 +89,20 @@ class FileRanges(InputPartition):
 
 
 def _key(seq: str) -> str:
-    return seq.rjust(SEQUENCE_WIDTH, "0") if seq else ""
+    return sequence_key(seq) if seq else ""
+
+
+def open_path(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path in it, for a plain path or any scheme that both sides know."""
+    scheme, found, rest = path.partition(":")
+    if not found or "/" in scheme:
+        return pafs.LocalFileSystem(), path
+    if scheme not in _SCHEMES:
+        known = ", ".join(sorted(_SCHEMES))
+        raise ValueError(f"a stream reads feeds on {known}; not on {scheme}: {path}")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"{_SCHEMES[scheme]}:{rest}")
 
 
 def check_offset(offset: dict) -> dict:
@@ -100,8 +121,8 @@ class ChangeFeedReader(DataSourceStreamReader):
     """Plans batches from the page listings and reads their files.
 
     Offsets name the last record of each shard in the batch, so a replayed batch
-    holds the same rows. Without a limit option an offset is the head of the
-    feed; with one, each call moves at most one batch ahead.
+    holds the same rows. Each call moves every shard one batch ahead at most, to
+    the very row where ``batch_slice`` ends.
     """
 
     def __init__(self, options: FeedOptions):
@@ -109,6 +130,7 @@ class ChangeFeedReader(DataSourceStreamReader):
         self._loaded: set = set()
         self._pages = pd.DataFrame(columns=_PAGE_COLUMNS)
         self._ends: dict | None = None
+        self._gone: set = set()
         self._seen: dict = {}
         self._started: dict | None = None
 
@@ -116,7 +138,7 @@ class ChangeFeedReader(DataSourceStreamReader):
 
     def _new_directories(self, kind: str) -> list[str]:
         """Complete subdirectories not loaded yet, oldest first."""
-        fs, root = pafs.FileSystem.from_uri(f"{self._options.path}/{kind}")
+        fs, root = open_path(f"{self._options.path}/{kind}")
         found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
         dirs = sorted(i.path for i in found if i.type == pafs.FileType.Directory)
         dirs = [d for d in dirs if d not in self._loaded]
@@ -124,7 +146,7 @@ class ChangeFeedReader(DataSourceStreamReader):
         return [d for d, m in zip(dirs, marks) if m.type == pafs.FileType.File]
 
     def _rows(self, directory: str, columns: list[str]) -> pd.DataFrame:
-        fs, _ = pafs.FileSystem.from_uri(self._options.path)
+        fs, _ = open_path(self._options.path)
         mine = pc.field("streamName") == self._options.stream_name
         table = ds.dataset(directory, filesystem=fs, format="parquet").to_table(columns, mine)
         return table.to_pandas()
@@ -138,28 +160,50 @@ class ChangeFeedReader(DataSourceStreamReader):
             self._loaded.update(new)
         listings = self._new_directories("shards")
         if listings:
-            shards = self._rows(listings[-1], ["shardId", "endSeq"])
+            shards = self._rows(listings[-1], ["shardId", "endSeq", "listed"])
+            self._gone = set(shards["shardId"][~shards["listed"]])
+            shards = shards[shards["listed"]]
             self._ends = dict(zip(shards["shardId"], shards["endSeq"]))
             self._loaded.update(listings)
 
-    def _heads(self, progress: dict, limited: bool) -> dict:
-        """Where each listed shard stands when the next batch is done."""
-        pages = self._pages
-        if self._ends is not None:
-            pages = pages[pages["shardId"].isin(list(self._ends))]
+    def _heads(self, progress: dict, limit: int | None) -> dict:
+        """Where each shard stands when the next batch is done.
+
+        Left out are only shards that a listing had and the newest one has no more.
+        """
+        pages = self._pages[~self._pages["shardId"].isin(list(self._gone))]
         done = {s: _key(at[ITERATOR_POSITION]) for s, at in progress.items()}
-        pages = pages[pages["lastKey"] > pages["shardId"].map(done).fillna("")]
-        if limited:
-            limit = (self._options.cap // self._options.page + 1) * self._options.page
-            upto = pages.groupby("shardId")["records"].cumsum()
-            # At most the limit, but never nothing: one page may be larger by itself.
-            pages = pages[(upto <= limit) | (upto == pages["records"])]
-        last = pages.drop_duplicates("shardId", keep="last")
+        pages = pages[pages["lastKey"] > pages["shardId"].map(done).fillna("")].copy()
+        # A batch may have ended inside a page, which then has fewer rows left.
+        inside = {(s, at[_FILE]): at[_ROW] for s, at in progress.items() if _FILE in at}
+        row = pd.Series([inside.get(k, -1) for k in zip(pages["shardId"], pages["file"])], pages.index, int)
+        last_row = pages["firstRow"] + pages["records"] - 1
+        pages["from"] = pages["firstRow"].where((row < pages["firstRow"]) | (row > last_row), row + 1)
+        pages["left"] = last_row - pages["from"] + 1
+        pages["upto"] = pages.groupby("shardId")["left"].cumsum()
+        if limit is not None:
+            pages = pages[pages["upto"] - pages["left"] < limit]
         heads = dict(progress)
-        for shard, seq in zip(last["shardId"], last["lastSeq"]):
-            heads[shard] = {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: seq}
+        for page in pages.drop_duplicates("shardId", keep="last").to_dict("records"):
+            at = {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: page["lastSeq"]}
+            if limit is not None and page["upto"] > limit:
+                end = int(page["from"] + limit - (page["upto"] - page["left"]) - 1)
+                at[ITERATOR_POSITION] = self._sequence_at(page["file"], end)
+                at |= {_FILE: page["file"], _ROW: end}
+            heads[page["shardId"]] = at
         return heads
 
+    def _sequence_at(self, file: str, row: int) -> str:
+        """The sequence number in one row of a file; reads one column of one row group."""
+        fs, root = open_path(f"{self._options.path}/data")
+        with pq.ParquetFile(fs.open_input_file(f"{root}/{file}")) as source:
+            for group in range(source.num_row_groups):
+                rows = source.metadata.row_group(group).num_rows
+                if row < rows:
+                    return source.read_row_group(group, ["sequenceNumber"])["sequenceNumber"][row].as_py()
+                row -= rows
+        raise ValueError(f"{file} has no such row")
+
     def _close(self, heads: dict) -> dict:
         """Mark drained shards, and forget those the catalogue no longer lists."""
         offset = {METADATA: {"streamName": self._options.stream_name}}
@@ -167,8 +211,7 @@ class ChangeFeedReader(DataSourceStreamReader):
             end = None if self._ends is None else self._ends.get(shard)
             if end and _key(at[ITERATOR_POSITION]) >= _key(end):
                 at = {**at, ITERATOR_TYPE: SHARD_END}
-            gone = self._ends is not None and shard not in self._ends
-            if not (gone and at[ITERATOR_TYPE] == SHARD_END):
+            if not (shard in self._gone and at[ITERATOR_TYPE] == SHARD_END):
                 offset[shard] = at
         return offset
 
@@ -176,13 +219,14 @@ class ChangeFeedReader(DataSourceStreamReader):
         if self._started is None:
             self._refresh()
             latest = self._options.start == LATEST
-            self._started = self._close(self._heads({}, False) if latest else {})
+            self._started = self._close(self._heads({}, None) if latest else {})
         return self._started
 
     def latestOffset(self) -> dict:
         self._refresh()
         progress = self._seen or check_offset(self.initialOffset())
-        return self._close(self._heads(progress, self._options.cap is not None))
+        limit = batch_limit(self._options.page, self._options.cap)
+        return self._close(self._heads(progress, limit))
 
     def partitions(self, start: dict, end: dict) -> list[FileRanges]:
         self._refresh()
@@ -217,7 +261,7 @@ class ChangeFeedReader(DataSourceStreamReader):
     # Reading, on the executors.
 
     def read(self, partition: FileRanges) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(f"{self._options.path}/data")
+        fs, root = open_path(f"{self._options.path}/data")
         wanted = list(ENVELOPE.names)
         if self._options.include_shard_id:
             wanted.append("shardId")

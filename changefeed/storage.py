@@ -71,6 +71,12 @@ def _file_system(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, on the file system that Spark takes it to be on."""
+    system = _file_system(spark, path)
+    return _path(spark, path).makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 

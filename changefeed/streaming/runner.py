@@ -1,87 +1,110 @@
-"""Streaming queries that also keep the position log."""
+"""Streaming queries that also keep the position log, and runs up to the head of a feed."""
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from changefeed import storage
 from changefeed.operators import position_log
-from changefeed.operators.lineage import latest_positions
-from changefeed.operators.progress import next_positions
-from changefeed.schema import LATEST, POSITIONS, SHARD_KEY, TRIM_HORIZON
+from changefeed.operators.lineage import require_closed_parents
+from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA, previous_positions
+from changefeed.schema import POSITIONS, SHARD_END, SHARD_KEY, TRIM_HORIZON
 from changefeed.sources import options as opts
 from changefeed.sources.store import read_catalogue
 from changefeed.sources.stream import FORMAT, register
-from changefeed.storage import materialise
 
 
 def read_stream(spark: SparkSession, path: str, stream_name: str, **options: str) -> DataFrame:
     """A stored feed as a streaming DataFrame."""
     register(spark)
     reader = spark.readStream.format(FORMAT).option("streamName", stream_name)
-    return reader.options(**options).load(path)
+    return reader.options(**options).load(storage.qualified(spark, path))
+
+
+def drain(writer: Callable[[], DataStreamWriter]) -> int:
+    """Run a limited stream batch after batch until it stands at the head of its feed.
+
+    With ``availableNow`` one run makes one batch, as the limit of a batch is the
+    source's own. ``writer`` gives the same query, with its checkpoint, each time.
+    Returns the number of batches.
+    """
+    batches = 0
+    while True:
+        query = writer().trigger(availableNow=True).start()
+        query.awaitTermination()
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return batches
+        batches += 1
 
 
 def write_with_log(
     stream: DataFrame,
     sink: Callable[[DataFrame, int], None],
     feed_path: str,
-    log_path: str,
+    log_path: str | None,
     stream_name: str,
-    start: str = LATEST,
+    checkpoint: str,
     min_batches_to_retain: int | None = None,
-    log_kind: str = "hdfs",
+    options: dict[str, str] | None = None,
 ) -> DataStreamWriter:
     """A writer that gives each batch to ``sink``, then logs where each shard stands.
 
-    ``stream`` is read with ``includeShardId``. The log is written only after the
-    sink succeeded; a replayed batch writes the same entries again. Batches older
+    What is logged is the end of the batch as the query's checkpoint has it, so a
+    shard without records stands after the head it was pinned to; shards that are
+    listed and have no record yet are read from their beginning. The log is
+    written only after the sink succeeded; a replayed batch writes the same
+    entries again. A batch whose predecessor the log has lost fails. Batches older
     than ``min_batches_to_retain`` (Spark's own setting by default) are purged.
+    ``options``, those of the stream, name the log if ``log_path`` does not.
     """
+    log_kind, named = opts.log_settings(options or {})
+    log_path = log_path or named
+    if not log_path:
+        raise ValueError("no place for the position log was given")
     position_log.check_log_path(log_kind, log_path)
     spark = stream.sparkSession
-    start = opts.starting_position(start)
     if min_batches_to_retain is None:
         min_batches_to_retain = int(spark.conf.get("spark.sql.streaming.minBatchesToRetain", "100"))
     position_log.retention_threshold(0, min_batches_to_retain)
 
-    def previous(session: SparkSession, batch_id: int) -> DataFrame:
-        before = [b for b in position_log.log_batch_ids(session, log_path) if b < batch_id]
-        if not before:
-            return session.createDataFrame([], POSITIONS)
-        if before[-1] != batch_id - 1:
-            raise ValueError(
-                f"no committed positions for batch {batch_id - 1}; some data may have been missed"
-            )
-        return position_log.log_get(session, log_path, before[-1]).drop("batch_id")
-
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        batch.persist()
-        try:
-            sink(batch, batch_id)
-            catalogue = read_catalogue(session, feed_path)
-            if catalogue is None:
-                raise ValueError(f"no shard catalogue stored under {feed_path}")
-            mine = catalogue.filter(F.col("streamName") == stream_name)
-            known = latest_positions(mine, previous(session, batch_id), start)
-            # A closed shard without an open descendant was still read, so it counts too.
-            others = batch.select(*SHARD_KEY).distinct().join(known, SHARD_KEY, "left_anti")
-            standing = materialise(
-                known.unionByName(
-                    others.select(
-                        *SHARD_KEY,
-                        F.lit(TRIM_HORIZON).alias("iteratorType"),
-                        F.lit("").alias("iteratorPosition"),
-                    )
-                ),
-                "standing",
+        if batch_id:
+            before = position_log.log_read(session, log_path)
+            previous_positions(before, batch_id - 1).write.format("noop").mode("overwrite").save()
+        sink(batch, batch_id)
+        end = batch_end(session, checkpoint, batch_id, stream_name)
+        catalogue = read_catalogue(session, feed_path)
+        if catalogue is not None:
+            listed = require_closed_parents(catalogue.filter(F.col("streamName") == stream_name))
+            waiting = listed.select(*SHARD_KEY).join(end, SHARD_KEY, "left_anti")
+            end = end.unionByName(
+                waiting.select(
+                    *SHARD_KEY,
+                    F.lit(TRIM_HORIZON).alias("iteratorType"),
+                    F.lit("").alias("iteratorPosition"),
+                )
             )
-            position_log.log_add(next_positions(batch, standing, mine), log_path, batch_id)
-        finally:
-            batch.unpersist()
+        position_log.log_add(end, log_path, batch_id)
         position_log.log_retain(session, log_path, batch_id, min_batches_to_retain)
 
-    return stream.writeStream.foreachBatch(handle)
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def batch_end(spark: SparkSession, checkpoint: str, batch_id: int, stream_name: str) -> DataFrame:
+    """Where each shard stands at the end of a batch, from the query's offset log."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch_id}").collect()
+    offsets = [json.loads(r[0]) for r in lines if r[0].startswith("{")]
+    mine = [o for o in offsets if o.get(METADATA, {}).get("streamName") == stream_name]
+    if len(mine) != 1:
+        raise ValueError(f"batch {batch_id} has no offset of stream {stream_name} under {checkpoint}")
+    rows = [
+        (stream_name, shard, at[ITERATOR_TYPE], "" if at[ITERATOR_TYPE] == SHARD_END else at[ITERATOR_POSITION])
+        for shard, at in mine[0].items()
+        if shard != METADATA
+    ]
+    return spark.createDataFrame(rows, POSITIONS)

@@ -5,6 +5,7 @@ import pytest
 from helpers import as_dict, catalogue_of, feed_of, positions_of, seqs
 from pyspark.sql import functions as F
 
+from changefeed.functions.payload import unpack_records
 from changefeed.operators import limits
 from changefeed.operators.ordinal import with_shard_ordinal
 from changefeed.operators.positions import apply_positions
@@ -15,6 +16,7 @@ from changefeed.sources.store import (
     append_feed,
     read_feed,
     read_pages,
+    stored_from,
     stored_ordinal,
     stored_ranges,
     stored_slice,
@@ -23,7 +25,6 @@ from changefeed.storage import session_conf
 
 # One shard holds more than a third of all rows.
 COUNTS = {"hot": 700, **{f"s{i:02d}": 10 * i for i in range(1, 15)}}
-PRUNE = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 @pytest.fixture(scope="module")
@@ -75,13 +76,59 @@ def test_page_numbers(feed):
     assert sum(r["count"] for r in got) == sum(COUNTS.values())
 
 
-@pytest.mark.parametrize("threshold", ["1", "1000"])
-@pytest.mark.parametrize("page, cap", [(5, 12), (100, 50)])
-def test_cap_both_ways(spark, feed, page, cap, threshold):
-    with session_conf(spark, PRUNE, threshold):
-        got = limits.cap_per_shard(feed, page, cap)
-        assert got.columns == feed.columns
-        assert seqs(got) == first_rows(feed, limits.batch_limit(page, cap))
+@pytest.mark.parametrize("page, cap", [(5, 12), (100, 50), (3, 600), (1000, 100)])
+def test_cap(spark, feed, page, cap):
+    got = limits.cap_per_shard(feed, page, cap)
+    assert got.columns == feed.columns
+    assert seqs(got) == first_rows(feed, limits.batch_limit(page, cap))
+
+
+@pytest.mark.parametrize("threshold", ["1", "100000"])
+def test_cap_counts_parts_of_packs(spark, threshold):
+    packs = feed_of(spark, {"a": 9, "b": 2}, data=b"[1, 2, 3]").repartition(3)
+    with session_conf(spark, "spark.sql.optimizer.windowGroupLimitThreshold", threshold):
+        got = limits.cap_per_shard(unpack_records(packs), 5, 2).collect()
+    assert sorted((r.shardId, int(r.sequenceNumber), r.subSequence) for r in got) == [
+        ("a", 1, 0), ("a", 1, 1), ("a", 1, 2), ("a", 2, 0), ("a", 2, 1),
+        ("b", 10, 0), ("b", 10, 1), ("b", 10, 2), ("b", 11, 0), ("b", 11, 1),
+    ]
+
+
+LENGTHS = [1, 21, 40, 46, 56]
+
+
+@pytest.fixture(scope="module")
+def long_feed(spark):
+    # Five numbers of each length, in one shard.
+    numbers = [str(5 + i).rjust(n, "7") if n > 1 else str(i + 1) for n in LENGTHS for i in range(5)]
+    at = feed_of(spark, {"a": len(numbers)}).collect()
+    rows = [(r.data, r.streamName, r.partitionKey, n, r[4], r.shardId) for r, n in zip(at, numbers, strict=True)]
+    return spark.createDataFrame(rows, feed_of(spark, {"a": 1}).schema).repartition(4), numbers
+
+
+@pytest.mark.parametrize("at", range(0, 25, 3))
+def test_long_numbers(spark, long_feed, tmp_path, at):
+    feed, numbers = long_feed
+    after = positions_of(spark, {"a": ("AFTER_SEQUENCE_NUMBER", "000" + numbers[at])})
+    want = numbers[at + 1 :]
+    assert sorted(r.sequenceNumber for r in apply_positions(feed, after).collect()) == sorted(want)
+    first = sorted(want, key=int)[:6]
+    assert sorted(r.sequenceNumber for r in limits.batch_slice(feed, after, 3, 4).collect()) == sorted(first)
+
+
+def test_long_numbers_in_a_store(spark, long_feed, tmp_path):
+    feed, numbers = long_feed
+    path = str(tmp_path)
+    append_feed(feed.filter(F.length("sequenceNumber") <= 40), path, page=4)
+    append_feed(feed.filter(F.length("sequenceNumber") > 40), path, page=4)
+    with pytest.raises(ValueError, match="out of sequence"):
+        append_feed(feed.filter(F.length("sequenceNumber") == 46), path)
+    ranges = stored_ranges(read_pages(spark, path)).first()
+    assert (ranges.startSeq, ranges.headSeq, ranges.records) == (numbers[0], numbers[-1], 25)
+    for at in range(24):
+        start = positions_of(spark, {"a": ("AT_SEQUENCE_NUMBER", numbers[at])})
+        got = stored_slice(spark, path, start, 3, 4).collect()
+        assert sorted(int(r.sequenceNumber) for r in got) == [int(n) for n in numbers[at : at + 6]]
 
 
 @pytest.fixture(scope="module")
@@ -158,27 +205,46 @@ def test_pruned_slice_is_the_slice(spark, stored, seed, page, cap):
         at[shard] = (kind, place)
         first += count
     standing = positions_of(spark, at)
+    assert seqs(stored_from(spark, stored, standing)) == seqs(apply_positions(read_feed(spark, stored), standing))
     want = limits.batch_slice(read_feed(spark, stored), standing, page, cap)
     assert seqs(stored_slice(spark, stored, standing, page, cap)) == seqs(want)
     assert first_rows(apply_positions(read_feed(spark, stored), standing), limits.batch_limit(page, cap)) == seqs(want)
 
 
-def test_pruning_names_few_files(spark, stored):
+def files_read(rows):
+    plan = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif node.getClass().getSimpleName() == "FileSourceScanExec":
+            found += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_files_are_pruned_by_the_join(spark, stored):
     ends = {s: ("AFTER_SEQUENCE_NUMBER", "1000000") for s in COUNTS}
     assert stored_slice(spark, stored, positions_of(spark, ends)).isEmpty()
-    start = positions_of(spark, {"hot": ("TRIM_HORIZON", "")})
-    some = stored_slice(spark, stored, start, 5, 12)
-    assert 0 < len(some.inputFiles()) < len(read_feed(spark, stored).inputFiles()) / 2
-    assert some.count() == 15
-
-
-def test_pruning_by_append(spark, stored, monkeypatch):
-    # More files than are named one by one: whole appends are pruned instead.
-    monkeypatch.setattr("changefeed.sources.store._MAX_NAMED", 0)
     start = positions_of(spark, {"hot": ("TRIM_HORIZON", ""), "s03": ("AT_SEQUENCE_NUMBER", "1")})
-    some = stored_slice(spark, stored, start, 5, 12)
-    assert seqs(some) == seqs(limits.batch_slice(read_feed(spark, stored), start, 5, 12))
+    some = stored_from(spark, stored, positions_of(spark, {"s03": ("AT_SEQUENCE_NUMBER", "1")}))
     assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+    assert 0 < files_read(some) < read_feed(spark, stored).select("part", "append").distinct().count()
+    want = limits.batch_slice(read_feed(spark, stored), start, 5, 12)
+    assert seqs(stored_slice(spark, stored, start, 5, 12)) == seqs(want)
+
+
+def test_refused_append_leaves_nothing(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 5}, first=10), str(tmp_path))
+    before = sorted(p.name for p in (tmp_path / "data").iterdir())
+    with pytest.raises(ValueError, match="out of sequence"):
+        append_feed(feed_of(spark, {"a": 5}, first=3), str(tmp_path))
+    assert sorted(p.name for p in (tmp_path / "data").iterdir()) == before
 
 
 @pytest.mark.parametrize("page, cap", [(100, 250)])

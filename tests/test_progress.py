@@ -70,13 +70,12 @@ def test_offset_document(spark):
     }
 
 
-@pytest.mark.parametrize("max_shards", [1, 7, 1000])
-def test_offset_round_trip(spark, max_shards):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_offset_round_trip(spark, parts):
     at = {f"shard-{i}": ("AFTER_SEQUENCE_NUMBER", str(i)) for i in range(60)}
     rows = positions_of(spark, at).withColumn("batchId", F.lit(9))
-    documents = progress.offset_encode(rows, max_shards)
-    if max_shards == 1000:
-        assert documents.count() == 1
+    documents = progress.offset_encode(rows, parts)
+    assert documents.count() == parts
     decoded = progress.offset_decode(documents)
     assert as_dict(decoded) == at
     assert decoded.count() == len(at)
@@ -104,5 +103,5 @@ def test_previous_positions(spark):
     log = positions_of(spark, AT).withColumn("batch_id", F.lit(2))
     assert as_dict(progress.previous_positions(log, 2)) == AT
     assert progress.previous_positions(log, -1).collect() == []
-    with pytest.raises(Exception, match="some data may have been missed"):
+    with pytest.raises(Exception, match="the position log has no batch 3"):
         progress.previous_positions(log, 3).collect()

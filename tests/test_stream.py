@@ -9,23 +9,25 @@ from changefeed.schema import ENVELOPE, SHARD_KEY, event_schema
 from changefeed.sources import options as opts
 from changefeed.sources.feed import shard_ranges
 from changefeed.sources.store import append_feed, read_feed, write_catalogue
-from changefeed.sources.stream import ChangeFeedReader, check_offset, register
+from changefeed.sources.stream import ChangeFeedReader, check_offset, open_path, register
 from changefeed.storage import session_conf
-from changefeed.streaming.runner import read_stream, write_with_log
+from changefeed.streaming.runner import drain, read_stream, write_with_log
 
 
 def options_of(path, **more):
     return opts.parse_options({"streamname": "s", "path": str(path), **more})
 
 
-def run(stream, place, trigger=None):
-    query = (
+def writer_of(stream, place):
+    return (
         stream.writeStream.format("parquet")
         .option("path", f"{place}/out")
         .option("checkpointLocation", f"{place}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+
+
+def run(stream, place):
+    query = writer_of(stream, place).trigger(availableNow=True).start()
     query.awaitTermination(120)
     return query
 
@@ -53,7 +55,7 @@ def test_stream_name_is_required_at_load(spark, tmp_path, given):
 
 def test_options():
     parsed = options_of("/p/")
-    assert (parsed.path, parsed.start, parsed.page, parsed.cap) == ("/p", "LATEST", None, None)
+    assert (parsed.path, parsed.start, parsed.page, parsed.cap) == ("/p", "LATEST", 10_000, 100_000)
     parsed = opts.parse_options(
         {"StreamName": "s", "PATH": "/p", "startingPosition": " Trim_Horizon ",
          "feed.executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "12"}
@@ -102,7 +104,7 @@ def test_bad_offset(bad):
         check_offset(bad)
 
 
-def test_plan_without_limits(spark, tmp_path):
+def test_plan_within_limits(spark, tmp_path):
     append_feed(feed_of(spark, {"a": 20, "b": 5}), str(tmp_path), page=5)
     reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon"))
     assert standing(reader.initialOffset()) == {}
@@ -140,6 +142,7 @@ def test_plan_with_limits_and_replay(spark, tmp_path):
     assert rows_of(reader, start, first) == [*range(1, 11), *range(21, 26)]
     second = reader.latestOffset()
     assert standing(second)["a"] == ("AFTER_SEQUENCE_NUMBER", 20)
+    assert first["a"]["iteratorPosition"] == "10".zfill(21)
     # A restarted reader is first told where the query stands, then goes on from there.
     again = ChangeFeedReader(limited)
     assert again.partitions(first, first) == []
@@ -150,9 +153,9 @@ def test_plan_with_limits_and_replay(spark, tmp_path):
     assert again.latestOffset() == second
 
 
-@pytest.mark.parametrize("page, cap", [(5, 7), (2, 0), (100, 0)])
+@pytest.mark.parametrize("page, cap", [(5, 7), (2, 0), (100, 0), (3, 4), (7, 20)])
 def test_limited_batches_cover_every_row_once(spark, tmp_path, page, cap):
-    # Several files, so some pages are short; pages of 5, so a limit of 2 is below one.
+    # Several files, so some pages are short; pages of 5, so most batches end inside one.
     append_feed(feed_of(spark, {"a": 40, "b": 3}).repartition(8), str(tmp_path), page=5)
     reader = ChangeFeedReader(
         options_of(
@@ -164,7 +167,8 @@ def test_limited_batches_cover_every_row_once(spark, tmp_path, page, cap):
     start, rows = reader.initialOffset(), []
     while (end := reader.latestOffset()) != start and len(rows) < 100:
         batch = rows_of(reader, start, end)
-        assert 0 < len([n for n in batch if n <= 40]) <= max(5, batch_limit(page, cap)) or rows
+        done = len([n for n in rows if n <= 40])
+        assert len([n for n in batch if n <= 40]) == min(batch_limit(page, cap), 40 - done)
         rows += batch
         reader.commit(end)
         start = end
@@ -189,6 +193,43 @@ def test_closed_shards(spark, tmp_path):
     assert fresh.latestOffset() == later
 
 
+def test_records_before_their_listing(spark, tmp_path):
+    path = str(tmp_path)
+    write_catalogue(catalogue_of(spark, {"a": (None, None, "1", None)}), path)
+    append_feed(feed_of(spark, {"a": 5, "b": 3}), path)
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon"))
+    end = reader.latestOffset()
+    assert rows_of(reader, reader.initialOffset(), end) == list(range(1, 9))
+    write_catalogue(catalogue_of(spark, {s: (None, None, "1", None) for s in "ab"}), path)
+    append_feed(feed_of(spark, {"b": 2}, first=9), path)
+    assert rows_of(reader, end, reader.latestOffset()) == [9, 10]
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}"])
+def test_forms_of_a_path(spark, tmp_path, form):
+    path = form.format(tmp_path / "feed")
+    append_feed(feed_of(spark, {"a": 5}), path)
+    run(read_stream(spark, path, "s", startingPosition="trim_horizon"), tmp_path)
+    assert written(spark, tmp_path) == [1, 2, 3, 4, 5]
+    assert open_path(path)[1] == str(tmp_path / "feed")
+
+
+def test_unknown_scheme():
+    with pytest.raises(ValueError, match="not on wasbs"):
+        open_path("wasbs://c@a.example/feed")
+
+
+@pytest.mark.parametrize("width", [46, 56])
+def test_long_numbers_in_a_stream(spark, tmp_path, width):
+    path = str(tmp_path / "feed")
+    feed = feed_of(spark, {"a": 12}).withColumn("sequenceNumber", F.expr(f"rpad(sequenceNumber + 10, {width}, '0')"))
+    append_feed(feed, path, page=4)
+    limits = {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "2"}
+    stream = read_stream(spark, path, "s", startingPosition="trim_horizon", **limits)
+    assert drain(lambda: writer_of(stream, tmp_path)) == 3
+    assert [n // 10 ** (width - 2) for n in written(spark, tmp_path)] == list(range(11, 23))
+
+
 def test_unfinished_append_is_not_seen(spark, tmp_path):
     path = str(tmp_path)
     append_feed(feed_of(spark, {"a": 5}), path)
@@ -238,10 +279,12 @@ def test_limited_stream_steps_over_restarts(spark, tmp_path):
     path = str(tmp_path / "feed")
     append_one_file(feed_of(spark, {"a": 20, "b": 3}), path, page=5)
     limits = {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "7"}
-    want = [[*range(1, 11), 21, 22, 23], list(range(1, 24)), list(range(1, 24))]
-    for rows in want:
-        run(read_stream(spark, path, "s", startingPosition="trim_horizon", **limits), tmp_path)
-        assert written(spark, tmp_path) == rows
+    stream = read_stream(spark, path, "s", startingPosition="trim_horizon", **limits)
+    run(stream, tmp_path)
+    assert written(spark, tmp_path) == [*range(1, 11), 21, 22, 23]
+    assert drain(lambda: writer_of(stream, tmp_path)) == 1
+    assert written(spark, tmp_path) == list(range(1, 24))
+    assert drain(lambda: writer_of(stream, tmp_path)) == 0
 
 
 def test_limited_stream_keeps_going(spark, tmp_path):
@@ -277,12 +320,9 @@ def test_position_log_of_a_stream(spark, tmp_path):
         )
         writer = write_with_log(
             stream, lambda b, n: b.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"),
-            path, log, "s", "trim_horizon", min_batches_to_retain=1,
+            path, log, "s", f"{tmp_path}/checkpoint", min_batches_to_retain=1,
         )
-        query = writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
-            availableNow=True
-        ).start()
-        query.awaitTermination(120)
+        writer.trigger(availableNow=True).start().awaitTermination(120)
 
     step({"a": 4}, 1, shards)
     assert as_dict(position_log.log_get(spark, log, 0))["a"][0] == "AFTER_SEQUENCE_NUMBER"
@@ -300,11 +340,58 @@ def test_position_log_of_a_stream(spark, tmp_path):
     assert sorted(int(r.sequenceNumber) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(1, 11))
 
 
+def logged(spark, tmp_path, sink=lambda b, n: b.collect(), **options):
+    """One run of a stream with a log."""
+    stream = read_stream(spark, str(tmp_path / "feed"), "s", includeShardId="true", **options)
+    writer = write_with_log(stream, sink, str(tmp_path / "feed"), str(tmp_path / "log"), "s", f"{tmp_path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination(120)
+
+
+def test_idle_shard_stays_after_its_head(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    append_feed(feed_of(spark, {"a": 5, "b": 3}), path)
+    write_catalogue(catalogue_of(spark, {s: (None, None, "1", None) for s in "abc"}), path)
+    logged(spark, tmp_path)
+    append_feed(feed_of(spark, {"a": 2}, first=9), path)
+    logged(spark, tmp_path)
+    log = str(tmp_path / "log")
+    for batch, head in ((0, "5"), (1, "10")):
+        assert {s: (k, p.lstrip("0")) for s, (k, p) in as_dict(position_log.log_get(spark, log, batch)).items()} == {
+            "a": ("AFTER_SEQUENCE_NUMBER", head), "b": ("AFTER_SEQUENCE_NUMBER", "8"), "c": ("TRIM_HORIZON", ""),
+        }
+
+
+def test_lost_log_fails(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    for n in range(2):
+        append_feed(feed_of(spark, {"a": 2}, first=1 + 2 * n), path)
+        write_catalogue(catalogue_of(spark, {"a": (None, None, "1", None)}), path)
+        if n:
+            position_log.log_purge(spark, str(tmp_path / "log"), 5)
+            with pytest.raises(Exception, match="no batch 0"):
+                logged(spark, tmp_path, startingPosition="trim_horizon")
+        else:
+            logged(spark, tmp_path, startingPosition="trim_horizon")
+
+
+def test_open_parent_fails(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    append_feed(feed_of(spark, {"a": 2, "b": 2}), path)
+    write_catalogue(catalogue_of(spark, {"a": (None, None, "1", None), "b": ("a", None, "3", None)}), path)
+    with pytest.raises(Exception, match="has children but is not closed"):
+        logged(spark, tmp_path, startingPosition="trim_horizon")
+
+
 def test_log_settings_are_checked_first(spark, tmp_path):
     stream = read_stream(spark, str(tmp_path), "s", includeShardId="true")
-    for more in ({"log_kind": "dbfs"}, {"log_kind": "other"}, {"min_batches_to_retain": 0}, {"start": "x"}):
+    kind = {"executor.metadata.committer": "other"}
+    for log, more in (("/log", {"options": kind}), ("/log", {"min_batches_to_retain": 0}), (None, {})):
         with pytest.raises(ValueError):
-            write_with_log(stream, lambda b, n: None, "/feed", "/log", "s", **more)
+            write_with_log(stream, lambda b, n: None, "/feed", log, "s", "/checkpoint", **more)
+    named = {"feed.executor.metadata.committer": "dbfs", "feed.executor.metadata.path": "dbfs:/log"}
+    assert opts.log_settings(named) == ("dbfs", "dbfs:/log")
+    assert opts.log_settings({}) == ("hdfs", None)
+    assert write_with_log(stream, lambda b, n: None, "/feed", None, "s", "/checkpoint", options=named)
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -317,21 +404,15 @@ def test_stream_equals_batch(spark, tmp_path):
     assert shard_ranges(read_feed(spark, path)).select(*SHARD_KEY, "records").count() == 2
 
 
-def test_memory_sink_with_a_cast(spark, tmp_path):
-    append_feed(feed_of(spark, {"a": 1}, data=b'{"id": 1}'), str(tmp_path / "feed"))
-    stream = read_stream(spark, str(tmp_path / "feed"), "s", startingPosition="TRIM_HORIZON")
-    query = (
-        stream.selectExpr("cast(data as string) as data", "streamName", "sequenceNumber")
-        .writeStream.format("memory")
-        .queryName("schematest")
-        .start()
-    )
-    try:
-        query.processAllAvailable()
-        rows = [tuple(r) for r in spark.table("schematest").collect()]
-    finally:
-        query.stop()
-    assert rows == [('{"id": 1}', "s", "000000000000000000001")]
+def test_rows_reach_a_function(spark, tmp_path):
+    path, seen = str(tmp_path / "feed"), []
+    append_feed(feed_of(spark, {"x": 3, "y": 1}, "words", first=41, data=b"plain words"), path)
+    stream = read_stream(spark, path, "words", startingPosition="TRIM_HORIZON", includeShardId="true")
+    pairs = stream.select("shardId", F.upper(F.decode("data", "UTF-8")).alias("said"))
+    pairs.writeStream.foreachBatch(lambda b, n: seen.extend(map(tuple, b.collect()))).trigger(
+        availableNow=True
+    ).option("checkpointLocation", f"{tmp_path}/checkpoint").start().awaitTermination(120)
+    assert sorted(seen) == [("x", "PLAIN WORDS")] * 3 + [("y", "PLAIN WORDS")]
 
 
 def test_decoded_stream_from_latest(spark, tmp_path):
@@ -348,10 +429,10 @@ def test_decoded_stream_from_latest(spark, tmp_path):
         run(stream.select(typed_attribute("n", "S", "int", strict=True).alias("n")), tmp_path)
         return sorted(r.n for r in spark.read.schema("n int").parquet(f"{tmp_path}/out").collect())
 
-    push(1, first=1)
+    push(4, first=8)
     assert numbers() == []
-    push(5, first=2)
-    assert numbers() == [1, 2, 3, 4, 5]  # not 0, which came before the start
+    push(3, first=12)
+    assert numbers() == [11, 12, 13]  # not 7 to 10, which came before the start
 
 
 @pytest.mark.parametrize("limits", [{}, {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "0"}])
@@ -370,9 +451,8 @@ def test_failed_batch_is_replayed_as_it_was(spark, tmp_path, limits):
         stream = read_stream(
             spark, path, "s", startingPosition="trim_horizon", includeShardId="true", **limits
         )
-        writer = write_with_log(stream, sink, path, log, "s", "trim_horizon")
-        query = writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination(120)
+        writer = write_with_log(stream, sink, path, log, "s", f"{tmp_path}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination(120)
 
     with pytest.raises(Exception, match="lost the sink"):
         attempt(fail=True)
