@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changefeed.llm import language, licenses, mixing, neardup, packing, quality, simhash, substrings, topk, urls
+from changefeed.llm import (
+    language,
+    licenses,
+    mixing,
+    neardup,
+    oracle,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    topk,
+    urls,
+)
 
 # The rules that the url query applies.
 URL_RULES = (
@@ -111,4 +123,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql(URL_RULES)
