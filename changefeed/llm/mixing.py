@@ -116,11 +116,12 @@ def repeat_mixed(
         "sized",
     )
     found = thresholds(sized, weights, most)
+    found = found.select(*(F.col(c).alias(f"__{c}") for c in found.columns))
     counted = docs.withColumns({"__size": word_count(text_col), "__hash": _hash(id_col)})
-    times = F.round(_taken("__size", "__hash") / F.col("__size")).cast("int")
+    times = F.round(_taken("__size", "__hash", "__") / F.col("__size")).cast("int")
     return (
         counted.where("__size > 0")
-        .join(found, docs[source_col].eqNullSafe(F.col("of")))
+        .join(found, docs[source_col].eqNullSafe(F.col("__of")))
         .withColumn("__times", times)
         .where("__times > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
@@ -133,17 +134,15 @@ def _hash(id_col: str) -> Column:
     return F.substring(digits, 1, HASH_DIGITS)
 
 
-def _taken(size: str, hashed: str) -> Column:
-    """Words taken of a document beside its source's thresholds."""
+def _taken(size: str, hashed: str, mark: str = "") -> Column:
+    """Words taken of a document beside its source's thresholds, whose names begin with ``mark``."""
+    full, prefix, rest, inside = (F.col(f"{mark}{name}") for name in ("full", "prefix", "rest", "inside"))
     share = (
-        F.when(F.col(hashed) < F.col("prefix"), F.col(size))
-        .when(
-            (F.col(hashed) == F.col("prefix")) & (F.col("inside") > 0),
-            F.floor(F.col(size) * F.col("rest") / F.col("inside")),
-        )
+        F.when(F.col(hashed) < prefix, F.col(size))
+        .when((F.col(hashed) == prefix) & (inside > 0), F.floor(F.col(size) * rest / inside))
         .otherwise(0)
     )
-    return (F.col("full") * F.col(size) + share).cast("bigint")
+    return (full * F.col(size) + share).cast("bigint")
 
 
 def thresholds(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:

@@ -36,10 +36,15 @@ def test_stages_in_order(spark, sf_dir, tmp_path):
 
 @pytest.mark.parametrize("name", ["odd_docs", "no_docs"])
 def test_stages_on_odd_rows(request, spark, sf_dir, name):
-    docs = request.getfixturevalue(name)
+    docs = request.getfixturevalue(name).withColumns(
+        {c: F.lit(c) for c in ("quality", "path_rate", "prefix", "rest", "of", "target", "full", "start", "bits")}
+    )
+    extras = [c for c in docs.columns if c not in ("text", "n_chars")]
+    given = {tuple(r) for r in docs.select(extras).collect()}
     for _, stage in corpus_pipeline.STAGES[:-1]:
         found = stage(spark, docs, sf_dir)
         assert found.columns == docs.columns
+        assert {tuple(r) for r in found.select(extras).collect()} <= given
         if name == "no_docs":
             assert found.isEmpty()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).agg(F.count("*")).first()[0] >= docs.count()
