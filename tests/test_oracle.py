@@ -36,7 +36,7 @@ def rows_of(names, rows):
     return sorted(names), sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     result = contract.queries()[name](spark, sf_dir)
     got = rows_of(result.columns, [tuple(r) for r in result.collect()])
