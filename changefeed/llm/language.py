@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -27,48 +28,65 @@ SMOOTHING = 0.1
 CHUNK = 24
 _WORDS = re.compile(r"[^\W\d_]+")
 _START = "▁"
+_LETTER_BITS = 21
 _GROUP = 256  # documents scored together
 _CACHE = 300_000  # words a worker remembers
 _vocabularies: dict[str, "Vocabulary"] = {}
 
 
 class Vocabulary:
-    """Pieces of a public vocabulary file, and all their beginnings."""
+    """Pieces of a public vocabulary file as a trie, kept as sorted arrays.
+
+    A branch is known by its node and letter, joined in one number.
+    """
 
     def __init__(self, path: str) -> None:
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.ids: dict[str, int] = {}
-        for i in range(pieces.get_piece_size()):
-            if not (pieces.is_control(i) or pieces.is_unknown(i) or pieces.is_byte(i)):
-                piece = pieces.id_to_piece(i)
-                self.ids[piece] = i
-                for end in range(1, len(piece)):
-                    self.ids.setdefault(piece[:end], -1)
-        self.size = pieces.get_piece_size() + 1
+        known = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.size = known.get_piece_size() + 1
         self.other = self.size - 1  # any single letter that is no piece
+        nodes, branches, pieces = {"": 0}, [], [-1]
+        for i in range(known.get_piece_size()):
+            if not (known.is_control(i) or known.is_unknown(i) or known.is_byte(i)):
+                piece = known.id_to_piece(i)
+                for end in range(1, len(piece) + 1):
+                    if piece[:end] not in nodes:
+                        nodes[piece[:end]] = len(nodes)
+                        branches.append((nodes[piece[: end - 1]] << _LETTER_BITS | ord(piece[end - 1]), nodes[piece[:end]]))
+                        pieces.append(-1)
+                pieces[nodes[piece]] = i
+        branches.sort()
+        self.branches = np.array([b for b, _ in branches], np.int64)
+        self.nodes = np.array([n for _, n in branches], np.int64)
+        self.pieces = np.array(pieces, np.int32)
 
     def lattice(self, words: Sequence[str]) -> np.ndarray:
-        """Piece ids by word, end and length less one; -1 where there is no piece."""
-        found: list[tuple[int, int, int, int]] = []
-        longest = 0
-        for w, word in enumerate(words):
-            word = _START + word
-            size = len(word)
-            longest = max(longest, size)
-            for start in range(size):
-                for end in range(start + 1, size + 1):
-                    piece = self.ids.get(word[start:end])
-                    if piece is None:
-                        if end == start + 1:
-                            found.append((w, end, 0, self.other))
-                        break
-                    if piece >= 0:
-                        found.append((w, end, end - start - 1, piece))
-                    elif end == start + 1:
-                        found.append((w, end, 0, self.other))
-        at = np.array(found, np.int32).reshape(-1, 4)
-        ids = np.full((len(words), longest + 1, int(at[:, 2].max(initial=0)) + 1), -1, np.int32)
-        ids[at[:, 0], at[:, 1], at[:, 2]] = at[:, 3]
+        """Piece ids by word, end and length less one; -1 where there is no piece.
+
+        All starts in all words go down the trie together, letter by letter.
+        """
+        marked = [_START + w for w in words]
+        sizes = np.array([len(w) for w in marked], np.int64)
+        letters = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.arange(len(letters))
+        start, last = at - first, first + np.repeat(sizes, sizes)
+        node, found, size = np.zeros(len(letters), np.int64), [], 0
+        while len(at):
+            key = node << _LETTER_BITS | letters[at + size]
+            branch = np.minimum(np.searchsorted(self.branches, key), len(self.branches) - 1)
+            there = self.branches[branch] == key
+            piece = np.where(there, self.pieces[self.nodes[branch]], -1)
+            if not size:
+                piece[piece < 0] = self.other
+            hit = piece >= 0
+            found.append((word[hit], start[hit] + size + 1, size, piece[hit]))
+            size += 1
+            on = there & (at + size < last)
+            at, last, word, start, node = at[on], last[on], word[on], start[on], self.nodes[branch[on]]
+        ids = np.full((len(words), int(sizes.max(initial=0)) + 1, max(1, size)), -1, np.int32)
+        for of, end, length, piece in found:
+            ids[of, end, length] = piece
         return ids
 
 
@@ -83,6 +101,8 @@ def vocabulary(path: str | None) -> Vocabulary:
 def chunks(text: str) -> list[str]:
     """Lower-cased runs of letters, none longer than a chunk."""
     found = _WORDS.findall(text.lower())
+    if not any(map(str.isalpha, found)) and not any(map(str.isalpha, "".join(found))):
+        return []  # number signs that are no digits look like letters to the pattern
     if any(len(w) > CHUNK for w in found):
         found = [w[i : i + CHUNK] for w in found for i in range(0, len(w), CHUNK)]
     return found
@@ -119,6 +139,7 @@ class Model:
     languages: tuple[str, ...]
     pieces: np.ndarray
     path: str | None
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)  # what workers remember it by
 
     def word_scores(self, words: Sequence[str]) -> np.ndarray:
         """Log probability of each word in each language, over all segmentations."""
@@ -159,7 +180,7 @@ class Scorer:
         return out
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
 def train(
@@ -249,13 +270,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     @arrow_udf("lang_pred string, score double")
     def predict(texts: pa.Array) -> pa.Array:
-        key = id(model)
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(model)
+        if model.key not in _scorers:
+            _scorers.clear()  # of an earlier query
+            _scorers[model.key] = Scorer(model)
         found: list[tuple[str, float]] = []
         for at in range(0, len(texts), _GROUP):
-            found += _scorers[key](texts[at : at + _GROUP].to_pylist())
+            found += _scorers[model.key](texts[at : at + _GROUP].to_pylist())
         names, scores = zip(*found, strict=True) if found else ((), ())
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
