@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import prose
+from odd_inputs import prose
 
 from changefeed.llm import licenses
 

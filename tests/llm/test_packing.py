@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import prose
+from odd_inputs import prose
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 import xxhash
-from conftest import prose
+from odd_inputs import prose
 
 from changefeed.llm import simhash
 
