@@ -20,6 +20,8 @@ END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 #: Letters up to here have been the same in every Unicode version the libraries know.
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+#: ``tiktoken`` overflows its stack on runs that are a hundred times as long.
+_LONG_BLANKS = re.compile(r"\s{5000}")
 _OUT_BYTES = 8 << 20
 _encoders: dict[str, "Encoder"] = {}
 
@@ -32,12 +34,13 @@ class Encoder:
     all others, and any that it refuses, go through ``tokenizers``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, specials_are_text: bool = False) -> None:
         self.slow = Tokenizer.from_file(path)
+        self.slow.encode_special_tokens = specials_are_text
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
         special = {t["content"]: t["id"] for t in known["added_tokens"]}
-        letters = _byte_letters()
+        letters = byte_letters()
         ranks = {
             bytes(letters[c] for c in piece): i
             for piece, i in known["model"]["vocab"].items()
@@ -46,18 +49,16 @@ class Encoder:
         self.fast = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-        self.special = list(special)
+        self.special = [] if specials_are_text else list(special)
 
     def ids(self, text: str) -> list[int]:
-        if not _BEYOND_LATIN.search(text) and not any(s in text for s in self.special):
-            try:
-                return self.fast.encode_ordinary(text)
-            except Exception:  # its pattern engine gives up on very long runs of blanks
-                pass
+        plain = not _BEYOND_LATIN.search(text) and not any(s in text for s in self.special)
+        if plain and not _LONG_BLANKS.search(text):
+            return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]

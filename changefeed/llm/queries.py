@@ -16,8 +16,10 @@ from changefeed.llm import (
     quality,
     simhash,
     substrings,
+    tokenfiles,
     topk,
     urls,
+    whitening,
 )
 
 # The rules that the url query applies.
@@ -104,6 +106,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the leading components of their covariance, whitened."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents as read back from the files they were written to."""
+    read = tokenfiles.token_table(table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -118,6 +132,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_topk,
             op9_packing,
             op10_embedding_dedup,
+            op12_whitening,
+            op13_token_files,
         )
     }
 

@@ -1,0 +1,116 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from odd_inputs import DOCS
+from tokenizers import Tokenizer
+
+from changefeed.llm import queries, tokenfiles
+from changefeed.llm.words import word_encoder
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def wanted(docs, plain):
+    """Per document in order of ids, null ids last: start and ids."""
+    rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
+    out, start = [], 0
+    for doc, text in rows:
+        ids = [*plain(text), 2]
+        out.append((doc, start, len(ids), np.asarray(ids, "<u4").tobytes()))
+        start += len(ids)
+    return out
+
+
+def test_odd_rows(odd_docs, plain):
+    found = tokenfiles.token_table(odd_docs)
+    assert found.columns == ["doc_id", "start", "n_tokens", "ids"]
+    assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[1]) == wanted(odd_docs, plain)
+
+
+def test_query(spark, sf_dir, documents, plain):
+    found = queries.op13_token_files(spark, sf_dir)
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found.collect())
+    assert got == [(start, doc, n, zlib.crc32(ids)) for doc, start, n, ids in wanted(documents, plain)]
+
+
+def test_empty(no_docs):
+    assert tokenfiles.token_table(no_docs).collect() == []
+
+
+def test_many_files_of_small_batches(spark, odd_docs, plain, tmp_path):
+    path = str(tmp_path / "tokens")
+    tokenfiles.write_token_files(odd_docs, path, length=8, batch_rows=3)
+    found = tokenfiles.read_token_files(spark, path)
+    assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[1]) == wanted(odd_docs, plain)
+    files = list((tmp_path / "tokens" / "files").iterdir())
+    assert len(files) > 1
+    for file in files:
+        with pa.ipc.open_stream(str(file)) as stream:
+            table = stream.read_all()
+        ids = table["ids"].combine_chunks().flatten().to_numpy()
+        mask = table["mask"].combine_chunks().flatten().to_numpy()
+        assert table["ids"].type == pa.list_(pa.uint32(), 8)
+        assert (np.diff(mask.astype(int)) <= 0).all() and len(mask) - mask.sum() < 8
+        opened = tokenfiles.TokenFile(str(file))
+        for i in random.Random(1).sample(range(len(table)), min(40, len(table))):
+            one, masked = opened.sequence(i)
+            assert one.tolist() == ids[8 * i : 8 * i + 8].tolist()
+            assert masked.tolist() == mask[8 * i : 8 * i + 8].tolist()
+
+
+def test_sequences_are_views_of_the_file(tmp_path):
+    place = str(tmp_path / "one.arrows")
+    writer = tokenfiles.TokenFileWriter(pa.OSFile(place, "wb"), 16, 4)
+    writer.add(np.arange(1000, dtype="<u4"))
+    writer.close()
+    opened = tokenfiles.TokenFile(place)
+    before = pa.total_allocated_bytes()
+    ids, _ = opened.sequence(37)
+    assert ids.tolist() == list(range(37 * 16, 38 * 16)) and not ids.flags.writeable
+    assert pa.total_allocated_bytes() == before
+    assert opened.tokens(60, 10).tolist() == list(range(60, 70))
+    with pytest.raises(ValueError):
+        opened.tokens(995, 10)
+
+
+def test_files_of_lost_tasks_are_not_read(spark, odd_docs, plain, tmp_path):
+    path = str(tmp_path / "tokens")
+    tokenfiles.write_token_files(odd_docs, path)
+    (tmp_path / "tokens" / "files" / "0.arrows").write_bytes(b"half a file")
+    assert tokenfiles.read_token_files(spark, path).count() == len(wanted(odd_docs, plain))
+
+
+def test_ids_of_one_text_only(spark):
+    docs = spark.createDataFrame([(1, "a cat", None, None, 5, *([None] * 10))], DOCS)
+    assert tokenfiles.token_table(docs).collect()[0]["n_tokens"] == 3
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text_has_the_ids_of_tokenizers(plain, text):
+    assert np.frombuffer(word_encoder(None).encode(text), "<u4").tolist() == plain(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a<|endoftext|>b", " " * 9000 + "x", "x" * 50_000, "é" * 20_000, "don't I'LL  \t 12,000", "'s 're", "é", "a\x1cb\x85c\xa0d"],
+)
+def test_hard_texts(plain, text):
+    assert np.frombuffer(word_encoder(None).encode(text), "<u4").tolist() == plain(text)
+
+
+def test_latin_letters_have_the_ids_of_tokenizers(plain):
+    pick = random.Random(5)
+    letters = [chr(c) for c in range(0x250)] + list("'strevmld 1\n") * 20
+    for _ in range(500):
+        text = "".join(pick.choices(letters, k=80))
+        assert np.frombuffer(word_encoder(None).encode(text), "<u4").tolist() == plain(text)
