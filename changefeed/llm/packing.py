@@ -49,8 +49,15 @@ class Encoder:
         self.fast = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
+        self.ranks = ranks
+        self.special_ids = {i: content.encode() for content, i in special.items()}
         self.special = [] if specials_are_text else list(special)
 
+    def pieces(self) -> list[bytes]:
+        """The bytes of each id; ids that the file leaves out have none."""
+        named = {i: piece for piece, i in self.ranks.items()} | self.special_ids
+        return [named.get(i, b"") for i in range(max(named) + 1)]
+
     def ids(self, text: str) -> list[int]:
         plain = not _BEYOND_LATIN.search(text) and not any(s in text for s in self.special)
         if plain and not _LONG_BLANKS.search(text):

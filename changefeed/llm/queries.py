@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changefeed.llm import (
+    alignment,
     language,
     licenses,
     mixing,
@@ -106,6 +107,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document."""
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors on the leading components of their covariance, whitened."""
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -132,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_topk,
             op9_packing,
             op10_embedding_dedup,
+            op11_alignment,
             op12_whitening,
             op13_token_files,
         )
