@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,37 +29,43 @@ from changefeed.storage import materialise
 PIECES = "piece_bpe_32k.model"
 #: Distinct id pairs and rows after which a block of documents is closed.
 BLOCK_PAIRS, BLOCK_ROWS = 250_000, 20_000
-#: Windows remembered by a task, and the most ids of one that is.
-_KNOWN, _LONGEST = 300_000, 64
+#: Bytes of text after which a task forgets what it found in its windows.
+_KNOWN = 4_500_000
 _SHIFT = 32
+#: A space between two characters that are not blank, and a piece that goes across one.
+_ANCHOR, _ACROSS = re.compile(r"(?<=\S) (?=\S)"), re.compile("[^▁]▁")
+_NOTHING = 0, 0, "", np.empty(0, np.int64)
 
 
 class Side:
-    """One tokenizer: its ids of a text, and of each id its bytes."""
+    """One tokenizer: its ids of a space and a text, and of each id its bytes."""
 
     def __init__(self, encode, pieces: list[bytes]) -> None:
         self.encode, self.pieces = encode, pieces
         self.sizes = np.array([len(p) for p in pieces], np.int64)
-        self.spaced = np.array([p[:1] == b" " for p in pieces])
 
-    def spells(self, ids: list[int], raw: bytes) -> bool:
-        return b"".join(map(self.pieces.__getitem__, ids)) == raw
+    def ids(self, text: str, raw: bytes) -> np.ndarray | None:
+        """The ids; None, if they do not spell the bytes."""
+        ids = self.encode(text)
+        spelled = b"".join(map(self.pieces.__getitem__, ids)) == raw
+        return np.array(ids, "<i4") if spelled else None
 
 
 def byte_side(path: str) -> Side:
     """A byte-level vocabulary file; strings of special tokens are plain text to it."""
     encoder = Encoder(path, specials_are_text=True)
-    return Side(encoder.ids, encoder.pieces())
+    return Side(lambda text: encoder.ids(" " + text), encoder.pieces())
 
 
 def piece_side(path: str) -> Side:
     """A sentencepiece model; byte pieces stand for single bytes, U+2581 for a space."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    if any(_ACROSS.search(name) for name in names):
+        raise ValueError(f"{path} has pieces that go across a space")
     pieces = [
-        bytes([int(model.id_to_piece(i)[3:-1], 16)])
-        if model.is_byte(i)
-        else model.id_to_piece(i).replace("▁", " ").encode()
-        for i in range(model.get_piece_size())
+        bytes([int(name[3:-1], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode()
+        for i, name in enumerate(names)
     ]
     return Side(lambda text: model.encode(text, num_threads=1), pieces)
 
@@ -65,64 +73,95 @@ def piece_side(path: str) -> Side:
 class Aligner:
     """Groups and links of texts, by windows between whitespace anchors.
 
-    A text is tokenised whole by both sides. An anchor is a place where a token of
-    either side ends and, on both sides, the next one starts with a space; places
-    are offsets in the bytes of the tokens themselves, so anchors are verified ends.
-    They split a text into windows of ids on both sides, and what was found for a
-    window is kept by its two tuples of ids.
+    An anchor is a single space between two characters that are not blank. Neither
+    tokenizer has a token across it, and on both sides the next token starts with
+    that space, so the ids of a text are those of the parts between anchors, one
+    after the other. Parts not seen before are tokenised together as one text; that
+    both sides' tokens spell it and end at every anchor is verified by the bytes of
+    the tokens. The two tuples of ids between anchors are a window, and what was found
+    for a window is kept by them.
     """
 
     def __init__(self, a: Side, b: Side) -> None:
         self.a, self.b = a, b
-        self.known: dict[tuple, tuple[str, tuple[int, ...]]] = {}
-
-    def align(self, text: str | None) -> tuple[int, int, int, str, np.ndarray]:
-        """Numbers of tokens of both sides and of groups, the groups as text, and linked id pairs."""
+        self._forget()
+
+    def _forget(self) -> None:
+        self.held = 0
+        #: Number of the window of a part, -1 if it is not spelled; of two tuples of ids.
+        self.parts: dict[str, int] = {}
+        self.windows: dict[bytes, int] = {}
+        #: Of each window: its groups as text, its links, ids of A and of B.
+        self.shown: list[str] = []
+        self.links, self.ends = array("q"), array("q", [0])
+        self.of_a, self.of_b = array("q"), array("q")
+
+    def align(self, text: str | None) -> tuple[int, int, str, np.ndarray]:
+        """Numbers of tokens of both sides, the groups as text, and a linked id pair per group."""
         if not text:
-            return 0, 0, 0, "", np.empty(0, np.int64)
+            return _NOTHING
+        if self.held >= _KNOWN:
+            self._forget()
+        parts = _ANCHOR.split(text)
+        numbers = list(map(self.parts.get, parts))
+        if None in numbers:
+            new = [p for p in dict.fromkeys(parts) if p not in self.parts]
+            # The ends of a text may be blank; such a part is tokenised by itself.
+            inner = [p for p in new if p.strip() == p != ""]
+            for some in [inner, *([p] for p in new if p.strip() != p or not p)]:
+                self._learn(some)
+            numbers = list(map(self.parts.__getitem__, parts))
+        at = np.array(numbers)
+        if at.min() < 0:
+            return _NOTHING
+        of_a, of_b, ends, links = (np.frombuffer(x, np.int64) for x in (self.of_a, self.of_b, self.ends, self.links))
+        sizes = ends[at + 1] - ends[at]
+        found = links[np.repeat(ends[at + 1] - sizes.cumsum(), sizes) + np.arange(sizes.sum())]
+        return int(of_a[at].sum()), int(of_b[at].sum()), ";".join(map(self.shown.__getitem__, numbers)), found
+
+    def _learn(self, parts: list[str]) -> None:
+        if not parts:
+            return
+        text = " ".join(parts)
         raw = (" " + text).encode()
-        ids_a, ids_b = self.a.encode(" " + text), self.b.encode(text)
-        if not (self.a.spells(ids_a, raw) and self.b.spells(ids_b, raw)):
-            return 0, 0, 0, "", np.empty(0, np.int64)
-        cuts_a, cuts_b = self._anchors(ids_a, ids_b)
-        known, shown, links = self.known, [], []
-        from_a = from_b = 0
-        for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-            key = (tuple(ids_a[from_a:to_a]), tuple(ids_b[from_b:to_b]))
-            found = known.get(key) or self._window(key)
-            shown.append(found[0])
-            links.extend(found[1])
-            from_a, from_b = to_a, to_b
-        return len(ids_a), len(ids_b), len(links), ";".join(shown), np.array(links, np.int64)
-
-    def _anchors(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]]:
-        a, b = np.array(ids_a), np.array(ids_b)
-        ends_a, ends_b = self.a.sizes[a].cumsum(), self.b.sizes[b].cumsum()
-        before_a = np.append(self.a.spaced[a[1:]], True)
-        before_b = np.append(self.b.spaced[b[1:]], True)
-        shared = np.intersect1d(ends_a[before_a], ends_b[before_b], assume_unique=True)
-        return (np.searchsorted(ends_a, shared) + 1).tolist(), (np.searchsorted(ends_b, shared) + 1).tolist()
-
-    def _window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, tuple[int, ...]]:
-        """Groups between shared ends, and the pair of tokens that end at each."""
-        (a, b), sizes_a, sizes_b = key, self.a.sizes, self.b.sizes
-        shown, links = [], []
-        i = j = at_a = at_b = from_a = from_b = 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b:
-                at_a, i = at_a + int(sizes_a[a[i]]), i + 1
+        a, b = self.a.ids(text, raw), self.b.ids(text, raw)
+        if a is None or b is None:
+            if len(parts) == 1:
+                self.parts[parts[0]] = -1
             else:
-                at_b, j = at_b + int(sizes_b[b[j]]), j + 1
-            if at_a == at_b:
-                shown.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                links.append(a[i - 1] << _SHIFT | b[j - 1])
-                from_a, from_b = i, j
-        found = ";".join(shown), tuple(links)
-        if len(a) + len(b) <= _LONGEST:
-            if len(self.known) >= _KNOWN:
-                self.known.clear()
-            self.known[key] = found
-        return found
+                self._learn(parts[: len(parts) // 2])
+                self._learn(parts[len(parts) // 2 :])
+            return
+        self.held += len(raw)
+        ends_a, ends_b = self.a.sizes[a].cumsum(), self.b.sizes[b].cumsum()
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        anchors = np.cumsum([1 + len(p.encode()) for p in parts])
+        upto = np.searchsorted(shared, anchors) + 1
+        if not np.array_equal(shared[upto - 1], anchors):
+            raise ValueError("a token goes across a space")
+        to_a, to_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
+        links = (a[to_a - 1].astype(np.int64) << _SHIFT | b[to_b - 1]).tolist()
+        named_a, named_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        cuts_a, cuts_b = [0, *to_a.tolist()], [0, *to_b.tolist()]
+        bytes_a, bytes_b = a.tobytes(), (~b).tobytes()  # turned, so that a key tells where they begin
+        first = 0
+        for part, last in zip(parts, upto.tolist(), strict=True):
+            i, j, k, m = cuts_a[first], cuts_a[last], cuts_b[first], cuts_b[last]
+            key = bytes_a[4 * i : 4 * j] + bytes_b[4 * k : 4 * m]
+            number = self.windows.get(key)
+            if number is None:
+                number = self.windows[key] = len(self.shown)
+                groups = [
+                    ",".join(named_a[cuts_a[g] : cuts_a[g + 1]]) + "|" + ",".join(named_b[cuts_b[g] : cuts_b[g + 1]])
+                    for g in range(first, last)
+                ]
+                self.shown.append(";".join(groups))
+                self.links.extend(links[first:last])
+                self.ends.append(len(self.links))
+                self.of_a.append(j - i)
+                self.of_b.append(m - k)
+            self.parts[part] = number
+            first = last
 
 
 _aligners: dict[tuple[str | None, str | None], Aligner] = {}
@@ -152,10 +191,10 @@ class _Block:
         self.pairs = 0
 
     def add(self, doc, found: tuple) -> None:
-        n_a, n_b, n_groups, shown, links = found
+        n_a, n_b, shown, links = found
         codes, times = np.unique(links, return_counts=True)
         digest = hashlib.sha256(shown.encode()).hexdigest() if n_a else ""
-        self.docs.append((doc, n_a, n_b, n_groups, len(links), digest, len(codes)))
+        self.docs.append((doc, n_a, n_b, len(links), len(links), digest, len(codes)))
         self.codes.append(codes)
         self.times.append(times)
         self.pairs += len(codes)
