@@ -1,7 +1,7 @@
 """Token ids in Arrow stream files of equal-length sequences and masks.
 
 A file is an Arrow IPC stream. Its record batches have two columns, ``ids``
-(fixed-size lists of unsigned 32-bit ids) and ``mask`` (fixed-size lists of bytes,
+(fixed-size lists of unsigned ids, of 16 bits if the vocabulary allows, else 32) and ``mask`` (fixed-size lists of bytes,
 1 for an id and 0 for the padding behind the file's last id), and all batches but
 the last hold the same number of sequences. Equal batches take equally many bytes,
 so sequence i lies in batch i // batch_rows at a known place: it is read by memory
@@ -31,14 +31,14 @@ _OUT_BYTES = 4 << 20
 class TokenFileWriter:
     """Writes one file; holds no more than one batch of sequences."""
 
-    def __init__(self, sink, length: int, batch_rows: int) -> None:
+    def __init__(self, sink, length: int, batch_rows: int, kind: str = "<u4") -> None:
         self.length, self.batch_rows, self.sink = length, batch_rows, sink
         meta = {"sequence_length": str(length), "batch_rows": str(batch_rows)}
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))], meta
+            [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))], meta
         )
         self.stream = pa.ipc.new_stream(sink, self.schema)
-        self.room = np.empty(length * batch_rows, "<u4")
+        self.room = np.empty(length * batch_rows, kind)
         self.filled = self.tokens = 0
 
     def add(self, ids: np.ndarray) -> None:
@@ -135,7 +135,7 @@ def write_token_files(
     Spark deals the documents out by ranges of ``id_col`` and sorts each range, by
     text where ids are equal, null ids last. A task writes one file,
     ``files/<random>.arrows``, of the ids of its documents, each followed by
-    ``end_id``, and gives a row per document to the index: ``id``, ``file``, the
+    ``end_id``, in 16 bits each if all ids are below 65,536, and gives a row per document to the index: ``id``, ``file``, the
     place ``at`` of its first id in that file, ``n_tokens`` and ``mark``, the order
     of the files. Spark commits the index, a Parquet table in ``index``, so only
     files of tasks that were committed are ever named; what a lost or repeated
@@ -147,14 +147,16 @@ def write_token_files(
     root = qualified(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(vocabulary).encode
+        encoder = word_encoder(vocabulary)
+        encode, kind_of_ids = encoder.encode, "<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4"
         end = np.array([end_id], "<u4").tobytes()
         writer, name, mark = None, f"{uuid.uuid4().hex}.arrows", None
         for batch in batches:
             ids, at, counts = [], [], []
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 if writer is None:
-                    writer, mark = TokenFileWriter(_sink(f"{root}/files/{name}"), length, batch_rows), doc.as_py()
+                    sink, mark = _sink(f"{root}/files/{name}"), doc.as_py()
+                    writer = TokenFileWriter(sink, length, batch_rows, kind_of_ids)
                 tokens = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
                 at.append(writer.tokens)
                 counts.append(len(tokens))

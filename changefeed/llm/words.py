@@ -46,7 +46,7 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        self.model, self.size = self.whole.model, self.whole.get_vocab_size()
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
         self.special = [t["content"] for t in known["added_tokens"]]

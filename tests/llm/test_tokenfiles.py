@@ -58,7 +58,7 @@ def test_many_files_of_small_batches(spark, odd_docs, plain, tmp_path):
             table = stream.read_all()
         ids = table["ids"].combine_chunks().flatten().to_numpy()
         mask = table["mask"].combine_chunks().flatten().to_numpy()
-        assert table["ids"].type == pa.list_(pa.uint32(), 8)
+        assert table["ids"].type == pa.list_(pa.uint16(), 8)
         assert (np.diff(mask.astype(int)) <= 0).all() and len(mask) - mask.sum() < 8
         opened = tokenfiles.TokenFile(str(file))
         for i in random.Random(1).sample(range(len(table)), min(40, len(table))):
@@ -67,9 +67,10 @@ def test_many_files_of_small_batches(spark, odd_docs, plain, tmp_path):
             assert masked.tolist() == mask[8 * i : 8 * i + 8].tolist()
 
 
-def test_sequences_are_views_of_the_file(tmp_path):
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_sequences_are_views_of_the_file(tmp_path, kind):
     place = str(tmp_path / "one.arrows")
-    writer = tokenfiles.TokenFileWriter(pa.OSFile(place, "wb"), 16, 4)
+    writer = tokenfiles.TokenFileWriter(pa.OSFile(place, "wb"), 16, 4, kind)
     writer.add(np.arange(1000, dtype="<u4"))
     writer.close()
     opened = tokenfiles.TokenFile(place)
