@@ -1,9 +1,9 @@
 """Token ids in Arrow stream files of equal-length sequences and masks.
 
 A file is an Arrow IPC stream. Its record batches have two columns, ``ids``
-(fixed-size lists of unsigned ids, of 16 bits if the vocabulary allows, else 32) and ``mask`` (fixed-size lists of bytes,
-1 for an id and 0 for the padding behind the file's last id), and all batches but
-the last hold the same number of sequences. Equal batches take equally many bytes,
+(fixed-size lists of unsigned ids, of 16 bits if the vocabulary allows, else 32) and ``mask`` (fixed-size lists of booleans, a
+bit each: true for an id, false for the padding behind the file's last id), and all
+batches but the last hold the same number of sequences. Equal batches take equally many bytes,
 so sequence i lies in batch i // batch_rows at a known place: it is read by memory
 map, without copying and without reading what comes before it.
 """
@@ -35,7 +35,7 @@ class TokenFileWriter:
         self.length, self.batch_rows, self.sink = length, batch_rows, sink
         meta = {"sequence_length": str(length), "batch_rows": str(batch_rows)}
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))], meta
+            [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))], meta
         )
         self.stream = pa.ipc.new_stream(sink, self.schema)
         self.room = np.empty(length * batch_rows, kind)
@@ -53,7 +53,7 @@ class TokenFileWriter:
     def _batch(self) -> None:
         size = -(-self.filled // self.length) * self.length
         self.room[self.filled : size] = 0
-        mask = (np.arange(size) < self.filled).astype(np.uint8)
+        mask = np.arange(size) < self.filled
         columns = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.length) for values in (self.room[:size], mask)
         ]
@@ -92,28 +92,31 @@ class TokenFile:
         self.held = (batch, pa.ipc.read_record_batch(message, self.schema))
         return self.source.tell() - self.start
 
-    def batch(self, batch: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of a batch, one sequence a row."""
+    def _columns(self, batch: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """All ids of a batch, and the mask of them, both as views."""
         if self.held[0] != batch:
             self._load(batch)
-        views = [c.flatten().to_numpy(zero_copy_only=True) for c in self.held[1].columns]
-        return tuple(v.reshape(-1, self.length) for v in views)
+        ids, mask = (c.flatten() for c in self.held[1].columns)
+        return ids.to_numpy(zero_copy_only=True), mask
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Ids and mask of sequence ``i``."""
-        ids, mask = self.batch(i // self.batch_rows)
-        return ids[i % self.batch_rows], mask[i % self.batch_rows]
+        ids, mask = self._columns(i // self.batch_rows)
+        at = i % self.batch_rows * self.length
+        return ids[at : at + self.length], mask.slice(at, self.length)
 
     def tokens(self, at: int, count: int) -> np.ndarray:
         """``count`` ids from the ``at``-th on, without a copy if they lie in one batch."""
         size, parts = self.length * self.batch_rows, []
-        while count:
-            ids, mask = (v.ravel()[at % size :][:count] for v in self.batch(at // size))
-            if not len(ids) or not mask.all():
+        while True:
+            ids, mask = self._columns(at // size)
+            ids, mask = ids[at % size :][:count], mask.slice(at % size, count)
+            if mask.true_count != len(ids) or count and not len(ids):
                 raise ValueError("the file ends before these ids")
             parts.append(ids)
             at, count = at + len(ids), count - len(ids)
-        return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.empty(0, "<u4")])
+            if not count:
+                return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
     def close(self) -> None:
         self.held = (-1, None)

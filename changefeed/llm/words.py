@@ -16,20 +16,27 @@ from changefeed.llm.packing import byte_letters
 VOCABULARY = "word_bpe_49k.json"
 #: Letters beyond these, and blanks that libraries disagree on, go through ``tokenizers`` alone.
 _OTHER = regex.compile("[^\x00-\x1b -\x84\x86-\x9f¡-ɏ]")
-_KNOWN, _LONGEST = 400_000, 64
+_KNOWN, _LONGEST = 300_000, 64
 
 
 class Remembered(dict):
-    """What a function gives for short strings, 400,000 of them at most."""
+    """What a function gives for short strings.
+
+    It forgets those not asked for in a while: when 300,000 are held, they become the
+    old ones, and those are dropped that were not asked for since the last time.
+    """
 
     def __init__(self, give) -> None:
         super().__init__()
-        self.give = give
+        self.give, self.old = give, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.give(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.give(key)
         if len(key) <= _LONGEST:
             if len(self) >= _KNOWN:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -40,7 +47,7 @@ class WordEncoder:
 
     Its words hold no blanks and do not depend on each other. So a text of Latin
     letters is cut at blanks, each part into words by the file's own pattern, and
-    parts and words seen before are looked up. All other texts, and those with a
+    parts seen before are looked up. All other texts, and those with a
     special token's string, go through ``tokenizers`` as a whole.
     """
 
@@ -52,8 +59,8 @@ class WordEncoder:
         self.special = [t["content"] for t in known["added_tokens"]]
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
         pattern = known["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        find, words = regex.compile(pattern).findall, Remembered(self._word)
-        self.parts = Remembered(lambda part: b"".join(map(words.__getitem__, find(part))))
+        find, word = regex.compile(pattern).findall, self._word
+        self.parts = Remembered(lambda part: b"".join(map(word, find(part))))
 
     def encode(self, text: str) -> bytes:
         if _OTHER.search(text) or any(s in text for s in self.special):
