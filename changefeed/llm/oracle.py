@@ -1,6 +1,7 @@
 """SQL for DuckDB that the operators SQL can express must agree with.
 
-The other ones (language, quality, SimHash, packing, the pipeline) are tested
+The other ones (language, quality, passages, SimHash, packing, alignment, whitening,
+token files, the pipeline) are tested
 against brute-force versions, held-out accuracy and exact round trips.
 """
 
@@ -54,23 +55,6 @@ JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
 JOIN summed s ON s.source IS NOT DISTINCT FROM e.source AND s.h = e.edge
 """
 
-_REPEATS = """
-WITH lines AS (
-  SELECT doc_id, l, i, CAST(coalesce(sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY i
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS start
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
-               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
-units AS (
-  SELECT doc_id, start, CAST(start + length(l) AS INTEGER) AS stop,
-         trim(regexp_replace(lower(l), '\\s+', ' ', 'g')) AS unit FROM lines),
-placed AS (
-  SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) AS n,
-         first_value(doc_id) OVER (PARTITION BY unit ORDER BY doc_id, start) AS first_id,
-         first_value(start) OVER (PARTITION BY unit ORDER BY doc_id, start) AS first_start
-  FROM units WHERE len(string_split(unit, ' ')) >= 5)
-SELECT doc_id, start, stop, first_id, first_start FROM placed WHERE n > 1
-"""
-
 _TOP = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -154,7 +138,6 @@ def oracle_sql(url_rules: Sequence[tuple[str, str, str]]) -> dict[str, str]:
         "op3_mixing": _MIXING,
         "op4_url_filter": _urls(url_rules),
         "op5_license_scan": _licenses(),
-        "op6_substring_dedup": _REPEATS,
         "op8_topk": _TOP,
         "op10_embedding_dedup": _VECTORS,
     }

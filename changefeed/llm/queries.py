@@ -77,7 +77,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that repeat earlier ones, by document and offset."""
+    """Passages that repeat earlier ones, by document and offset."""
     return substrings.repeated_units(table(spark, sf_dir, "documents"))
 
 

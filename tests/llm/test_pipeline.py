@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from changefeed.llm import copies, packing
+from changefeed.llm import copies, packing, substrings
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,9 +21,10 @@ def test_stages_in_order(spark, sf_dir, tmp_path):
     assert {r["doc_id"] for r in single.collect()} == {r["component_id"] for r in found}
     texts = {r["doc_id"]: r for r in cut.collect()}
     assert texts.keys() == {r["doc_id"] for r in single.collect()}
-    lines = [" ".join(line.lower().split()) for r in texts.values() for line in r["text"].split("\n")]
-    lines = [line for line in lines if len(line.split()) >= 5]
-    assert len(lines) == len(set(lines))
+    found = substrings.repeated_units(single.where("text is not null")).collect()
+    before = {r["doc_id"]: r["text"] for r in single.collect()}
+    changed = {i for i in texts if texts[i]["text"] != before[i]}
+    assert changed == {r["doc_id"] for r in found}
     assert all(r["n_chars"] == len(r["text"]) for r in texts.values())
     assert {r["text"] for r in mixed.collect()} <= {r["text"] for r in texts.values()}
     words = defaultdict(int)
