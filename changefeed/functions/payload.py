@@ -42,7 +42,8 @@ def unpack_records(rows: DataFrame, data: str = "data") -> DataFrame:
     """One packed record (a JSON array of sub-documents) to many rows.
 
     ``subSequence`` numbers the parts from 0. A record that is not packed keeps
-    its one row and its bytes, with ``subSequence`` 0; so does an empty pack.
+    its one row and its bytes, with ``subSequence`` 0; so does an empty pack. A null
+    in an array is a part without data.
     """
     text = payload_text(data)
     parts = F.when(
@@ -52,7 +53,7 @@ def unpack_records(rows: DataFrame, data: str = "data") -> DataFrame:
     return rows.select(
         *kept, F.col(data).alias("_packed"), F.posexplode_outer(parts).alias("_part", "_text")
     ).select(
-        F.coalesce(F.col("_text").cast("binary"), F.col("_packed")).alias(data),
+        F.when(F.col("_part").isNull(), F.col("_packed")).otherwise(F.col("_text").cast("binary")).alias(data),
         *kept,
         F.coalesce(F.col("_part"), F.lit(0)).alias("subSequence"),
     )

@@ -45,23 +45,32 @@ def cap_per_shard(
     ``(shard, sequenceNumber)``, with ``subSequence`` if there is one, tells rows
     apart. Only shards with more rows than the limit are cut: their keys are
     numbered, and full rows are filtered by that one bound per shard, so payloads
-    are not shuffled.
+    are not shuffled. Keys are written once, to be counted and numbered from there.
     """
     limit = batch_limit(page, cap)
+    keys = materialise(rows.select(*SHARD_KEY, "sequenceNumber", *_tie(rows)), "keys")
     large, shards = materialise_counted(
-        rows.groupBy(*SHARD_KEY)
+        keys.groupBy(*SHARD_KEY)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > limit)
         .select(*SHARD_KEY),
         "large",
     )
-    return cut_large(rows, large, limit) if shards else rows
+    return cut_large(rows, large, limit, keys) if shards else rows
 
 
-def cut_large(rows: DataFrame, large: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` rows of each shard in ``large``, and all rows of other shards."""
-    tie = [SUB_SEQUENCE] if SUB_SEQUENCE in rows.columns else []
-    keys = rows.select(*SHARD_KEY, "sequenceNumber", *tie).join(large, SHARD_KEY, "left_semi")
+def _tie(rows: DataFrame) -> list[str]:
+    return [SUB_SEQUENCE] if SUB_SEQUENCE in rows.columns else []
+
+
+def cut_large(rows: DataFrame, large: DataFrame, limit: int, keys: DataFrame | None = None) -> DataFrame:
+    """The first ``limit`` rows of each shard in ``large``, and all rows of other shards.
+
+    ``keys`` are those of the rows, if they are stored already.
+    """
+    tie = _tie(rows)
+    keys = rows.select(*SHARD_KEY, "sequenceNumber", *tie) if keys is None else keys
+    keys = keys.join(large, SHARD_KEY, "left_semi")
     place = F.struct(norm_seq("sequenceNumber"), *tie)
     bounds = materialise(
         with_shard_ordinal(keys, tie_break=tuple(tie))

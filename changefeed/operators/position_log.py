@@ -110,7 +110,7 @@ def log_batch_ids(spark: SparkSession, path: str) -> list[int]:
     found = []
     for name in storage.child_names(spark, _root(path)):
         digits = name.removeprefix(_PREFIX)
-        if name.startswith(_PREFIX) and digits.removeprefix("-").isdigit():
+        if name.startswith(_PREFIX) and digits.isascii() and digits.removeprefix("-").isdecimal():
             found.append(int(digits))
     return sorted(found)
 

@@ -34,6 +34,17 @@ def parse_starting_position(text: Column) -> Column:
     return parsed.otherwise(F.raise_error(message).cast("string"))
 
 
+def checked_kind(kind: Column, position: Column) -> Column:
+    """The kind of a position; one that is unknown, or cannot be read, fails."""
+    sound = (
+        kind.isin(TRIM_HORIZON, LATEST, SHARD_END)
+        | ((kind == AT_TIMESTAMP) & position.try_cast("bigint").isNotNull())
+        | (kind.isin(AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER) & position.isNotNull())
+    )
+    message = F.concat_ws(" ", F.lit("not a position that can be read:"), kind, position)
+    return F.when(F.coalesce(sound, F.lit(False)), kind).otherwise(F.raise_error(message).cast("string"))
+
+
 def reached(kind: Column, position: Column, seq: Column, arrival: Column) -> Column:
     """Is a record at or past a position?
 
@@ -73,7 +84,7 @@ def read_from(feed: DataFrame, kind: str, position: str = "") -> DataFrame:
 
 def live_positions(positions: DataFrame) -> DataFrame:
     """Positions of shards still to be read."""
-    return positions.filter(F.col("iteratorType") != SHARD_END)
+    return positions.filter(checked_kind(F.col("iteratorType"), F.col("iteratorPosition")) != SHARD_END)
 
 
 def pin_latest(positions: DataFrame, heads: DataFrame) -> DataFrame:
@@ -101,11 +112,14 @@ def apply_positions(feed: DataFrame, positions: DataFrame) -> DataFrame:
     Pass stored positions (a position log, or ``materialise``): their real size
     then decides between a broadcast and a shuffle join, whose hot shards the
     adaptive skew join splits. Shards that can give no row drop out before the
-    join, and the feed keeps only its own columns.
+    join, and the feed keeps only its own columns. A position of an unknown kind,
+    or one whose time or number cannot be read, fails.
     """
-    live = positions.filter(~F.col("iteratorType").isin(SHARD_END, LATEST)).select(
-        *SHARD_KEY, F.col("iteratorType").alias("_kind"), F.col("iteratorPosition").alias("_from")
-    )
+    live = positions.select(
+        *SHARD_KEY,
+        checked_kind(F.col("iteratorType"), F.col("iteratorPosition")).alias("_kind"),
+        F.col("iteratorPosition").alias("_from"),
+    ).filter(~F.col("_kind").isin(SHARD_END, LATEST))
     past = reached(
         F.col("_kind"),
         F.col("_from"),

@@ -145,6 +145,41 @@ def oracle_sql() -> dict[str, str]:
             SELECT "shardId", seq AS "sequenceNumber",
                    (row_number() OVER (PARTITION BY "shardId" ORDER BY seq) - 1) // 50 AS batch
             FROM feed""",
+        "batch_feed_scan": f"""
+            WITH {_FEED}
+            SELECT lpad(CAST(length(ltrim(seq, '0')) AS VARCHAR), 10, '0') || ltrim(seq, '0') AS "seqKey",
+                   "shardId", seq AS "sequenceNumber", "partitionKey", ts AS "approximateArrivalTimestamp",
+                   {_DOCUMENT} AS data
+            FROM feed WHERE ts >= TIMESTAMP '2024-01-09 06:00:00' AND ts < TIMESTAMP '2024-01-12'""",
+        "stream_feed_write": f"""
+            WITH {_FEED}
+            SELECT "shardId", seq AS "sequenceNumber", "partitionKey",
+                   row_number() OVER (PARTITION BY "shardId" ORDER BY seq) AS ordinal, {_DOCUMENT} AS data
+            FROM feed""",
+        "stream_current_image": f"""
+            WITH {_FEED}
+            SELECT "partitionKey", max(seq) AS "sequenceNumber", max(event_id) AS id,
+                   arg_max(event_type, event_id) AS n, false AS removed
+            FROM feed GROUP BY ALL""",
+        "stream_window_counts": f"""
+            WITH {_FEED}
+            SELECT "shardId", time_bucket(INTERVAL 6 HOURS, ts) AS start, count(*) AS records
+            FROM feed GROUP BY ALL""",
+        "stream_interval_join": f"""
+            WITH {_FEED}
+            SELECT v."partitionKey", v.seq AS viewed, p.seq AS purchased
+            FROM feed v JOIN feed p ON v."partitionKey" = p."partitionKey"
+              AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 2 HOURS
+            WHERE v.event_type = 'view' AND p.event_type = 'purchase'""",
+        "session_activity": f"""
+            WITH {_FEED},
+            gaps AS (
+              SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 12 HOURS THEN 0 ELSE 1 END AS fresh
+              FROM feed WINDOW w AS (PARTITION BY "partitionKey" ORDER BY ts)),
+            runs AS (
+              SELECT *, sum(fresh) OVER (PARTITION BY "partitionKey" ORDER BY ts, seq) AS run FROM gaps)
+            SELECT "partitionKey", min(ts) AS first, max(ts) AS last, count(*) AS records
+            FROM runs GROUP BY "partitionKey", run""",
         "shard_scan_counts": f"""
             WITH {_CATALOGUE} SELECT "shardId", "startSeq", "headSeq", records FROM ranges""",
         "shard_ranges_from_pages": f"""
@@ -209,6 +244,9 @@ def oracle_sql() -> dict[str, str]:
         "cap_per_shard": f"""
             WITH {_FEED} {_KEYS} FROM feed
             QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 15""",
+        "cap_per_shard_default": f"""
+            WITH {_FEED} {_KEYS} FROM feed
+            QUALIFY row_number() OVER (PARTITION BY "shardId" ORDER BY seq) <= 110000""",
         "cap_per_shard_large": f"""
             WITH {_FEED} SELECT CAST((event_id + 1) % 3 AS VARCHAR) AS "shardId", seq AS "sequenceNumber",
               "partitionKey", ts AS "approximateArrivalTimestamp" FROM feed
@@ -268,6 +306,10 @@ def oracle_sql() -> dict[str, str]:
                    || '":{{"iteratorType":"AFTER_SEQUENCE_NUMBER","iteratorPosition":"'
                    || "headSeq" || '"}}', ',' ORDER BY "shardId") || '}}' AS "offset"
             FROM streams GROUP BY "streamName" """,
+        "stream_offsets": f"""
+            WITH {_CATALOGUE}
+            SELECT 'events' AS "streamName", 0 AS batch_id, "shardId",
+                   'AFTER_SEQUENCE_NUMBER' AS "iteratorType", "headSeq" AS "iteratorPosition" FROM ranges""",
         "offset_decode": f"""
             WITH {_LOG} SELECT 'events' AS "streamName", {_LOG_COLUMNS} FROM log""",
         "previous_positions": f"""

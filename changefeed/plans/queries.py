@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from changefeed.functions.payload import (
@@ -38,7 +38,8 @@ from changefeed.sources.store import (
     write_catalogue,
 )
 from changefeed.storage import materialise, scratch_path
-from changefeed.streaming.runner import drain, read_stream, write_with_log
+from changefeed.streaming import state
+from changefeed.streaming.runner import append_stream, drain, read_stream, read_table, write_with_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +109,93 @@ def stream_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def batch_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # All records of a range of time; the page listing chooses the files to open.
+    path = ef.stored(spark, sf_dir).feed_path
+    wanted = {"fromTime": "2024-01-09T06:00:00", "toTime": "2024-01-12"}
+    rows = read_table(spark, path, ef.STREAM, includeShardId="true", includeSequenceKey="true", **wanted)
+    return rows.select("seqKey", *_KEY_COLUMNS, _arrived(), payload_text("data").alias("data"))
+
+
+@query
+def stream_feed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Batches of a limited stream, appended to another feed; the pages they make there.
+    place = scratch_path(spark, "copied")
+    stream = _limited(spark, sf_dir)
+    drain(lambda: append_stream(stream, f"{place}/feed", f"{place}/checkpoint", "copy", page=PAGE))
+    return stored_ordinal(spark, f"{place}/feed").select(*_KEY_COLUMNS, "ordinal", payload_text("data").alias("data"))
+
+
+_KEY_COLUMNS = ["shardId", "sequenceNumber", "partitionKey"]
+
+
+def _limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits_of = {"executor.maxRecordPerRead": str(STREAM_PAGE), "executor.maxFetchRecordsPerShard": str(STREAM_CAP)}
+    path = ef.stored(spark, sf_dir).feed_path
+    return read_stream(spark, path, ef.STREAM, startingPosition="TRIM_HORIZON", includeShardId="true", **limits_of)
+
+
+def _latest_of_batches(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """A stream in update mode, run up to its head; of each key what its last batch gave."""
+    spark, place = stream.sparkSession, scratch_path(stream.sparkSession, "updates")
+
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/rows/batch={n}")
+
+    drain(
+        lambda: stream.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{place}/checkpoint")
+        .foreachBatch(keep)
+    )
+    rows = spark.read.schema(stream.schema.add("batch", T.LongType())).parquet(f"{place}/rows")
+    newest = F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "batch").alias("newest")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+
+
+@query
+def stream_current_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decode_event(_limited(spark, sf_dir), ef.EVENT)
+    image = F.struct(typed_attribute("id", "N", "bigint").alias("id"), new_image("n", "S").alias("n"))
+    images = state.current_images(rows, ["partitionKey"], image, F.col("event.eventName"))
+    return _latest_of_batches(images, ["partitionKey"]).select(
+        "partitionKey", "sequenceNumber", "image.id", "image.n", "removed"
+    )
+
+
+@query
+def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = ef.stored(spark, sf_dir).feed_path
+    stream = read_stream(spark, path, ef.STREAM, startingPosition="TRIM_HORIZON", includeShardId="true")
+    counts = state.window_counts(stream, "6 hours", "1 day")
+    found = _latest_of_batches(counts, [*SHARD_KEY, "start"])
+    return found.select("shardId", F.col("start").cast("timestamp_ntz").alias("start"), "records")
+
+
+@query
+def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Purchases up to two hours after a view of the same user.
+    path = ef.stored(spark, sf_dir).feed_path
+
+    def of(kind: str) -> DataFrame:
+        rows = decode_event(read_stream(spark, path, ef.STREAM, startingPosition="TRIM_HORIZON"), ef.EVENT)
+        return rows.filter(new_image("n", "S") == kind).select("partitionKey", "sequenceNumber", state.ARRIVAL)
+
+    joined = state.interval_join(of("view"), of("purchase"), "partitionKey", "2 HOURS", "1 day")
+    out = scratch_path(spark, "joined")
+    drain(lambda: _to_files(joined, out))
+    return spark.read.schema(joined.schema).parquet(f"{out}/rows").select(
+        "partitionKey", F.col("sequenceNumber").alias("viewed"), F.col("right_sequenceNumber").alias("purchased")
+    )
+
+
+@query
+def session_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = state.sessions(ef.stored(spark, sf_dir).feed, "12 hours", "1 day")
+    ends = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("first", "last")]
+    return found.select("partitionKey", *ends, "records")
+
+
 def _to_files(stream: DataFrame, place: str) -> DataStreamWriter:
     return (
         stream.writeStream.format("parquet")
@@ -345,6 +433,11 @@ def cap_per_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(limits.cap_per_shard(ef.stored(spark, sf_dir).feed, PAGE, CAP))
 
 
+@query
+def cap_per_shard_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(limits.cap_per_shard(ef.stored(spark, sf_dir).feed))
+
+
 @query
 def cap_per_shard_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Few shards, each over a limit of many pages.
@@ -447,6 +540,19 @@ def offset_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The offsets of a stream's own checkpoint, decoded.
+    feed_path = ef.stored(spark, sf_dir).feed_path
+    stream = read_stream(spark, feed_path, ef.STREAM, startingPosition="TRIM_HORIZON")
+    place = scratch_path(spark, "offsets")
+    drain(lambda: _to_files(stream, place))
+    lines = spark.read.text(f"{place}/checkpoint/offsets").filter(F.col("value").contains(f'"{progress.METADATA}"'))
+    return progress.offset_decode(lines, "value").withColumnRenamed("batchId", "batch_id").select(
+        "streamName", *LOG_COLUMNS
+    )
+
+
 @query
 def previous_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ef.stored(spark, sf_dir).log

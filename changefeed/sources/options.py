@@ -1,8 +1,9 @@
-"""Options of the streaming source."""
+"""Options of the source."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from changefeed.schema import DEFAULT_CAP, DEFAULT_PAGE, LATEST, TRIM_HORIZON
 
@@ -11,6 +12,7 @@ STREAM_NAME = "streamname"
 STARTING_POSITION = "startingposition"
 PATH = "path"
 INCLUDE_SHARD_ID = "includeshardid"
+INCLUDE_SEQUENCE_KEY = "includesequencekey"
 MAX_RECORDS_PER_SHARD = "executor.maxfetchrecordspershard"
 MAX_RECORDS_PER_READ = "executor.maxrecordperread"
 LOG_KIND = "executor.metadata.committer"
@@ -30,6 +32,39 @@ def log_settings(options: dict[str, str]) -> tuple[str, str | None]:
     return find_option(lowered, LOG_KIND) or "hdfs", find_option(lowered, LOG_PATH)
 
 
+# Option names of batch reads, and the fields that hold them.
+_WANTED = {
+    "fromsequence": "from_sequence",
+    "tosequence": "to_sequence",
+    "fromtime": "from_time",
+    "totime": "to_time",
+}
+SHARD_IDS = "shardids"
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """What a batch read is to give; ``None`` is no bound. The end of the time is not in it."""
+
+    shards: tuple[str, ...] | None = None
+    from_sequence: str | None = None
+    to_sequence: str | None = None
+    from_time: str | None = None
+    to_time: str | None = None
+
+
+def _wanted(options: dict[str, str]) -> Wanted:
+    shards = options.get(SHARD_IDS)
+    named = {field: options[name].strip(_BLANKS) for name, field in _WANTED.items() if name in options}
+    for field in ("from_sequence", "to_sequence"):
+        if field in named and not (named[field].isascii() and named[field].isdecimal()):
+            raise ValueError(f"{field.replace('_', ' ')} is no sequence number: {named[field]!r}")
+    for field in ("from_time", "to_time"):
+        if field in named:
+            datetime.fromisoformat(named[field])
+    return Wanted(None if shards is None else tuple(s.strip(_BLANKS) for s in shards.split(",")), **named)
+
+
 @dataclass(frozen=True)
 class FeedOptions:
     """Validated options; the limits hold whether or not they were asked for."""
@@ -40,6 +75,8 @@ class FeedOptions:
     include_shard_id: bool
     page: int
     cap: int
+    include_sequence_key: bool = False
+    wanted: Wanted = Wanted()
 
 
 def starting_position(text: str | None) -> str:
@@ -88,4 +125,6 @@ def parse_options(options: dict[str, str]) -> FeedOptions:
         include_shard_id=lowered.get(INCLUDE_SHARD_ID, "false").lower() == "true",
         page=_count(lowered, MAX_RECORDS_PER_READ, 1, DEFAULT_PAGE),
         cap=_count(lowered, MAX_RECORDS_PER_SHARD, 0, DEFAULT_CAP),
+        include_sequence_key=lowered.get(INCLUDE_SEQUENCE_KEY, "false").lower() == "true",
+        wanted=_wanted(lowered),
     )

@@ -12,6 +12,7 @@ shard holds, and what part of the feed a batch needs, without reading records.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from changefeed import storage
 from changefeed.functions.sequence import norm_seq
 from changefeed.operators.limits import batch_limit, cut_large
-from changefeed.operators.positions import reached
+from changefeed.operators.positions import checked_kind, reached
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
     AT_SEQUENCE_NUMBER,
@@ -74,18 +75,25 @@ def _ticket() -> str:
 
 
 def append_feed(
-    feed: DataFrame, path: str, page: int = DEFAULT_CAP, files: int | None = None
+    feed: DataFrame, path: str, page: int = DEFAULT_CAP, files: int | None = None, once: str | None = None
 ) -> None:
     """Append records (envelope plus ``shardId``) to a stored feed.
 
     ``page`` is the most records one listed page has, the grain of a capped
     stream. Within a shard, later appends hold later sequence numbers; an append
     that does not is refused and removed. ``files`` is how many to write, at most
-    as many as shuffle partitions by default; aim at some 128 MB each.
+    as many as shuffle partitions by default; aim at some 128 MB each. ``once`` names
+    the append: if one of that name is complete, nothing is written.
     """
     spark = feed.sparkSession
     path = path.rstrip("/")
     ticket = _ticket()
+    if once is not None:
+        if not re.fullmatch(r"[A-Za-z0-9_.]+", once):
+            raise ValueError(f"an append is named by letters, digits, dots and underscores, not {once!r}")
+        if any(name.endswith(f"-{once}") for name in _complete(spark, path, "pages")):
+            return
+        ticket = f"{ticket}-{once}"
     data = f"{path}/data/append={ticket}"
     laid_out = (
         feed.select(*ENVELOPE.names, "shardId", norm_seq("sequenceNumber").alias("seqKey"))
@@ -283,7 +291,7 @@ def _needed(pages: DataFrame, positions: DataFrame, limit: int | None) -> DataFr
     earlier = shard.orderBy("firstKey").rowsBetween(Window.unboundedPreceding, -1)
     whole = F.when(past("firstKey", "firstArrival"), F.col("records")).otherwise(0)
     needed = (
-        pages.join(positions.filter(~kind.isin(SHARD_END, LATEST)), SHARD_KEY)
+        pages.join(positions.filter(~checked_kind(kind, place).isin(SHARD_END, LATEST)), SHARD_KEY)
         .filter(past("lastKey", "lastArrival"))
         .withColumn("_before", F.coalesce(F.sum(whole).over(earlier), F.lit(0)))
     )

@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructType
 
 from changefeed.functions.sequence import sequence_key
 from changefeed.operators.limits import batch_limit
-from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA
+from changefeed.operators.progress import BATCH_ID, ITERATOR_POSITION, ITERATOR_TYPE, METADATA, STREAM_NAME
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
     ENVELOPE,
@@ -29,6 +29,7 @@ from changefeed.schema import (
     SHARD_END,
 )
 from changefeed.sources.options import FeedOptions, parse_options
+from changefeed.sources.scan import ChangeFeedScan
 
 FORMAT = "changefeed"
 _ARROW_TYPES = {
@@ -38,6 +39,7 @@ _ARROW_TYPES = {
     "sequenceNumber": pa.string(),
     "approximateArrivalTimestamp": pa.timestamp("us", "UTC"),
     "shardId": pa.string(),
+    "seqKey": pa.string(),
 }
 _PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "lastSeq", "firstRow", "records"]
 
@@ -57,7 +59,7 @@ def register(spark: SparkSession) -> None:
 
 
 class ChangeFeedSource(DataSource):
-    """Streaming source over a stored feed, with the fixed envelope schema."""
+    """A stored feed as a stream or as a table, with the fixed envelope schema."""
 
     def __init__(self, options):
         super().__init__(options)
@@ -68,14 +70,38 @@ class ChangeFeedSource(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
-        if self._parsed.include_shard_id:
-            return StructType(list(ENVELOPE.fields)).add("shardId", StringType())
-        return ENVELOPE
+        schema = StructType(list(ENVELOPE.fields))
+        for name in _columns(self._parsed)[len(ENVELOPE) :]:
+            schema = schema.add(name, StringType())
+        return schema
+
+    def reader(self, schema: StructType) -> ChangeFeedScan:
+        self._check(schema)
+        return ChangeFeedScan(self._parsed, _arrow_schema(self._parsed))
 
     def streamReader(self, schema: StructType) -> "ChangeFeedReader":
+        self._check(schema)
+        return ChangeFeedReader(self._parsed)
+
+    def _check(self, schema: StructType) -> None:
         if schema != self.schema():
             raise ValueError("a change feed has a fixed schema; do not set another one")
-        return ChangeFeedReader(self._parsed)
+
+
+def _columns(options: FeedOptions) -> list[str]:
+    more = {"shardId": options.include_shard_id, "seqKey": options.include_sequence_key}
+    return [*ENVELOPE.names, *(name for name, wanted in more.items() if wanted)]
+
+
+def _arrow_schema(options: FeedOptions) -> pa.Schema:
+    return pa.schema([(name, _ARROW_TYPES[name]) for name in _columns(options)])
+
+
+def listed_pages(options: FeedOptions, columns: list[str]) -> pd.DataFrame:
+    """All listed pages of a stream."""
+    planner = ChangeFeedReader(options)
+    parts = [planner._rows(d, columns) for d in planner._new_directories("pages")]
+    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
 
 
 class FileRanges(InputPartition):
@@ -133,6 +159,7 @@ class ChangeFeedReader(DataSourceStreamReader):
         self._gone: set = set()
         self._seen: dict = {}
         self._started: dict | None = None
+        self._batch = -1
 
     # Planning, on the driver.
 
@@ -169,9 +196,9 @@ class ChangeFeedReader(DataSourceStreamReader):
     def _heads(self, progress: dict, limit: int | None) -> dict:
         """Where each shard stands when the next batch is done.
 
-        Left out are only shards that a listing had and the newest one has no more.
+        All stored records are read, those of shards that a listing has dropped as well.
         """
-        pages = self._pages[~self._pages["shardId"].isin(list(self._gone))]
+        pages = self._pages
         done = {s: _key(at[ITERATOR_POSITION]) for s, at in progress.items()}
         pages = pages[pages["lastKey"] > pages["shardId"].map(done).fillna("")].copy()
         # A batch may have ended inside a page, which then has fewer rows left.
@@ -204,33 +231,44 @@ class ChangeFeedReader(DataSourceStreamReader):
                 row -= rows
         raise ValueError(f"{file} has no such row")
 
-    def _close(self, heads: dict) -> dict:
-        """Mark drained shards, and forget those the catalogue no longer lists."""
-        offset = {METADATA: {"streamName": self._options.stream_name}}
+    def _close(self, heads: dict, batch: int) -> dict:
+        """Mark drained shards: read to their end, or no longer listed and read to their last record.
+
+        No shard is forgotten, as one that is not known would be read from its start.
+        """
+        offset = {METADATA: {BATCH_ID: str(batch), STREAM_NAME: self._options.stream_name}}
+        heads_of = self._pages.groupby("shardId")["lastKey"].max().to_dict() if self._gone else {}
         for shard, at in sorted(heads.items()):
             end = None if self._ends is None else self._ends.get(shard)
-            if end and _key(at[ITERATOR_POSITION]) >= _key(end):
+            key = _key(at[ITERATOR_POSITION])
+            if (end and key >= _key(end)) or (shard in self._gone and key >= heads_of.get(shard, "")):
                 at = {**at, ITERATOR_TYPE: SHARD_END}
-            if not (shard in self._gone and at[ITERATOR_TYPE] == SHARD_END):
-                offset[shard] = at
+            offset[shard] = at
         return offset
 
     def initialOffset(self) -> dict:
         if self._started is None:
             self._refresh()
             latest = self._options.start == LATEST
-            self._started = self._close(self._heads({}, None) if latest else {})
+            self._started = self._close(self._heads({}, None) if latest else {}, -1)
         return self._started
 
     def latestOffset(self) -> dict:
         self._refresh()
         progress = self._seen or check_offset(self.initialOffset())
         limit = batch_limit(self._options.page, self._options.cap)
-        return self._close(self._heads(progress, limit))
+        offset = self._close(self._heads(progress, limit), self._batch)
+        if check_offset(offset) != progress:
+            offset[METADATA][BATCH_ID] = str(self._batch + 1)
+        return offset
 
     def partitions(self, start: dict, end: dict) -> list[FileRanges]:
         self._refresh()
         first, last = check_offset(start), check_offset(end)
+        past = [s for s in first if s in last and _key(first[s][ITERATOR_POSITION]) > _key(last[s][ITERATOR_POSITION])]
+        if past:
+            raise ValueError(f"a batch starts after its end in shard {past[0]}: {first[past[0]]}, {last[past[0]]}")
+        self._batch = max(self._batch, int(end.get(METADATA, {}).get(BATCH_ID, -1)))
         for shard, at in last.items():
             seen = self._seen.get(shard)
             if seen is None or _key(seen[ITERATOR_POSITION]) <= _key(at[ITERATOR_POSITION]):
@@ -262,10 +300,7 @@ class ChangeFeedReader(DataSourceStreamReader):
 
     def read(self, partition: FileRanges) -> Iterator[pa.RecordBatch]:
         fs, root = open_path(f"{self._options.path}/data")
-        wanted = list(ENVELOPE.names)
-        if self._options.include_shard_id:
-            wanted.append("shardId")
-        types = pa.schema([(name, _ARROW_TYPES[name]) for name in wanted])
+        wanted, types = _columns(self._options), _arrow_schema(self._options)
         shards = pa.array(partition.shards, pa.string())
         after = pa.array(partition.after, pa.string())
         upto = pa.array(partition.upto, pa.string())

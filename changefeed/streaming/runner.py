@@ -12,9 +12,9 @@ from changefeed import storage
 from changefeed.operators import position_log
 from changefeed.operators.lineage import require_closed_parents
 from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA, previous_positions
-from changefeed.schema import POSITIONS, SHARD_END, SHARD_KEY, TRIM_HORIZON
+from changefeed.schema import DEFAULT_CAP, POSITIONS, SHARD_END, SHARD_KEY, TRIM_HORIZON
 from changefeed.sources import options as opts
-from changefeed.sources.store import read_catalogue
+from changefeed.sources.store import append_feed, read_catalogue
 from changefeed.sources.stream import FORMAT, register
 
 
@@ -25,6 +25,31 @@ def read_stream(spark: SparkSession, path: str, stream_name: str, **options: str
     return reader.options(**options).load(storage.qualified(spark, path))
 
 
+def read_table(spark: SparkSession, path: str, stream_name: str, **options: str) -> DataFrame:
+    """A stored feed as a batch DataFrame; options choose the records, and with them the files to open."""
+    register(spark)
+    reader = spark.read.format(FORMAT).option("streamName", stream_name)
+    return reader.options(**options).load(storage.qualified(spark, path))
+
+
+def append_stream(
+    stream: DataFrame, path: str, checkpoint: str, name: str, page: int = DEFAULT_CAP, files: int | None = None
+) -> DataStreamWriter:
+    """A writer that appends a stream (envelope and ``shardId``) to a stored feed.
+
+    Each batch is one append, laid out by shard and sequence number. The append is
+    named after the writer and the batch id, and its page listing is its commit, so a
+    batch that fails half way is not seen and one that is replayed counts once. Give
+    writers to one feed names of their own. A batch without records appends nothing.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            append_feed(batch, path, page, files, once=f"{name}.{batch_id}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
 def drain(writer: Callable[[], DataStreamWriter]) -> int:
     """Run a limited stream batch after batch until it stands at the head of its feed.
 

@@ -1,0 +1,77 @@
+"""A stored feed read as a table: the same rows as without filters, from fewer files."""
+
+import pytest
+from helpers import feed_of
+
+from changefeed.schema import ENVELOPE
+from changefeed.sources.store import append_feed
+from changefeed.streaming.runner import read_table
+
+BOTH = {"includeShardId": "true", "includeSequenceKey": "true"}
+COUNTS = {"a": 30, "b": 30, "c": 30, "d": 30}
+
+
+@pytest.fixture(scope="module")
+def path(spark, tmp_path_factory):
+    place = str(tmp_path_factory.mktemp("feed"))
+    append_feed(feed_of(spark, COUNTS), place, page=5, files=8)
+    append_feed(feed_of(spark, {"a": 10, "e": 10}, first=500), place, page=5, files=2)
+    append_feed(feed_of(spark, {"a": 3}, stream="other"), place)
+    return place
+
+
+def numbers(rows):
+    return sorted(int(r["sequenceNumber"]) for r in rows.select("sequenceNumber").collect())
+
+
+def test_all_records(spark, path):
+    rows = read_table(spark, path, "s")
+    assert rows.schema == ENVELOPE and not rows.isStreaming
+    assert numbers(rows) == [*range(1, 121), *range(500, 520)]
+    assert {r["streamName"] for r in rows.collect()} == {"s"}
+    assert read_table(spark, path, "s", **BOTH).columns == [*ENVELOPE.names, "shardId", "seqKey"]
+
+
+CASES = {
+    "one shard": ({"shardIds": "b"}, range(31, 61)),
+    "shards": ({"shardIds": "b, d"}, [*range(31, 61), *range(91, 121)]),
+    "number": ({"fromSequence": "77", "toSequence": "000077"}, [77]),
+    "numbers": ({"fromSequence": "119"}, [119, 120, *range(500, 520)]),
+    "time": ({"fromTime": "2024-01-01T00:08:25"}, range(505, 520)),
+    "times": ({"toTime": "2024-01-01T00:00:04+00:00", "shardIds": "a"}, range(1, 4)),
+    "other zone": ({"toTime": "2024-01-01T09:00:04+09:00"}, range(1, 4)),
+    "no such shard": ({"shardIds": "zzz"}, []),
+    "crossed": ({"fromSequence": "9", "toSequence": "3"}, []),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_options_choose_files(spark, path, name):
+    options, want = CASES[name]
+    rows = read_table(spark, path, "s", **options)
+    assert numbers(rows) == list(want)
+    every = read_table(spark, path, "s").rdd.getNumPartitions()
+    assert every >= 8 and rows.rdd.getNumPartitions() <= every - 3
+
+
+def test_reads_do_not_share_what_they_leave_out(spark, path):
+    rows = read_table(spark, path, "s", **BOTH)
+    one, other = rows.filter("shardId = 'b'"), rows.filter("shardId = 'c'")
+    assert one.unionByName(other).count() == 60 and rows.count() == 140
+    few = read_table(spark, path, "s", shardIds="b").unionByName(read_table(spark, path, "s", shardIds="c"))
+    assert few.count() == 60
+
+
+@pytest.mark.parametrize("bad", [{"fromSequence": "x"}, {"toSequence": ""}, {"fromTime": "noon"}])
+def test_options_that_cannot_be_read(spark, path, bad):
+    with pytest.raises(Exception, match="sequence number|isoformat"):
+        read_table(spark, path, "s", **bad).collect()
+
+
+def test_own_schema_is_refused(spark, path):
+    with pytest.raises(Exception, match="fixed schema"):
+        spark.read.format("changefeed").schema("a int").option("streamName", "s").load(path).collect()
+
+
+def test_empty_feed(spark, tmp_path):
+    assert read_table(spark, str(tmp_path), "s").collect() == []

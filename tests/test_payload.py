@@ -73,3 +73,9 @@ def test_times_and_sequence(spark):
         (norm_seq(F.lit("9")) < norm_seq(F.lit("10"))).alias("ordered"),
     ).first()
     assert (row.s, row.before, row.ordered) == (1_704_067_200, -1, True)
+
+
+def test_null_part_stays_null(spark):
+    rows = unpack_records(spark.createDataFrame([(b'["a",null]',), (b"[]",), (None,)], "data binary"))
+    found = sorted(((r["subSequence"], r["data"] and bytes(r["data"])) for r in rows.collect()), key=repr)
+    assert found == sorted([(0, b"a"), (1, None), (0, b"[]"), (0, None)], key=repr)

@@ -3,6 +3,9 @@ from helpers import as_dict, feed_of, positions_of, seqs
 from pyspark.sql import functions as F
 
 from changefeed.operators import positions as pos
+from changefeed.operators.limits import batch_slice
+from changefeed.operators.positions import apply_positions, live_positions
+from changefeed.sources.store import append_feed, stored_from
 from changefeed.storage import session_conf
 
 
@@ -96,3 +99,19 @@ def test_latest_is_pinned_to_the_head(spark):
         "b": ("TRIM_HORIZON", ""),
         "c": ("TRIM_HORIZON", ""),
     }
+
+
+@pytest.mark.parametrize(
+    "kind, position", [("LATER", ""), ("trim_horizon", ""), ("AT_TIMESTAMP", "noon"), ("AT_SEQUENCE_NUMBER", None), (None, "1")]
+)
+def test_position_that_cannot_be_read_fails(spark, tmp_path, kind, position):
+    feed, bad = feed_of(spark, {"a": 3}), positions_of(spark, {"a": (kind, position)})
+    append_feed(feed, str(tmp_path))
+    for read in (
+        lambda: apply_positions(feed, bad).collect(),
+        lambda: live_positions(bad).collect(),
+        lambda: batch_slice(feed, bad).collect(),
+        lambda: stored_from(spark, str(tmp_path), bad).collect(),
+    ):
+        with pytest.raises(Exception, match="not a position that can be read"):
+            read()

@@ -465,3 +465,57 @@ def test_failed_batch_is_replayed_as_it_was(spark, tmp_path, limits):
     for _ in range(3):
         attempt(fail=False)
     assert sorted(n for _, rows in seen[1:] for n in rows) == list(range(1, 14))
+
+
+def test_shard_unlisted_while_half_read(spark, tmp_path):
+    append_one_file(feed_of(spark, {"a": 20, "b": 20}), str(tmp_path), page=5)
+    listing = {"a": (None, None, str(1).zfill(21), None), "b": (None, None, str(21).zfill(21), None)}
+    write_catalogue(catalogue_of(spark, listing), str(tmp_path))
+    limits = {"executor.maxrecordperread": "5", "executor.maxfetchrecordspershard": "5"}
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **limits))
+    at, found = reader.initialOffset(), []
+    for step in range(5):
+        end = reader.latestOffset()
+        found += rows_of(reader, at, end)
+        at = end
+        if not step:
+            write_catalogue(catalogue_of(spark, {"a": listing["a"]}), str(tmp_path))
+    assert sorted(found) == list(range(1, 41))
+    assert standing(at) == {"a": ("AFTER_SEQUENCE_NUMBER", 20), "b": ("SHARD_END", 40)}
+    # Neither later listings nor a restart bring a drained shard back.
+    write_catalogue(catalogue_of(spark, {"a": listing["a"]}), str(tmp_path))
+    again = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **limits))
+    again.partitions(at, at)
+    assert rows_of(again, at, again.latestOffset()) == []
+
+
+def test_shard_unlisted_before_it_is_read(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 20, "b": 20}), f"{tmp_path}/feed", page=5)
+    for shards in ("ab", "a"):
+        write_catalogue(catalogue_of(spark, {s: (None, None, "1", None) for s in shards}), f"{tmp_path}/feed")
+    stream = read_stream(spark, f"{tmp_path}/feed", "s", startingPosition="TRIM_HORIZON")
+    drain(lambda: writer_of(stream, tmp_path))
+    assert written(spark, tmp_path) == list(range(1, 41))
+
+
+def test_start_after_end_fails(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 40}), str(tmp_path), page=5)
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon"))
+    end = reader.latestOffset()
+    early = {**end, "a": {**end["a"], "iteratorPosition": str(3).zfill(21)}}
+    with pytest.raises(ValueError, match="starts after its end"):
+        reader.partitions(end, early)
+
+
+def test_batch_ids_of_offsets(spark, tmp_path):
+    append_one_file(feed_of(spark, {"a": 20}), str(tmp_path), page=5)
+    limits = {"executor.maxrecordperread": "5", "executor.maxfetchrecordspershard": "5"}
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **limits))
+    at, ids = reader.initialOffset(), []
+    for _ in range(4):
+        end = reader.latestOffset()
+        assert end == reader.latestOffset()
+        reader.partitions(at, end)
+        ids.append(end["metadata"]["batchId"])
+        at = end
+    assert ids == ["0", "1", "1", "1"]
