@@ -20,9 +20,13 @@ BLOCK, QUERY_BLOCK = 2_048, 256
 SLACK = 1e-6
 
 
+#: Products of smaller components, 64 of them, fit 64 bits.
+MOST = float(2**20)
+
+
 def finite(vector: Column) -> Column:
-    """True for a vector that is not null and holds only finite numbers."""
-    sound = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
+    """True for a vector that is not null and holds only finite numbers below ``MOST``."""
+    sound = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < MOST), F.lit(False)))
     return F.coalesce(sound, F.lit(False))
 
 
@@ -142,7 +146,8 @@ def top_products(
 
     All vectors but those of the query's own id are candidates; fewer than ``k``
     give fewer rows. Ties go to the smaller id. Vectors and queries that are null
-    or hold null or non-finite components take no part, nor do null ids; shorter
+    or hold null or non-finite components, or one of 2^20 or more, whose products
+    need not fit 64 bits, take no part, nor do null ids; shorter
     vectors count as filled up with zeros. Repeated rows are candidates each.
     Scores are exact while they stay below 2^53.
     """

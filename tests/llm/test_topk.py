@@ -59,6 +59,13 @@ def test_odd_vectors(spark):
     assert run(vectors, "vec_id % 20 = 0") == plain_top(rows, lambda i: i % 20 == 0)
 
 
+def test_very_large_components_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e200, 1.0]), (2, [2.0**20, 0.0]), (3, [-5.0, 2.0]), (20, [1e18, 1e18])]
+    vectors = spark.createDataFrame([(*r, 1, None, "x", None) for r in rows], VECTORS)
+    kept = [r for r in rows if r[0] in (0, 3)]
+    assert run(vectors, "vec_id % 20 = 0") == plain_top(kept, lambda i: i % 20 == 0)
+
+
 def test_empty(spark):
     assert run(spark.createDataFrame([], VECTORS), "true") == []
     one = spark.createDataFrame([(1, [1.0], 1, None, None, None)], VECTORS)
