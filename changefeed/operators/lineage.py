@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from changefeed.functions.sequence import norm_seq
 from changefeed.schema import SHARD_KEY
-from changefeed.storage import materialise, materialise_counted
+from changefeed.storage import materialise, materialise_counted, scratch_path
 
 # Generations that a frontier moves before what it has reached is written.
 _GENERATIONS = 8
+# Generations after which rows of the same shard are merged.
+_UNMERGED = 4
+
+_REACHED = T.StructType(
+    [
+        T.StructField("streamName", T.StringType()),
+        T.StructField("shardId", T.StringType()),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("round", T.IntegerType()),
+    ]
+)
 
 
 def open_shards(catalogue: DataFrame) -> DataFrame:
@@ -74,42 +87,92 @@ def require_closed_parents(catalogue: DataFrame) -> DataFrame:
 def with_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
     """The given shards and all their listed ancestors, each once.
 
-    A frontier of shards not reached before moves some generations a round, and is
-    written to the shared folder; only sets of shards are ever built, none of them
-    larger than the catalogue. A lineage that leads back to itself fails.
+    A frontier of shards not reached before moves some generations a round, and what
+    a round reaches is written to the shared folder. A shard has one row after every
+    generation, however many paths lead to it, so nothing is larger than the
+    catalogue. A lineage that leads back to itself fails.
     """
-    parents = materialise(shard_parents(catalogue), "parents")
-    reached = frontier = materialise(shards.select(*SHARD_KEY).distinct(), "frontier")
+    spark = catalogue.sparkSession
+    parents = materialise(shard_parents(catalogue).withColumnRenamed("parentId", "next"), "parents")
+    place = scratch_path(spark, "reached")
+    frontier = shards.select(*SHARD_KEY).distinct().withColumn("age", F.lit(0))
+    frontier.write.parquet(f"{place}/round=0")
+    rounds = 0
     while True:
-        moved = frontier.withColumn("_age", F.lit(0))
-        for age in range(_GENERATIONS):
-            moved = _older(moved, parents, age)
-        frontier, found = materialise_counted(
-            moved.select(*SHARD_KEY).distinct().join(reached, SHARD_KEY, "left_anti"), "frontier"
+        reached = spark.read.schema(_REACHED).parquet(place)
+        last = F.col("age") == rounds * _GENERATIONS
+        moved = reached.filter((F.col("round") == rounds) & last).drop("round")
+        moved = _moved(moved, parents, rounds * _GENERATIONS, F.min)
+        rounds += 1
+        seen = Observation()
+        (
+            moved.join(reached.select(*SHARD_KEY), SHARD_KEY, "left_anti")
+            .observe(seen, F.count(F.when(F.col("age") == rounds * _GENERATIONS, 1)).alias("rows"))
+            .write.parquet(f"{place}/round={rounds}")
         )
-        if not found:
+        if not seen.get["rows"]:
             break
-        reached = reached.unionByName(frontier)
-    _require_no_cycle(reached, parents, catalogue)
+    reached = spark.read.schema(_REACHED).parquet(place).select(*SHARD_KEY)
+    _require_no_cycle(reached, parents.withColumnRenamed("next", "parentId"), catalogue)
     return reached
 
 
-def _older(moved: DataFrame, parents: DataFrame, age: int) -> DataFrame:
-    """All rows, and after each of the given age its parents, one generation older."""
-    step = parents.select(F.col("streamName").alias("_stream"), F.col("shardId").alias("_of"), "parentId")
-    newest = F.when(F.col("_age") == age, F.col("shardId"))
-    itself = F.struct("shardId", "_age")
-    parent = F.struct(F.col("parentId").alias("shardId"), F.lit(age + 1).alias("_age"))
+def _moved(rows: DataFrame, edges: DataFrame, age: int, keep: Callable[[str], Column]) -> DataFrame:
+    """Rows of an age moved some generations along the edges, each shard once.
+
+    ``keep`` tells which age a shard has that is reached in several ways. A shard has
+    two parents at most, so between two merges of equal shards no more than
+    ``2 ** _UNMERGED`` ways meet in one.
+    """
+    for step in range(_GENERATIONS):
+        rows = _further(rows, edges, age + step)
+        if (step + 1) % _UNMERGED == 0:
+            rows = rows.groupBy(*SHARD_KEY).agg(keep("age").alias("age"))
+    return rows
+
+
+def _further(rows: DataFrame, edges: DataFrame, age: int) -> DataFrame:
+    """All rows, and for those of an age one more at the end of each edge, one older."""
+    step = edges.select(F.col("streamName").alias("_stream"), F.col("shardId").alias("_of"), "next")
+    newest = F.when(F.col("age") == age, F.col("shardId"))
+    itself, on = F.struct("shardId", "age"), F.struct(F.col("next").alias("shardId"), F.lit(age + 1).alias("age"))
     return (
-        moved.join(step, (F.col("streamName") == F.col("_stream")) & (newest == F.col("_of")), "left")
+        rows.join(step, (F.col("streamName") == F.col("_stream")) & (newest == F.col("_of")), "left")
         .select(
             "streamName",
-            F.explode(F.when(F.col("_of").isNull(), F.array(itself)).otherwise(F.array(itself, parent))).alias("_s"),
+            F.explode(F.when(F.col("_of").isNull(), F.array(itself)).otherwise(F.array(itself, on))).alias("_s"),
         )
         .select("streamName", "_s.*")
     )
 
 
+def shard_levels(catalogue: DataFrame) -> DataFrame:
+    """How many generations a shard has before it, by the longest way: shard key, ``level``.
+
+    A shard is on level 0 if it has no listed parent, else one above its highest
+    parent, so all shards of one level can be read at once, after those of the levels
+    below. The shards of a level move their children up, some generations a round; a
+    shard reached again from a higher level is raised. One row per shard is all that
+    is ever built. A lineage that leads back to itself fails.
+    """
+    parents = materialise(shard_parents(catalogue), "parents")
+    shards = catalogue.select(*SHARD_KEY).distinct()
+    _require_no_cycle(shards, parents, catalogue)
+    children = materialise(
+        parents.select("streamName", F.col("parentId").alias("shardId"), F.col("shardId").alias("next")), "children"
+    )
+    levels = materialise(shards.join(parents, SHARD_KEY, "left_anti").withColumn("age", F.lit(0)), "levels")
+    top = 0
+    while True:
+        levels = _moved(levels, children, top, F.max)
+        top += _GENERATIONS
+        seen = Observation()
+        on_top = F.count(F.when(F.col("age") == top, 1)).alias("rows")
+        levels = materialise(levels.observe(seen, on_top), "levels")
+        if not seen.get["rows"]:
+            return levels.withColumnRenamed("age", "level")
+
+
 def shard_ancestors(shards: DataFrame, catalogue: DataFrame) -> DataFrame:
     """The listed ancestors of the given shards, each once, without these shards."""
     return with_ancestors(shards, catalogue).join(shards, SHARD_KEY, "left_anti")

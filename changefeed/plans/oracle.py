@@ -180,6 +180,43 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, sum(fresh) OVER (PARTITION BY "partitionKey" ORDER BY ts, seq) AS run FROM gaps)
             SELECT "partitionKey", min(ts) AS first, max(ts) AS last, count(*) AS records
             FROM runs GROUP BY "partitionKey", run""",
+        "asof_positions": f"""
+            WITH {_LOG},
+            noons AS (
+              SELECT *, TIMESTAMP '2024-01-01 12:00:00' + to_days(CAST(batch_id AS INTEGER)) AS at FROM log)
+            SELECT f."shardId", f.seq AS "sequenceNumber", n.batch_id, n."iteratorType", n."iteratorPosition"
+            FROM feed f ASOF LEFT JOIN noons n ON f."shardId" = n."shardId" AND f.ts >= n.at""",
+        "feed_reconcile": f"""
+            WITH {_FEED},
+            numbered AS (
+              SELECT "shardId", bucket, event_id + 1 AS n,
+                lpad(CAST(length(CAST(event_id + 1 AS VARCHAR)) AS VARCHAR), 10, '0')
+                  || CAST(event_id + 1 AS VARCHAR) AS "seqKey" FROM feed)
+            SELECT "shardId", "seqKey", CASE WHEN bucket = 5 THEN 'added'
+                WHEN n % 11 = 0 THEN 'missing' ELSE 'changed' END AS difference
+            FROM numbered
+            WHERE (bucket = 5 AND n % 13 = 0) OR (bucket = 3 AND (n % 11 = 0 OR n % 17 = 0))""",
+        "shard_levels": f"""
+            WITH RECURSIVE {_PARENTS},
+            ways AS (
+              SELECT "shardId", 0 AS level FROM cat WHERE "shardId" NOT IN (SELECT "shardId" FROM parents)
+              UNION
+              SELECT p."shardId", w.level + 1 FROM ways w JOIN parents p ON p."parentId" = w."shardId")
+            SELECT "shardId", max(level) AS level FROM ways GROUP BY "shardId" """,
+        "lag_sketches": f"""
+            WITH {_FEED},
+            waits AS (
+              SELECT day, "shardId", CAST(ceil(ln(greatest(
+                epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) - epoch_ms(ts), 1)) / ln(1.02)) AS INTEGER) AS bin
+              FROM feed),
+            grouped AS (
+              SELECT 'shard' AS level, "shardId" AS name, bin FROM waits
+              UNION ALL SELECT 'day', CAST(day AS VARCHAR), bin FROM waits
+              UNION ALL SELECT 'stream', 'events', bin FROM waits)
+            SELECT level, name, count(*) AS records,
+              CAST(round(pow(1.02, quantile_disc(bin, 0.5))) AS BIGINT) AS median_ms,
+              CAST(round(pow(1.02, quantile_disc(bin, 0.99))) AS BIGINT) AS most_ms, true AS keys_close
+            FROM grouped GROUP BY level, name""",
         "shard_scan_counts": f"""
             WITH {_CATALOGUE} SELECT "shardId", "startSeq", "headSeq", records FROM ranges""",
         "shard_ranges_from_pages": f"""

@@ -16,7 +16,8 @@ from changefeed.functions.payload import (
 )
 from changefeed.functions.sequence import norm_seq
 from changefeed.functions.times import arrival_epoch, arrival_timestamp
-from changefeed.operators import lineage, limits, position_log, positions, progress
+from changefeed.operators import lineage, limits, position_log, positions, progress, sketches
+from changefeed.operators.asof import asof_join
 from changefeed.plans import events_feed as ef
 from changefeed.schema import (
     AFTER_SEQUENCE_NUMBER,
@@ -28,6 +29,7 @@ from changefeed.schema import (
     TRIM_HORIZON,
 )
 from changefeed.sources.feed import shard_catalogue, shard_ranges
+from changefeed.sources.reconcile import reconcile
 from changefeed.sources.store import (
     append_feed,
     read_pages,
@@ -196,6 +198,64 @@ def session_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("partitionKey", *ends, "records")
 
 
+@query
+def asof_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The position in force when a record arrived; a day's batch logs its positions at noon.
+    s = ef.stored(spark, sf_dir)
+    noon = F.timestamp_add("DAY", F.col("batch_id").cast("int"), F.lit(f"{ef.FIRST_DAY} 12:00:00").cast("timestamp"))
+    logged = s.log.select(*SHARD_KEY, noon.alias("validFrom"), "batch_id", "iteratorType", "iteratorPosition")
+    rows = s.feed.select(*SHARD_KEY, "sequenceNumber", state.ARRIVAL)
+    found = asof_join(rows, logged, SHARD_KEY, state.ARRIVAL, "validFrom", 3600)
+    return found.select("shardId", "sequenceNumber", "batch_id", "iteratorType", "iteratorPosition")
+
+
+@query
+def feed_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two copies in files of their own: some records lost in either, some changed.
+    rows, place = ef.feed(spark, sf_dir), scratch_path(spark, "copies")
+    number = F.col("sequenceNumber").cast("bigint")
+    damaged = rows.withColumn("partitionKey", F.when(number % 17 == 0, F.lit("?")).otherwise(F.col("partitionKey")))
+    third, fifth = ef.shard_bucket() == 3, ef.shard_bucket() == 5
+    append_feed(rows.filter(~(fifth & (number % 13 == 0))), f"{place}/first", page=PAGE)
+    second = rows.filter(~third).unionByName(damaged.filter(third & (number % 11 != 0)))
+    append_feed(second, f"{place}/second", page=PAGE, files=3)
+    return reconcile(spark, f"{place}/first", f"{place}/second").select("shardId", "seqKey", "difference")
+
+
+@query
+def shard_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineage.shard_levels(ef.stored(spark, sf_dir).catalogue).select("shardId", "level")
+
+
+@query
+def lag_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # How long records wait for the batch that reads them at the end of their day, and
+    # whose they are, per shard, and from these summaries per day and stream.
+    rows = ef.stored(spark, sf_dir).feed
+    arrival = F.col(state.ARRIVAL)
+    waits = F.unix_millis(F.date_add(arrival, 1).cast("timestamp")) - F.unix_millis(arrival)
+    shards = materialise(sketches.summarise(rows, SHARD_KEY, waits, F.col("partitionKey")), "summaries")
+    days = sketches.roll_up(shards.withColumn("day", ef.shard_day()), ["streamName", "day"])
+    streams = sketches.roll_up(days, ["streamName"])
+    # Exact numbers, to hold the sketches against.
+    exact = rows.select(*SHARD_KEY, ef.shard_day().alias("day"), "partitionKey").distinct()
+    found = []
+    for level, groups, summaries in (("shard", SHARD_KEY, shards), ("day", ["streamName", "day"], days), ("stream", ["streamName"], streams)):
+        users = exact.groupBy(*groups).agg(F.count_distinct("partitionKey").alias("users"))
+        off = F.abs(sketches.distinct_keys("keys") - F.col("users"))
+        found.append(
+            summaries.join(users, groups).select(
+                F.lit(level).alias("level"),
+                F.col(groups[-1]).cast("string").alias("name"),
+                "records",
+                sketches.lag_quantile("lags", 0.5).alias("median_ms"),
+                sketches.lag_quantile("lags", 0.99).alias("most_ms"),
+                (off <= 1 + 0.08 * F.col("users")).alias("keys_close"),
+            )
+        )
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def _to_files(stream: DataFrame, place: str) -> DataStreamWriter:
     return (
         stream.writeStream.format("parquet")

@@ -91,7 +91,7 @@ def append_feed(
     if once is not None:
         if not re.fullmatch(r"[A-Za-z0-9_.]+", once):
             raise ValueError(f"an append is named by letters, digits, dots and underscores, not {once!r}")
-        if any(name.endswith(f"-{once}") for name in _complete(spark, path, "pages")):
+        if any(name.endswith(f"-{once}") for name in complete(spark, path, "pages")):
             return
         ticket = f"{ticket}-{once}"
     data = f"{path}/data/append={ticket}"
@@ -105,7 +105,7 @@ def append_feed(
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.partitionBy("part").parquet(data)
     pages = _list_pages(spark, data, ticket, page)
-    if _complete(spark, path, "pages"):
+    if complete(spark, path, "pages"):
         pages = storage.materialise(pages, "pages")
         try:
             _require_later(pages, read_pages(spark, path))
@@ -185,13 +185,13 @@ def write_catalogue(catalogue: DataFrame, path: str) -> None:
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame | None:
-    versions = _complete(spark, path, "shards")
+    versions = complete(spark, path, "shards")
     if not versions:
         return None
     return spark.read.schema(_LISTING).parquet(f"{path.rstrip('/')}/shards/{versions[-1]}")
 
 
-def _complete(spark: SparkSession, path: str, kind: str) -> list[str]:
+def complete(spark: SparkSession, path: str, kind: str) -> list[str]:
     """Names of the complete subdirectories, oldest first."""
     marks = storage.matching(spark, f"{path.rstrip('/')}/{kind}/*/_SUCCESS")
     return sorted(mark.split("/")[-2] for mark in marks)
@@ -200,7 +200,7 @@ def _complete(spark: SparkSession, path: str, kind: str) -> list[str]:
 def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
     root = f"{path.rstrip('/')}/{kind}"
     schema = T.StructType([*schema.fields, _APPEND])
-    appends = _complete(spark, path, "pages")
+    appends = complete(spark, path, "pages")
     if not appends:
         return spark.createDataFrame([], schema)
     return (

@@ -130,3 +130,32 @@ def test_streams_do_not_mix(spark):
         catalogue_of(spark, {"a": (None, None, "1", "1")}, stream="other")
     )
     assert lineage.shard_parents(both).collect() == []
+
+
+def levels(shards):
+    found = {}
+    for s in shards:  # parents come first
+        found[s] = max((found[p] + 1 for p in parents(shards, s)), default=0)
+    return found
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_levels(spark, seed):
+    shards = random_shards(seed)
+    got = lineage.shard_levels(catalogue_of(spark, shards)).collect()
+    assert sorted((r.shardId, r.level) for r in got) == sorted(levels(shards).items())
+
+
+def test_levels_of_a_long_way_and_a_short_one(spark):
+    chain = {f"c{i:02d}": (f"c{i - 1:02d}" if i else None, None, str(i), "99") for i in range(20)}
+    chain["end"] = ("c00", "c19", "50", None)
+    chain["after"] = ("end", None, "60", None)
+    got = {r.shardId: r.level for r in lineage.shard_levels(catalogue_of(spark, chain)).collect()}
+    assert got == levels(chain) and got["after"] == 21
+
+
+def test_levels_of_a_cycle_fail(spark):
+    cat = catalogue_of(spark, {"a": ("b", None, "1", None), "b": ("a", None, "2", "3")})
+    with pytest.raises(ValueError, match="cycle"):
+        lineage.shard_levels(cat)
+    assert lineage.shard_levels(cat.limit(0)).collect() == []
