@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,7 +26,8 @@ NOTICES = (
 )
 SHINGLE_WORDS = 5
 LEAST_CONTAINMENT = 0.8
-#: Words of a window, and from one window's start to the next one's.
+#: Words of a window, and from one window's start to the next one's, for notices of up
+#: to WINDOW - STRIDE words; both double until a notice fits.
 WINDOW, STRIDE = 32, 12
 #: Bands of one MinHash each.
 BANDS = 256
@@ -72,6 +74,20 @@ def templates_of(like: DataFrame, notices: Sequence[tuple[str, str]]) -> DataFra
     )
 
 
+def by_window(notices: Sequence[tuple[str, str]], window: int, stride: int) -> dict[int, list[tuple[str, str]]]:
+    """The notices by how often window and stride are doubled until a run of words holds them whole."""
+    sized: dict[int, list[tuple[str, str]]] = {}
+    for name, notice in notices:
+        found = "".join(c if c.isalnum() else " " for c in notice).split()
+        if len(found) < SHINGLE_WORDS:
+            raise ValueError(f"notice {name} has fewer than {SHINGLE_WORDS} words")
+        times = 0
+        while (window - stride) << times < len(found):
+            times += 1
+        sized.setdefault(times, []).append((name, notice))
+    return sized
+
+
 def scan_licenses(
     docs: DataFrame,
     notices: Sequence[tuple[str, str]] = NOTICES,
@@ -83,21 +99,45 @@ def scan_licenses(
     """``(id_col, license, containment, first_word, last_word)`` of every notice found.
 
     A text is cut into windows of ``window`` words, one every ``stride``, so that
-    any run of ``window - stride`` words lies whole in one. A notice is found in
-    a window if at least 0.8 of its five-word shingles are; per document and
-    license the fullest window is returned, the earliest of equals.
+    any run of ``window - stride`` words lies whole in one. Longer notices have
+    windows and strides of their own, doubled until such a run holds them; so a
+    notice of any length is found wherever it starts. A notice is found in a window
+    if at least 0.8 of its five-word shingles are; per document and license the
+    fullest window is returned, the earliest of equals: its first word, and its last
+    one or that of the text.
 
     Windows and notices meet if they agree in one of 256 bands. A window of 28
     shingles that holds 0.8 of a notice of s shingles has a Jaccard similarity of
     0.8 s / (28 + 0.2 s) or more: 1/28 for s = 1, where 1 - (27/28)^256 = 0.9999 of
-    them meet, and more from s = 2 on. Windows that hold none of the
-    shingles which are smallest in some band of some notice can meet none, so
-    they are left out before any band is made; most texts have no other.
+    them meet, and more from s = 2 on. In doubled windows the notice has more than
+    half the shingles of a run, and the similarity is above 0.2. Windows that hold
+    none of the shingles which are smallest in some band of some notice can meet none,
+    so they are left out before any band is made; most texts have no other.
 
-    Null and empty texts, texts of fewer than five words and notices as short
-    give no row. Repeated rows count as one document.
+    Null and empty texts and texts of fewer than five words give no row; a notice as
+    short fails. Without notices nothing is found. Repeated rows count as one document.
     """
-    templates = materialise(templates_of(docs, notices).where("size(grams) > 0"), "templates")
+    names = [id_col, "license", "containment", "first_word", "last_word"]
+    sized = by_window(notices, window, stride)
+    if not sized:
+        empty = docs.select(id_col).where(F.lit(False))
+        return empty.selectExpr(
+            "*", "'' AS license", "0D AS containment", "0 AS first_word", "0 AS last_word"
+        ).select(*names)
+    found = [_scan(docs, some, id_col, text_col, window << n, stride << n) for n, some in sorted(sized.items())]
+    best = reduce(DataFrame.unionByName, found)
+    if len({name for name, _ in notices}) < len(notices):  # a license with several notices
+        place = F.struct("containment", (-F.col("first_word")).alias("back"), "last_word")
+        best = best.groupBy(id_col, "license").agg(F.max(place).alias("best"))
+        best = best.select(id_col, "license", "best.containment", (-F.col("best.back")).alias("first_word"), "best.last_word")
+    return best.select(*names)
+
+
+def _scan(
+    docs: DataFrame, notices: Sequence[tuple[str, str]], id_col: str, text_col: str, window: int, stride: int
+) -> DataFrame:
+    """Notices that one length of window is enough for."""
+    templates = materialise(templates_of(docs, notices), "templates")
     keyed = materialise(
         _bands(templates).select("license", F.col("grams").alias("notice"), "band", "least", "hashes"), "bands"
     )
@@ -115,25 +155,27 @@ def scan_licenses(
         .select(
             "id",
             "first",
+            # The window's last word, or the text's.
+            (F.least(F.col("first") + window, F.size("all") + SHINGLE_WORDS - 1) - 1).alias("last"),
             _once(F.array_distinct(F.slice("all", F.col("first") + 1, window - SHINGLE_WORDS + 1))).alias("grams"),
         )
         .where(F.arrays_overlap(F.transform("grams", lambda g: F.xxhash64(g)), anchors))
     )
     met = (
         _bands(windows)
-        .select("id", "first", "grams", "band", "least")
+        .select("id", "first", "last", "grams", "band", "least")
         .join(keyed.select("license", "notice", "band", "least"), ["band", "least"])
         .dropDuplicates(["id", "first", "license"])
     )
     share = F.size(F.array_intersect("notice", "grams")) / F.size("notice")
     verified = met.withColumn("containment", share).where(F.col("containment") >= LEAST_CONTAINMENT)
     best = verified.groupBy("id", "license").agg(
-        F.max(F.struct("containment", (-F.col("first")).alias("back"))).alias("best")
+        F.max(F.struct("containment", (-F.col("first")).alias("back"), "last")).alias("best")
     )
     return best.select(
         F.col("id").alias(id_col),
         "license",
         F.col("best.containment").alias("containment"),
         (-F.col("best.back")).alias("first_word"),
-        (F.lit(window - 1) - F.col("best.back")).alias("last_word"),
+        F.col("best.last").alias("last_word"),
     )

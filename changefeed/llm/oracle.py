@@ -121,14 +121,14 @@ WITH notices AS (
 shingled AS (
   SELECT doc_id, {grams} AS g FROM (SELECT doc_id, {words("text")} AS w FROM documents) WHERE len(w) >= 5),
 windows AS (
-  SELECT doc_id, first, list_distinct(g[first + 1:first + {WINDOW - 4}]) AS held
+  SELECT doc_id, first, len(g) + 3 AS final, list_distinct(g[first + 1:first + {WINDOW - 4}]) AS held
   FROM (SELECT doc_id, g, unnest(range(0, len(g), {STRIDE})) AS first FROM shingled)),
 found AS (
-  SELECT doc_id, license, first, len(list_intersect(notice, held)) / len(notice) AS share
+  SELECT doc_id, license, first, final, len(list_intersect(notice, held)) / len(notice) AS share
   FROM windows JOIN notices ON list_has_any(held, notice))
 SELECT doc_id, license, max(share) AS containment,
        CAST(arg_max(first, (share, -first)) AS INTEGER) AS first_word,
-       CAST(arg_max(first, (share, -first)) + {WINDOW - 1} AS INTEGER) AS last_word
+       CAST(arg_max(least(first + {WINDOW - 1}, final), (share, -first)) AS INTEGER) AS last_word
 FROM found WHERE share >= 0.8 GROUP BY doc_id, license
 """
 
