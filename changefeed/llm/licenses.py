@@ -149,15 +149,20 @@ def _scan(
     held = split.select("id", _once(shingles(F.col("found"), SHINGLE_WORDS)).alias("all")).where(
         F.arrays_overlap(F.transform("all", lambda g: F.xxhash64(g)), anchors)
     )
-    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(stride))
+    words_held = F.size("all") + SHINGLE_WORDS - 1
+    # First and last word of each window, the last at most that of the text. Both are made
+    # here, as anything made of ``all`` beside the shingles below would keep it in every row.
+    starts = F.transform(
+        F.sequence(F.lit(0), F.size("all") - 1, F.lit(stride)),
+        lambda at: F.struct(at.alias("first"), (F.least(at + window, words_held) - 1).alias("last")),
+    )
     windows = (
-        held.select("id", "all", F.explode(starts).alias("first"))
+        held.select("id", "all", F.explode(starts).alias("at"))
         .select(
             "id",
-            "first",
-            # The window's last word, or the text's.
-            (F.least(F.col("first") + window, F.size("all") + SHINGLE_WORDS - 1) - 1).alias("last"),
-            _once(F.array_distinct(F.slice("all", F.col("first") + 1, window - SHINGLE_WORDS + 1))).alias("grams"),
+            "at.first",
+            "at.last",
+            _once(F.array_distinct(F.slice("all", F.col("at.first") + 1, window - SHINGLE_WORDS + 1))).alias("grams"),
         )
         .where(F.arrays_overlap(F.transform("grams", lambda g: F.xxhash64(g)), anchors))
     )
