@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -23,6 +24,8 @@ _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 #: ``tiktoken`` overflows its stack on runs that are a hundred times as long.
 _LONG_BLANKS = re.compile(r"\s{5000}")
 _OUT_BYTES = 8 << 20
+#: Ids of padding that one more piece, and one id too few in a cut piece, are worth.
+PIECE_COST, LEAST_PIECE = 8, 32
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -81,12 +84,55 @@ def encoder(path: str | None) -> Encoder:
     return _encoders[path]
 
 
+@lru_cache
+def first_pieces(capacity: int) -> tuple[list[int], list[int]]:
+    """By length, the first piece of a whole document, and of the rest of one that is cut.
+
+    ``capacity // s`` pieces of length s share a sequence, and each wastes what it lacks of
+    its share. Cuts make waste least, where every piece costs ``PIECE_COST`` ids, and every
+    id that a piece of a cut document has fewer than ``LEAST_PIECE`` costs one. Equal costs
+    go to the longer first piece.
+    """
+    sizes = np.arange(1, capacity + 1)
+    whole = capacity / (capacity // sizes) - sizes + PIECE_COST
+    part = whole + np.maximum(LEAST_PIECE - sizes, 0)
+    cost = np.zeros(2 * capacity)
+    first, first_of_rest = [0], [0]
+    for length in range(1, 2 * capacity):
+        longest = min(length, capacity)
+        costs = (part[:longest] + cost[length - longest : length][::-1])[::-1]
+        best = int(np.argmin(costs))
+        cost[length] = costs[best]
+        first_of_rest.append(longest - best)
+        uncut = length <= capacity and whole[length - 1] <= costs[best]
+        first.append(length if uncut else longest - best)
+    return first, first_of_rest
+
+
 def pieces(length: int, capacity: int = CAPACITY) -> list[int]:
-    """Lengths to cut a document into: whole bins, then halves, quarters and so on."""
-    rest = length % capacity
-    return [capacity] * (length // capacity) + [
-        1 << bit for bit in reversed(range(capacity.bit_length())) if rest >> bit & 1
-    ]
+    """Lengths to cut a document into: whole sequences, then as :func:`first_pieces` has it."""
+    found = [capacity] * max(length // capacity - 1, 0)
+    rest = length - capacity * len(found)
+    first, first_of_rest = first_pieces(capacity)
+    size = (first_of_rest if found else first)[rest]
+    while rest:
+        found.append(size)
+        rest -= size
+        size = first_of_rest[rest]
+    return found
+
+
+def first_fit(held: list[tuple], capacity: int) -> list[list[tuple]]:
+    """Pieces, long ones first, each into the first sequence with room for it."""
+    sequences, room = [], []
+    for piece in sorted(held, key=lambda p: -p[2]):
+        place = next((i for i, free in enumerate(room) if free >= piece[2]), len(room))
+        if place == len(room):
+            sequences.append([])
+            room.append(capacity)
+        sequences[place].append(piece)
+        room[place] -= piece[2]
+    return sequences
 
 
 def pack(
@@ -96,19 +142,21 @@ def pack(
     capacity: int = CAPACITY,
     vocabulary: str | None = None,
 ) -> DataFrame:
-    """Cuts every document into pieces and packs these into sequences without padding.
+    """Cuts every document into pieces and packs these into sequences with little padding.
 
     Returns a row per piece: id, ``start`` (ids of the document before it),
     ``length``, ``ids`` (binary, four bytes an id, little-endian), ``doc_tokens``,
     ``sequence_id`` and ``offset`` in the sequence.
 
-    A document is its ids and then id 0, so a null or empty text is one id. Class
-    k holds pieces of length capacity / k, for k = 1, 2, 4, ... capacity, and each
-    of its sequences takes exactly k of them. Cutting a document by the binary
-    digits of its length makes every piece fit its class exactly. Each task fills
-    its own sequences and holds back fewer than k pieces a class; what is left at
-    its end goes into sequences of a power of two. So there is no shuffle, no
-    padding and no sequence over ``capacity``, which must be a power of two.
+    A document is its ids and then id 0, so a null or empty text is one id. Class k
+    holds pieces longer than capacity / (k + 1) and no longer than capacity / k, and
+    each of its sequences takes exactly k of them. Documents fill whole sequences
+    first; the rest stays whole where it nearly fills its share, and is cut where that
+    saves more padding than the cut costs. Each task fills its own sequences and
+    holds back fewer than k pieces a class; what is left at its end, some dozens of
+    sequences at most, goes together by first fit, long pieces first. So there is no
+    shuffle and no sequence over ``capacity``, which must be a power of two.
+    Sequences end short of it by what :func:`first_pieces` wastes.
     Repeated rows are packed as often as they come; other columns are ignored.
     """
     if capacity < 1 or capacity & (capacity - 1):
@@ -123,8 +171,10 @@ def pack(
 
         def close(held: list[tuple]) -> None:
             nonlocal made, size
-            for place, piece in enumerate(held):
-                out.append((*piece, first + made, place * piece[2]))
+            offset = 0
+            for piece in held:
+                out.append((*piece, first + made, offset))
+                offset += piece[2]
                 size += len(piece[3]) + 64
             made += 1
 
@@ -142,21 +192,18 @@ def pack(
                 ids.append(END_ID)
                 blob, at = memoryview(_little_endian(ids)), 0
                 for length in pieces(len(ids), capacity):
-                    held = waiting.setdefault(length, [])
+                    held = waiting.setdefault(capacity // length, [])
                     part = blob[4 * at : 4 * (at + length)].tobytes()
                     held.append((doc.as_py(), at, length, part, len(ids)))
-                    if len(held) * length == capacity:
+                    if len(held) == capacity // length:
                         close(held)
                         held.clear()
                     at += length
                 if size >= _OUT_BYTES:
                     yield table()
                     out, size = [], 0
-        for held in waiting.values():
-            while held:
-                take = 1 << (len(held).bit_length() - 1)
-                close(held[:take])
-                del held[:take]
+        for held in first_fit([piece for held in waiting.values() for piece in held], capacity):
+            close(held)
         if out:
             yield table()
 

@@ -30,8 +30,7 @@ def check(docs, plain):
     for placed in by_sequence.values():
         placed.sort()
         assert [o for o, _ in placed] == [sum(n for _, n in placed[:i]) for i in range(len(placed))]
-        total = sum(n for _, n in placed)
-        assert total <= 1024 and total & (total - 1) == 0
+        assert sum(n for _, n in placed) <= 1024
     got = defaultdict(int)
     for doc, ids in want:
         got[doc, len(ids)] += 1
@@ -63,9 +62,45 @@ def test_capacity(odd_docs):
 
 
 def test_pieces():
-    for length in [1, 2, 1023, 1024, 1025, 5000, 8192]:
-        assert sum(packing.pieces(length)) == length
-        assert all(p & (p - 1) == 0 for p in packing.pieces(length))
+    for length in [*range(1, 3000), 5000, 8192]:
+        found = packing.pieces(length)
+        assert sum(found) == length and all(0 < p <= 1024 for p in found)
+        # Little padding, few pieces, and no sliver cut off.
+        waste = sum(1024 / (1024 // p) - p for p in found)
+        assert waste <= 24 and len(found) <= length // 1024 + 4
+        assert len(found) == 1 or min(found) >= 8
+
+
+def test_cuts_cost_least():
+    part = [0, *(64 / (64 // s) - s + packing.PIECE_COST + max(packing.LEAST_PIECE - s, 0) for s in range(1, 65))]
+
+    def least(length):
+        best = {0: 0.0}
+        for n in range(1, length + 1):
+            best[n] = min(part[s] + best[n - s] for s in range(1, min(n, 64) + 1))
+        return best[length]
+
+    for length in range(65, 128):
+        assert np.isclose(sum(part[s] for s in packing.pieces(length, 64)), least(length))
+
+
+def test_classes_hold_a_fixed_count(spark, plain):
+    texts = [(i, prose(i, 20 + 37 * i % 900)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    check(docs, plain)
+    sequences = defaultdict(list)
+    for r in packing.pack(docs).collect():
+        sequences[r["sequence_id"]].append(r["length"])
+    full = [found for found in sequences.values() if {1024 // n for n in found} == {len(found)}]
+    assert len(full) >= 0.5 * len(sequences)
+    padding = sum(1024 - sum(found) for found in sequences.values())
+    assert padding <= 0.03 * 1024 * len(sequences)
+
+
+def test_first_fit():
+    held = [("d", 0, n) for n in [5, 3, 8, 1, 4, 2]]
+    assert [[p[2] for p in found] for found in packing.first_fit(held, 8)] == [[8], [5, 3], [4, 2, 1]]
+    assert packing.first_fit([], 8) == []
 
 
 @settings(max_examples=300, deadline=None)
