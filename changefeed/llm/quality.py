@@ -106,6 +106,31 @@ def strength(groups: DataFrame, prior: float) -> float:
     return float(np.clip(chance / max(between, 1e-9) - 1, LEAST_STRENGTH, MOST_STRENGTH))
 
 
+def strength_within(hosts: DataFrame) -> float:
+    """How many documents a host's rate weighs against that of one of its paths.
+
+    By analysis of variance: how far paths of one host differ from each other, beyond what
+    the spread of documents within a path brings about. What hosts differ by plays no part.
+    ``hosts`` has per host the documents ``n``, sum ``good``, number ``paths`` of paths, and
+    over these the sums ``sizes`` of n squared, ``explained`` of good squared by n, and
+    ``squares`` of the squares of all documents.
+    """
+    row = hosts.where("paths > 1").agg(
+        F.sum(F.col("n") - F.col("paths")).alias("free"),
+        F.sum(F.col("squares") - F.col("explained")).alias("within"),
+        F.sum(F.col("explained") - F.col("good") * F.col("good") / F.col("n")).alias("between"),
+        F.sum(F.col("paths") - 1).alias("degrees"),
+        F.sum(F.col("n") - F.col("sizes") / F.col("n")).alias("weight"),
+    ).first()
+    if not row["free"]:  # no host with paths, or no path with documents, to compare
+        return MOST_STRENGTH
+    chance = max(row["within"], 0.0) / row["free"]
+    between = (row["between"] - row["degrees"] * chance) / row["weight"]
+    if between <= 1e-12:
+        return MOST_STRENGTH
+    return float(np.clip(chance / between, LEAST_STRENGTH, MOST_STRENGTH))
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -122,7 +147,7 @@ def classify(
     Every host has a rate, the mean over its documents (their labels where there
     are any, else ``classifier``) shrunk to the rate of all labels; every path of
     a host has one shrunk to its host's. How strongly is learned from how much
-    the groups differ. ``quality`` joins the two: the log odds of the text plus
+    hosts differ, and from how much paths within a host do. ``quality`` joins the two: the log odds of the text plus
     what the path's log odds add to those of all labels. Documents of 0.5 or more
     are kept.
 
@@ -190,12 +215,19 @@ def measure(
     paths = materialise(
         rows.where("measured is not null")
         .groupBy("rate_host", "rate_path")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good")),
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good"), F.sum(good * good).alias("squares")),
         "paths",
     )
-    hosts = paths.groupBy("rate_host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    hosts = paths.groupBy("rate_host").agg(
+        F.sum("n").alias("n"),
+        F.sum("good").alias("good"),
+        F.count(F.lit(1)).alias("paths"),
+        F.sum(F.col("n") * F.col("n")).alias("sizes"),
+        F.sum(F.col("good") * F.col("good") / F.col("n")).alias("explained"),
+        F.sum("squares").alias("squares"),
+    )
     host_weight = strength(hosts, model.prior)
-    path_weight = strength(paths, model.prior)
+    path_weight = strength_within(hosts)
     host_rate = (F.col("good") + host_weight * model.prior) / (F.col("n") + host_weight)
     by_host = hosts.select(F.col("rate_host").alias("of"), host_rate.alias("host_rate"))
     path_rate = (F.col("good") + path_weight * F.col("host_rate")) / (F.col("n") + path_weight)

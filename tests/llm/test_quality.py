@@ -55,6 +55,106 @@ def test_strength_is_by_moments(spark):
     assert quality.strength(groups.limit(0), prior) == quality.MOST_STRENGTH
 
 
+def _by_host(spark, rows):
+    """Hosts as ``strength_within`` wants them, from rows (host, path, value) in numpy."""
+    hosts = []
+    for host in sorted({r[0] for r in rows}):
+        of = [np.array([v for h, p, v in rows if (h, p) == (host, path)]) for path in sorted({r[1] for r in rows if r[0] == host})]
+        n = [len(v) for v in of]
+        hosts.append((sum(n), float(sum(v.sum() for v in of)), len(of), sum(k * k for k in n),
+                      float(sum(v.sum() ** 2 / len(v) for v in of)), float(sum((v * v).sum() for v in of))))
+    return spark.createDataFrame(hosts, "n long, good double, paths long, sizes long, explained double, squares double")
+
+
+def test_strength_of_paths_is_by_what_differs_within_hosts(spark):
+    # Hosts lie far apart; their paths are alike in the first case and differ in the second.
+    draw = np.random.default_rng(3)
+    alike = [(h, p, float(draw.random() < (0.05 if h % 2 else 0.95))) for h in range(30) for p in range(4) for _ in range(50)]
+    differ = [(h, p, float(draw.random() < (0.1 if p % 2 else 0.9))) for h in range(30) for p in range(4) for _ in range(50)]
+    assert quality.strength_within(_by_host(spark, alike)) > 100
+    assert quality.strength_within(_by_host(spark, differ)) == quality.LEAST_STRENGTH
+
+
+def test_strength_of_paths_finds_that_of_the_model(spark):
+    # Rates of paths drawn around their host's with the weight of 20 documents.
+    draw, rows = np.random.default_rng(4), []
+    for h in range(60):
+        mean = draw.uniform(0.2, 0.8)
+        for p in range(6):
+            rate = draw.beta(20 * mean, 20 * (1 - mean))
+            rows += [(h, p, float(draw.random() < rate)) for _ in range(40)]
+    assert 12 < quality.strength_within(_by_host(spark, rows)) < 32
+
+
+def test_strength_of_paths_without_any_to_compare(spark):
+    alone = [(h, 0, 1.0) for h in range(5)]
+    single = [(0, p, float(p % 2)) for p in range(5)]
+    equal = [(0, p, 1.0) for p in range(3) for _ in range(4)]
+    for rows in [alone, single, equal]:
+        assert quality.strength_within(_by_host(spark, rows)) == quality.MOST_STRENGTH
+
+
+def _plain_version(docs, labels, measured, model, host_strength, path_strength):
+    """The rates and verdicts of the whole query in plain Python."""
+    known = {}
+    for doc, label in labels:
+        known.setdefault(doc, []).append(label)
+    known = {doc: sum(v) / len(v) for doc, v in known.items()}
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def odds(i):
+        values = measured[i]
+        total = model.bias + sum((v - m) / s * w for v, m, s, w in zip(values, model.mean, model.scale, model.weights, strict=True))
+        return max(-quality.MOST_EVIDENCE, min(quality.MOST_EVIDENCE, total))
+
+    hosts, paths = {}, {}
+    for doc, _, host, path in docs:
+        if measured[doc] is None:
+            continue
+        good = known.get(doc, sigmoid(odds(doc)))
+        hosts.setdefault(host, []).append(good)
+        paths.setdefault((host, path), []).append(good)
+    found = {}
+    for doc, _, host, path in docs:
+        if measured[doc] is None:
+            found[doc] = 0.0
+            continue
+        of, at = hosts[host], paths[host, path]
+        host_rate = (sum(of) + host_strength * model.prior) / (len(of) + host_strength)
+        path_rate = (sum(at) + path_strength * host_rate) / (len(at) + path_strength)
+        logit = odds(doc) + math.log(path_rate / (1 - path_rate)) - math.log(model.prior / (1 - model.prior))
+        found[doc] = sigmoid(logit)
+    return found
+
+
+def test_query_equals_a_plain_version(spark, sf_dir, monkeypatch):
+    fitted = {}
+
+    def keep(name):
+        inner = getattr(quality, name)
+
+        def run(*args, **kwargs):
+            fitted[name] = inner(*args, **kwargs)
+            return fitted[name]
+
+        monkeypatch.setattr(quality, name, run)
+
+    for name in ["fit", "strength", "strength_within"]:
+        keep(name)
+    got = {r["doc_id"]: r["quality"] for r in op2_quality(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", quality.features(F.col("text")).alias("m"), "source", site_path().alias("path")).collect()
+    labels = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality is not null").select("doc_id", "quality").collect()]
+    want = _plain_version(
+        [tuple(r) for r in rows], labels, {r["doc_id"]: r["m"] for r in rows},
+        fitted["fit"], fitted["strength"], fitted["strength_within"],
+    )
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-6, abs_tol=1e-9) for i in got)
+
+
 @pytest.mark.parametrize("labelled", [[], [(5, 1)], [(5, 1), (7, 0), (5, 0), (None, 1), (8, None)]])
 def test_odd_rows(spark, odd_docs, no_docs, labelled):
     labels = spark.createDataFrame(labelled, "doc_id bigint, quality int")
