@@ -182,13 +182,13 @@ def _runs(named: DataFrame, unit_words: int) -> DataFrame:
     run, schema = _units(named.schema["id"].dataType, unit_words)
     units = materialise(named.mapInArrow(run, schema), "units")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "first_word", "start", "stop")
-    firsts = (
-        units.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-        .where("n > 1")
-        .select("digest", "first")
-    )
-    repeated = units.join(firsts, "digest").where("key <> first.key or first_word <> first.first_word")
+    # Most digests are there once; to drop these, digests alone are shuffled.
+    several = units.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    several = materialise(several, "digests")
+    # Merge joins of written tables, so that the adaptive join can split a hot digest.
+    shared = materialise(units.join(several.hint("merge"), "digest", "left_semi"), "shared")
+    firsts = materialise(shared.groupBy("digest").agg(F.min(place).alias("first")), "firsts")
+    repeated = shared.join(firsts.hint("merge"), "digest").where("key <> first.key or first_word <> first.first_word")
     along = Window.partitionBy("key", "id").orderBy("first_word", "last_word")
     begins = F.coalesce(F.col("first_word") > F.lag("last_word").over(along), F.lit(True))
     numbered = repeated.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(along))
