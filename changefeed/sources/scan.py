@@ -15,21 +15,21 @@ from datetime import datetime, timezone
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
 from pyspark.sql.datasource import DataSourceReader, InputPartition
 
 from changefeed.functions.sequence import sequence_key
 from changefeed.sources.options import FeedOptions, Wanted
 
-PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "firstArrival", "lastArrival"]
+PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "firstArrival", "lastArrival", "firstRow", "records"]
 
 
 class FilePart(InputPartition):
-    """One file and the shards wanted of it."""
+    """One file, the shards wanted of it, and the runs of rows that their pages are."""
 
-    def __init__(self, file: str, shards: list[str]):
+    def __init__(self, file: str, shards: list[str], runs: list[tuple[int, int]]):
         self.file = file
         self.shards = shards
+        self.runs = runs
 
 
 def _instant(text: str) -> datetime:
@@ -86,13 +86,17 @@ class ChangeFeedScan(DataSourceReader):
         self._schema = schema
 
     def partitions(self) -> list[FilePart]:
-        from changefeed.sources.stream import listed_pages
+        from changefeed.sources.stream import listed_pages, merged
 
         pages = Bounds(self._options.wanted).pages(listed_pages(self._options, PAGE_COLUMNS))
-        return [FilePart(file, sorted(shards.unique())) for file, shards in pages.groupby("file", sort=True)["shardId"]]
+        pages["end"] = pages["firstRow"] + pages["records"]
+        return [
+            FilePart(file, sorted(of["shardId"].unique()), merged(list(zip(of["firstRow"].tolist(), of["end"].tolist()))))
+            for file, of in pages.groupby("file", sort=True, observed=True)
+        ]
 
     def read(self, partition: FilePart | None) -> Iterator[pa.RecordBatch]:
-        from changefeed.sources.stream import open_path
+        from changefeed.sources.stream import open_path, stored_rows
 
         if partition is None:
             return
@@ -100,7 +104,8 @@ class ChangeFeedScan(DataSourceReader):
         inside = (pc.field("streamName") == self._options.stream_name) & pc.field("shardId").isin(partition.shards)
         for each in Bounds(self._options.wanted).records():
             inside &= each
-        source = ds.dataset(f"{root}/{partition.file}", filesystem=fs, format="parquet")
-        for batch in source.to_batches(columns=self._schema.names, filter=inside):
-            if batch.num_rows:
-                yield batch.cast(self._schema)
+        columns = sorted({*self._schema.names, "streamName", "shardId", "seqKey", "approximateArrivalTimestamp"})
+        for batch in stored_rows(fs, f"{root}/{partition.file}", columns, partition.runs):
+            kept = batch.filter(inside)
+            if kept.num_rows:
+                yield kept.select(self._schema.names).cast(self._schema)

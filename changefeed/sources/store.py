@@ -36,6 +36,8 @@ from changefeed.schema import (
 )
 
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
+# A row group is what a read of some records of a shard decodes; small ones keep that small.
+_ROW_GROUP_BYTES = 1 << 20
 
 # Partition columns: which append a row came with, and in which of its files.
 _APPEND = T.StructField("append", T.StringType())
@@ -103,7 +105,7 @@ def append_feed(
     )
     # Unlike the default type, this one has statistics that a filter on time can use.
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
-        laid_out.write.partitionBy("part").parquet(data)
+        laid_out.write.partitionBy("part").option("parquet.block.size", str(_ROW_GROUP_BYTES)).parquet(data)
     pages = _list_pages(spark, data, ticket, page)
     if complete(spark, path, "pages"):
         pages = storage.materialise(pages, "pages")

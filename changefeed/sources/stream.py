@@ -6,8 +6,11 @@ file by file, as Arrow batches.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import OrderedDict
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,7 +44,22 @@ _ARROW_TYPES = {
     "shardId": pa.string(),
     "seqKey": pa.string(),
 }
-_PAGE_COLUMNS = ["shardId", "file", "firstKey", "lastKey", "lastSeq", "firstRow", "records"]
+_PAGES = pa.schema(
+    [
+        ("shardId", pa.large_string()),
+        ("file", pa.dictionary(pa.int32(), pa.string())),
+        ("firstKey", pa.large_string()),
+        ("lastKey", pa.large_string()),
+        ("lastSeq", pa.large_string()),
+        ("firstRow", pa.int64()),
+        ("records", pa.int64()),
+    ]
+)
+_ORDER = [("shardId", "ascending"), ("firstKey", "ascending"), ("lastKey", "ascending"), ("firstRow", "ascending")]
+
+# Rows and buffered bytes that a task holds of a file, and what the planner keeps of files.
+_READ_ROWS, _READ_BYTES = 4_096, 1 << 20
+_KEPT_FILES, _KEPT_BYTES = 64, 64 << 20
 
 # Where in a file a batch ended that stopped inside a page.
 _FILE, _ROW = "file", "row"
@@ -100,18 +118,124 @@ def _arrow_schema(options: FeedOptions) -> pa.Schema:
 def listed_pages(options: FeedOptions, columns: list[str]) -> pd.DataFrame:
     """All listed pages of a stream."""
     planner = ChangeFeedReader(options)
-    parts = [planner._rows(d, columns) for d in planner._new_directories("pages")]
+    parts = [planner._rows(d, columns).to_pandas() for d in planner._new_directories("pages")]
     return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
 
 
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of rows (first, behind the last) in order, those that touch as one."""
+    found = []
+    for first, end in sorted(runs):
+        if found and first <= found[-1][1]:
+            found[-1] = (found[-1][0], max(end, found[-1][1]))
+        else:
+            found.append((first, end))
+    return found
+
+
+def stored_rows(
+    fs: pafs.FileSystem, path: str, columns: list[str], runs: list[tuple[int, int]]
+) -> Iterator[pa.RecordBatch]:
+    """Batches of a file that hold the rows of some merged runs.
+
+    Row groups without such rows are not read, and of the others no more than some
+    pages of a column and one batch are held, however large files and row groups are.
+    """
+    starts = [first for first, _ in runs]
+
+    def end_before(first: int, end: int) -> int:
+        """Where the last run ends that has rows in this range; ``first`` if there is none."""
+        at = bisect_right(starts, end - 1) - 1
+        return max(first, min(end, runs[at][1])) if at >= 0 else first
+
+    with fs.open_input_file(path) as file:
+        source, first = pq.ParquetFile(file, buffer_size=_READ_BYTES, pre_buffer=False), 0
+        for group in range(source.num_row_groups):
+            rows = source.metadata.row_group(group).num_rows
+            at, end = first, end_before(first, first + rows)
+            if at < end:
+                for batch in source.iter_batches(_READ_ROWS, [group], columns, use_threads=False):
+                    if end_before(at, at + batch.num_rows) > at:
+                        yield batch
+                    at += batch.num_rows
+                    if at >= end:
+                        break
+            first += rows
+
+
 class FileRanges(InputPartition):
-    """What to read of one file: of each shard, records in (after, upto]."""
+    """What to read of one file: of each shard, records in (after, upto]; they lie in runs of rows."""
 
-    def __init__(self, file: str, shards: list, after: list, upto: list):
+    def __init__(self, file: str, shards: list, after: list, upto: list, runs: list):
         self.file = file
         self.shards = shards
         self.after = after
         self.upto = upto
+        self.runs = runs
+
+
+class PageListing:
+    """The pages of a stream, of each shard in order of their keys.
+
+    What a shard has left is found by bisection, so planning a batch costs what the
+    batch has, not what is listed. Pages without a shard are no part of a stream.
+    """
+
+    def __init__(self, pages: pa.Table):
+        pages = pages.filter(pc.is_valid(pages["shardId"]))
+        for key in ("firstKey", "lastKey"):  # a page may begin with records without a number
+            pages = pages.set_column(pages.schema.get_field_index(key), key, pc.fill_null(pages[key], ""))
+        self.table = pages.unify_dictionaries().sort_by(_ORDER).combine_chunks()
+        column = {name: self.table[name].combine_chunks() for name in _PAGES.names}
+        self.first_key, self.last_key, self.last_seq = column["firstKey"], column["lastKey"], column["lastSeq"]
+        self.first_row, self.records = column["firstRow"].to_numpy(), column["records"].to_numpy()
+        self.file, self.files = column["file"].indices.to_numpy(), column["file"].dictionary.to_pylist()
+        named = column["shardId"].dictionary_encode()
+        starts = np.flatnonzero(np.diff(named.indices.to_numpy(), prepend=-1))
+        ends = [*starts[1:].tolist(), len(self.table)]
+        # Of each shard its first page that no batch has committed, and the end of its pages.
+        self.shards = {column["shardId"][a].as_py(): (a, b) for a, b in zip(starts.tolist(), ends)}
+
+    def after(self, shard: str, key: str) -> int:
+        """The first page of a shard with a record behind ``key``."""
+        return self._behind(self.last_key, shard, key)
+
+    def upto(self, shard: str, key: str) -> int:
+        """The first page of a shard with no record up to ``key``."""
+        return self._behind(self.first_key, shard, key)
+
+    def _behind(self, keys: pa.Array, shard: str, key: str) -> int:
+        start, end = self.shards[shard]
+        return start + bisect_right(range(start, end), key, key=lambda i: keys[i].as_py())
+
+    def head(self, shard: str) -> str:
+        """The last key of a shard's pages, empty if none is left."""
+        start, end = self.shards.get(shard, (0, 0))
+        return self.last_key[end - 1].as_py() if start < end else ""
+
+    def runs(self, first: int, end: int) -> Iterator[tuple[str, tuple[int, int]]]:
+        """Files of some pages of a shard, and which run of rows these are there."""
+        cuts = [0, *(np.flatnonzero(np.diff(self.file[first:end])) + 1).tolist(), end - first]
+        for a, b in zip(cuts, cuts[1:]):
+            rows = slice(first + a, first + b)
+            last = self.first_row[rows] + self.records[rows]
+            yield self.files[self.file[first + a]], (int(self.first_row[rows].min()), int(last.max()))
+
+    def drop(self, shard: str, key: str) -> None:
+        """Forget the pages of a shard up to ``key``; they are freed when the next append is loaded."""
+        if shard in self.shards:
+            self.shards[shard] = (self.after(shard, key), self.shards[shard][1])
+
+    def left(self) -> pa.Table:
+        return pa.concat_tables([self.table.slice(a, b - a) for a, b in self.shards.values()] or [self.table])
+
+
+def _kept(held: OrderedDict, key, make):
+    """What ``held`` has under a key, made if it is not there, as the last that was asked for."""
+    if key not in held:
+        held[key] = make()
+    held.move_to_end(key)
+    return held[key]
 
 
 def _key(seq: str) -> str:
@@ -154,7 +278,9 @@ class ChangeFeedReader(DataSourceStreamReader):
     def __init__(self, options: FeedOptions):
         self._options = options
         self._loaded: set = set()
-        self._pages = pd.DataFrame(columns=_PAGE_COLUMNS)
+        self._pages = PageListing(_PAGES.empty_table())
+        self._files: OrderedDict = OrderedDict()
+        self._columns: OrderedDict = OrderedDict()
         self._ends: dict | None = None
         self._gone: set = set()
         self._seen: dict = {}
@@ -172,22 +298,21 @@ class ChangeFeedReader(DataSourceStreamReader):
         marks = fs.get_file_info([f"{d}/_SUCCESS" for d in dirs]) if dirs else []
         return [d for d, m in zip(dirs, marks) if m.type == pafs.FileType.File]
 
-    def _rows(self, directory: str, columns: list[str]) -> pd.DataFrame:
+    def _rows(self, directory: str, columns: list[str]) -> pa.Table:
         fs, _ = open_path(self._options.path)
         mine = pc.field("streamName") == self._options.stream_name
-        table = ds.dataset(directory, filesystem=fs, format="parquet").to_table(columns, mine)
-        return table.to_pandas()
+        kind = ds.ParquetFileFormat(dictionary_columns=["file"])
+        return ds.dataset(directory, filesystem=fs, format=kind).to_table(columns, mine)
 
     def _refresh(self) -> None:
         new = self._new_directories("pages")
         if new:
-            parts = [self._rows(d, _PAGE_COLUMNS) for d in new]
-            self._pages = pd.concat([p for p in [self._pages, *parts] if len(p)] or [self._pages])
-            self._pages = self._pages.sort_values(["shardId", "firstKey"], ignore_index=True)
+            parts = [self._rows(d, _PAGES.names).cast(_PAGES) for d in new]
+            self._pages = PageListing(pa.concat_tables([self._pages.left(), *parts]))
             self._loaded.update(new)
         listings = self._new_directories("shards")
         if listings:
-            shards = self._rows(listings[-1], ["shardId", "endSeq", "listed"])
+            shards = self._rows(listings[-1], ["shardId", "endSeq", "listed"]).to_pandas()
             self._gone = set(shards["shardId"][~shards["listed"]])
             shards = shards[shards["listed"]]
             self._ends = dict(zip(shards["shardId"], shards["endSeq"]))
@@ -198,38 +323,60 @@ class ChangeFeedReader(DataSourceStreamReader):
 
         All stored records are read, those of shards that a listing has dropped as well.
         """
-        pages = self._pages
-        done = {s: _key(at[ITERATOR_POSITION]) for s, at in progress.items()}
-        pages = pages[pages["lastKey"] > pages["shardId"].map(done).fillna("")].copy()
-        # A batch may have ended inside a page, which then has fewer rows left.
-        inside = {(s, at[_FILE]): at[_ROW] for s, at in progress.items() if _FILE in at}
-        row = pd.Series([inside.get(k, -1) for k in zip(pages["shardId"], pages["file"])], pages.index, int)
-        last_row = pages["firstRow"] + pages["records"] - 1
-        pages["from"] = pages["firstRow"].where((row < pages["firstRow"]) | (row > last_row), row + 1)
-        pages["left"] = last_row - pages["from"] + 1
-        pages["upto"] = pages.groupby("shardId")["left"].cumsum()
-        if limit is not None:
-            pages = pages[pages["upto"] - pages["left"] < limit]
-        heads = dict(progress)
-        for page in pages.drop_duplicates("shardId", keep="last").to_dict("records"):
-            at = {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: page["lastSeq"]}
-            if limit is not None and page["upto"] > limit:
-                end = int(page["from"] + limit - (page["upto"] - page["left"]) - 1)
-                at[ITERATOR_POSITION] = self._sequence_at(page["file"], end)
-                at |= {_FILE: page["file"], _ROW: end}
-            heads[page["shardId"]] = at
+        pages, heads = self._pages, dict(progress)
+        for shard, (_, stop) in pages.shards.items():
+            before = progress.get(shard, {})
+            first = pages.after(shard, _key(before.get(ITERATOR_POSITION, "")))
+            if first == stop:
+                continue
+            if limit is None:
+                heads[shard] = self._head(stop - 1)
+                continue
+            left = pages.records[first : min(stop, first + limit)].copy()
+            # A batch may have ended inside a page, which then has fewer rows left.
+            begin, read = int(pages.first_row[first]), 0
+            if _FILE in before and before[_FILE] == pages.files[pages.file[first]]:
+                read = before[_ROW] + 1 - begin if begin <= before[_ROW] < begin + left[0] else 0
+                left[0] -= read
+            upto = left.cumsum()
+            n = min(int(np.searchsorted(upto, limit)), len(upto) - 1)
+            heads[shard] = self._head(first + n)
+            if upto[n] > limit:
+                start = int(pages.first_row[first + n]) + (0 if n else read)
+                end = start + limit - int(upto[n] - left[n]) - 1
+                file = pages.files[pages.file[first + n]]
+                heads[shard] |= {ITERATOR_POSITION: self._sequence_at(file, end), _FILE: file, _ROW: end}
         return heads
 
+    def _head(self, page: int) -> dict:
+        return {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: self._pages.last_seq[page].as_py()}
+
     def _sequence_at(self, file: str, row: int) -> str:
-        """The sequence number in one row of a file; reads one column of one row group."""
+        """The sequence number in one row of a file; reads one column of one row group.
+
+        The next batch of a shard mostly ends in the same row group, so the last ones are kept.
+        """
+        source, starts = _kept(self._files, file, lambda: self._open(file))
+        while len(self._files) > _KEPT_FILES:
+            self._files.popitem(last=False)[1][0].close(force=True)
+        group = int(np.searchsorted(starts, row, "right")) - 1
+        if row >= starts[-1]:
+            raise ValueError(f"{file} has no such row")
+        column = _kept(
+            self._columns,
+            (file, group),
+            lambda: source.read_row_group(group, ["sequenceNumber"])["sequenceNumber"].combine_chunks(),
+        )
+        while len(self._columns) > 1 and sum(c.nbytes for c in self._columns.values()) > _KEPT_BYTES:
+            self._columns.popitem(last=False)
+        return column[row - int(starts[group])].as_py()
+
+    def _open(self, file: str) -> tuple[pq.ParquetFile, np.ndarray]:
+        """A file, and the rows at which its row groups start, its end with them."""
         fs, root = open_path(f"{self._options.path}/data")
-        with pq.ParquetFile(fs.open_input_file(f"{root}/{file}")) as source:
-            for group in range(source.num_row_groups):
-                rows = source.metadata.row_group(group).num_rows
-                if row < rows:
-                    return source.read_row_group(group, ["sequenceNumber"])["sequenceNumber"][row].as_py()
-                row -= rows
-        raise ValueError(f"{file} has no such row")
+        source = pq.ParquetFile(fs.open_input_file(f"{root}/{file}"))
+        rows = [source.metadata.row_group(i).num_rows for i in range(source.num_row_groups)]
+        return source, np.cumsum([0, *rows])
 
     def _close(self, heads: dict, batch: int) -> dict:
         """Mark drained shards: read to their end, or no longer listed and read to their last record.
@@ -237,11 +384,10 @@ class ChangeFeedReader(DataSourceStreamReader):
         No shard is forgotten, as one that is not known would be read from its start.
         """
         offset = {METADATA: {BATCH_ID: str(batch), STREAM_NAME: self._options.stream_name}}
-        heads_of = self._pages.groupby("shardId")["lastKey"].max().to_dict() if self._gone else {}
         for shard, at in sorted(heads.items()):
             end = None if self._ends is None else self._ends.get(shard)
             key = _key(at[ITERATOR_POSITION])
-            if (end and key >= _key(end)) or (shard in self._gone and key >= heads_of.get(shard, "")):
+            if (end and key >= _key(end)) or (shard in self._gone and key >= self._pages.head(shard)):
                 at = {**at, ITERATOR_TYPE: SHARD_END}
             offset[shard] = at
         return offset
@@ -275,25 +421,28 @@ class ChangeFeedReader(DataSourceStreamReader):
                 self._seen[shard] = at
         after = {s: _key(at[ITERATOR_POSITION]) for s, at in first.items()}
         upto = {s: _key(at[ITERATOR_POSITION]) for s, at in last.items()}
-        pages = self._pages[self._pages["shardId"].isin(list(upto))]
-        low = pages["shardId"].map(after).fillna("")
-        high = pages["shardId"].map(upto)
-        pages = pages[(pages["lastKey"] > low) & (pages["firstKey"] <= high)]
-        planned = []
-        for file, shards in pages.groupby("file", sort=True)["shardId"]:
-            ids = sorted(shards.unique())
-            planned.append(
-                FileRanges(file, ids, [after.get(s, "") for s in ids], [upto[s] for s in ids])
-            )
-        return planned
+        found: dict[str, tuple[dict, list]] = {}
+        for shard in sorted(upto.keys() & self._pages.shards.keys()):
+            low, high = self._pages.after(shard, after.get(shard, "")), self._pages.upto(shard, upto[shard])
+            for file, run in self._pages.runs(low, high) if low < high else ():
+                shards, runs = found.setdefault(file, ({}, []))
+                shards[shard] = None
+                runs.append(run)
+        return [
+            FileRanges(file, [*ids], [after.get(s, "") for s in ids], [upto[s] for s in ids], merged(runs))
+            for file, (ids, runs) in sorted(found.items())
+        ]
 
     def commit(self, end: dict) -> None:
-        done = {s: _key(at[ITERATOR_POSITION]) for s, at in check_offset(end).items()}
-        behind = self._pages["lastKey"] <= self._pages["shardId"].map(done).fillna("")
-        self._pages = self._pages[~behind].reset_index(drop=True)
+        for shard, at in check_offset(end).items():
+            self._pages.drop(shard, _key(at[ITERATOR_POSITION]))
 
     def stop(self) -> None:
-        self._pages = pd.DataFrame(columns=_PAGE_COLUMNS)
+        self._pages = PageListing(_PAGES.empty_table())
+        for source, _ in self._files.values():
+            source.close(force=True)
+        self._files.clear()
+        self._columns.clear()
         self._loaded = set()
 
     # Reading, on the executors.
@@ -304,21 +453,12 @@ class ChangeFeedReader(DataSourceStreamReader):
         shards = pa.array(partition.shards, pa.string())
         after = pa.array(partition.after, pa.string())
         upto = pa.array(partition.upto, pa.string())
-        # Coarse bounds for the row-group statistics, then the exact ones below.
-        coarse = (
-            (pc.field("streamName") == self._options.stream_name)
-            & (pc.field("shardId") >= partition.shards[0])
-            & (pc.field("shardId") <= partition.shards[-1])
-            & (pc.field("seqKey") > min(partition.after))
-            & (pc.field("seqKey") <= max(partition.upto))
-        )
-        source = ds.dataset(f"{root}/{partition.file}", filesystem=fs, format="parquet")
-        for batch in source.to_batches(
-            columns=sorted({*wanted, "shardId", "seqKey"}), filter=coarse
-        ):
+        columns = sorted({*wanted, "streamName", "shardId", "seqKey"})
+        for batch in stored_rows(fs, f"{root}/{partition.file}", columns, partition.runs):
             at = pc.index_in(batch.column("shardId"), shards)
             key = batch.column("seqKey")
             inside = pc.and_(pc.greater(key, after.take(at)), pc.less_equal(key, upto.take(at)))
+            inside = pc.and_(inside, pc.equal(batch.column("streamName"), self._options.stream_name))
             kept = batch.filter(inside, null_selection_behavior="drop")
             if kept.num_rows:
                 yield kept.select(wanted).cast(types)

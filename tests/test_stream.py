@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 from helpers import as_dict, catalogue_of, feed_of
 from pyspark.sql import functions as F
@@ -520,3 +521,22 @@ def test_batch_ids_of_offsets(spark, tmp_path):
         ids.append(end["metadata"]["batchId"])
         at = end
     assert ids == ["0", "1", "1", "1"]
+
+
+def test_reads_are_bounded(spark, tmp_path):
+    # One file of many row groups; a read gives small batches, of the rows it was asked for alone.
+    payload = F.repeat(F.sha2(F.col("sequenceNumber"), 256), 8).cast("binary")
+    append_one_file(feed_of(spark, {"a": 9_000, "b": 9_000}).withColumn("data", payload), str(tmp_path), page=5)
+    file = next((tmp_path / "data").rglob("*.parquet"))
+    assert pq.ParquetFile(file).num_row_groups > 4
+    limits = {"executor.maxrecordperread": "5", "executor.maxfetchrecordspershard": "4"}
+    for more, most in (({}, 4_096), (limits, 5)):
+        reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **more))
+        at, end = reader.initialOffset(), reader.latestOffset()
+        (part,) = reader.partitions(at, end)
+        sizes = [batch.num_rows for batch in reader.read(part)]
+        assert max(sizes) <= most and sum(sizes) == (10 if more else 18_000)
+    assert part.runs == [(0, 5), (9_000, 9_005)]
+    reader.commit(end)
+    at, end = end, reader.latestOffset()
+    assert rows_of(reader, at, end) == [*range(6, 11), *range(9_006, 9_011)]
