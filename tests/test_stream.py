@@ -540,3 +540,13 @@ def test_reads_are_bounded(spark, tmp_path):
     reader.commit(end)
     at, end = end, reader.latestOffset()
     assert rows_of(reader, at, end) == [*range(6, 11), *range(9_006, 9_011)]
+
+
+def test_drain_goes_on_in_one_query(spark, tmp_path):
+    append_one_file(feed_of(spark, {"a": 40}), f"{tmp_path}/feed", page=5)
+    limits = {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "4"}
+    stream = read_stream(spark, f"{tmp_path}/feed", "s", startingPosition="TRIM_HORIZON", **limits)
+    started = []
+    assert drain(lambda: started.append(0) or writer_of(stream, tmp_path)) == 8
+    assert len(started) == 2
+    assert written(spark, tmp_path) == list(range(1, 41))
