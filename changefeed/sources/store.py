@@ -76,8 +76,52 @@ def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
+class Heads:
+    """The highest key of each shard in the appends that one writer has seen.
+
+    Only listings that it has not seen are read for the next append, so that
+    many appends in a row do not read all listings before them each time.
+    """
+
+    def __init__(self) -> None:
+        self.seen: set[str] = set()
+        self.rows: DataFrame | None = None
+
+    def require_later(self, pages: DataFrame, path: str, own: str) -> None:
+        """Take in the listing of an append ``own``; it fails if a shard has records as late as that."""
+        spark = pages.sparkSession
+        listed = complete(spark, path, "pages")
+        if not self.seen <= set(listed):
+            self.seen, self.rows = set(), None
+        new = [name for name in listed if name not in self.seen]
+        before = _read(spark, path, "pages", PAGES, new).groupBy(*SHARD_KEY).agg(F.max("lastKey").alias("_head"))
+        if self.rows is not None:
+            known = self.rows.select(*SHARD_KEY, "_head")
+            before = before.unionByName(known).groupBy(*SHARD_KEY).agg(F.max("_head").alias("_head")) if new else known
+        ends = pages.groupBy(*SHARD_KEY).agg(
+            F.min(F.struct("firstKey", "firstSeq")).alias("_first"), F.max("lastKey").alias("_last")
+        )
+        both = ends.join(before, SHARD_KEY, "full").select(
+            *SHARD_KEY, "_first", F.col("_head").alias("_before"), F.greatest("_last", "_head").alias("_head")
+        )
+        behind = F.col("_first.firstKey") <= F.col("_before")
+        rows, late = storage.materialise_counted(both, "heads", behind)
+        if late:
+            row = rows.filter(behind).head(1)[0]
+            raise ValueError(
+                f"shard {row['shardId']} already has records up to {row['_before']}; "
+                f"an append from {row['_first']['firstSeq']} would be out of sequence"
+            )
+        self.seen, self.rows = {*listed, own}, rows.filter(F.col("shardId").isNotNull())
+
+
 def append_feed(
-    feed: DataFrame, path: str, page: int = DEFAULT_CAP, files: int | None = None, once: str | None = None
+    feed: DataFrame,
+    path: str,
+    page: int = DEFAULT_CAP,
+    files: int | None = None,
+    once: str | None = None,
+    heads: Heads | None = None,
 ) -> None:
     """Append records (envelope plus ``shardId``) to a stored feed.
 
@@ -85,7 +129,8 @@ def append_feed(
     stream. Within a shard, later appends hold later sequence numbers; an append
     that does not is refused and removed. ``files`` is how many to write, at most
     as many as shuffle partitions by default; aim at some 128 MB each. ``once`` names
-    the append: if one of that name is complete, nothing is written.
+    the append: if one of that name is complete, nothing is written. A writer of many
+    appends hands its ``heads`` to each.
     """
     spark = feed.sparkSession
     path = path.rstrip("/")
@@ -107,26 +152,16 @@ def append_feed(
     with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.partitionBy("part").option("parquet.block.size", str(_ROW_GROUP_BYTES)).parquet(data)
     pages = _list_pages(spark, data, ticket, page)
-    if complete(spark, path, "pages"):
+    if heads is not None or complete(spark, path, "pages"):
         pages = storage.materialise(pages, "pages")
         try:
-            _require_later(pages, read_pages(spark, path))
+            (heads or Heads()).require_later(pages, path, f"append={ticket}")
         except ValueError:
             storage.delete_dir(spark, data)
             raise
     pages.write.parquet(f"{path}/pages/append={ticket}")
 
 
-def _require_later(new: DataFrame, listed: DataFrame) -> None:
-    heads = listed.groupBy(*SHARD_KEY).agg(F.max("lastKey").alias("_head"))
-    behind = new.join(heads, SHARD_KEY).filter(F.col("firstKey") <= F.col("_head")).head(1)
-    if behind:
-        raise ValueError(
-            f"shard {behind[0]['shardId']} already has records up to {behind[0]['_head']}; "
-            f"an append from {behind[0]['firstSeq']} would be out of sequence"
-        )
-
-
 def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataFrame:
     # A file is sorted, so a page of a shard is what it has of so many rows of the
     # file, and its ends are at its lowest and highest row: one scan, no join.
@@ -199,10 +234,12 @@ def complete(spark: SparkSession, path: str, kind: str) -> list[str]:
     return sorted(mark.split("/")[-2] for mark in marks)
 
 
-def _read(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, kind: str, schema: T.StructType, appends: list[str] | None = None
+) -> DataFrame:
     root = f"{path.rstrip('/')}/{kind}"
     schema = T.StructType([*schema.fields, _APPEND])
-    appends = complete(spark, path, "pages")
+    appends = complete(spark, path, "pages") if appends is None else appends
     if not appends:
         return spark.createDataFrame([], schema)
     return (

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -29,10 +29,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/changefeed/{label}-{uuid.uuid4().hex}"
 
 
-def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """:func:`materialise`, and the number of rows, counted by the same job."""
+def materialise_counted(df: DataFrame, label: str, which: Column | None = None) -> tuple[DataFrame, int]:
+    """:func:`materialise`, and the number of rows (for which a condition holds), counted by the same job."""
     seen = Observation()
-    written = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    counted = F.lit(1) if which is None else F.when(which, 1)
+    written = materialise(df.observe(seen, F.count(counted).alias("rows")), label)
     return written, seen.get["rows"]
 
 

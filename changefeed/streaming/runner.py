@@ -14,7 +14,7 @@ from changefeed.operators.lineage import require_closed_parents
 from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA, previous_positions
 from changefeed.schema import DEFAULT_CAP, POSITIONS, SHARD_END, SHARD_KEY, TRIM_HORIZON
 from changefeed.sources import options as opts
-from changefeed.sources.store import append_feed, read_catalogue
+from changefeed.sources.store import Heads, append_feed, read_catalogue
 from changefeed.sources.stream import FORMAT, register
 
 
@@ -43,9 +43,11 @@ def append_stream(
     writers to one feed names of their own. A batch without records appends nothing.
     """
 
+    heads = Heads()
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            append_feed(batch, path, page, files, once=f"{name}.{batch_id}")
+            append_feed(batch, path, page, files, once=f"{name}.{batch_id}", heads=heads)
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
 

@@ -160,3 +160,19 @@ def test_offsets_of_a_checkpoint_decode(spark, tmp_path):
     lines = spark.read.text(f"{tmp_path}/check/offsets").filter("value like '%streamName%'")
     found = progress.offset_decode(lines, "value").collect()
     assert sorted((r["batchId"], r["shardId"], int(r["iteratorPosition"])) for r in found) == [(0, "a", 4), (1, "a", 13)]
+
+
+def test_appends_in_a_row_read_new_listings_only(spark, tmp_path, monkeypatch):
+    from changefeed.sources import store
+
+    read, plain = [], store._read
+    monkeypatch.setattr(store, "_read", lambda *a: read.append(len(a[4]) if len(a) > 4 else None) or plain(*a))
+    heads = store.Heads()
+    for first in (1, 10, 20):
+        append_feed(feed_of(spark, {"a": 4, "b": 2}, first=first), str(tmp_path), heads=heads)
+    append_feed(feed_of(spark, {"a": 4}, first=30), str(tmp_path))
+    append_feed(feed_of(spark, {"c": 4}, first=40), str(tmp_path), heads=heads)
+    assert read == [0, 0, 0, 3, 1]
+    with pytest.raises(ValueError, match="shard a already has records up to .*33"):
+        append_feed(feed_of(spark, {"a": 4}, first=32), str(tmp_path), heads=heads)
+    assert read_feed(spark, str(tmp_path)).count() == 26
