@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changefeed.llm import copies, mixing, packing, quality, substrings
+from changefeed.llm import copies, mixing, packing, quality, simhash, substrings
+from changefeed.llm.components import connected_components
 from changefeed.llm.queries import site_path, table
 from changefeed.storage import materialise
 
@@ -18,8 +19,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
-    return copies.keep_one(docs)
+    """Keeps one document of each group of near copies, the one of the smallest id.
+
+    Documents are linked by the 64-bit fingerprints of ``simhash`` and, as these miss
+    some, by the wide ones of ``copies`` whose likeness was checked. Rows of one id count
+    as one document; documents without an id stay.
+    """
+    named = docs.where("doc_id is not null")
+    narrow = simhash.near_duplicates(named).select("doc_id", "component_id")
+    links = narrow.unionByName(copies.near_copies(docs)).where("doc_id <> component_id").distinct()
+    groups = connected_components(materialise(links, "near-links"), "doc_id", "component_id")
+    others = groups.where("node <> component").select(F.col("node").alias("doc_id"))
+    single = named.dropDuplicates(["doc_id"]).join(others, "doc_id", "left_anti")
+    return single.unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,12 @@ def test_stages_on_odd_rows(request, spark, sf_dir, name):
         if name == "no_docs":
             assert found.isEmpty()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).agg(F.count("*")).first()[0] >= docs.count()
+
+
+def test_near_dedup_takes_the_fingerprints_of_simhash(spark, sf_dir):
+    # Repeats weigh in 64-bit fingerprints, not in sets: one group by those, three by these.
+    tails = ["one two three four five", "six seven eight nine ten", "red green blue white black"]
+    texts = {10 + i: "lorem ipsum dolor " * 60 + tail for i, tail in enumerate(tails)} | {1: "a text of its own " + tails[0]}
+    docs = spark.createDataFrame([(*row, "en", "s", 1) for row in texts.items()], "doc_id long, text string, lang string, source string, n_chars int")
+    assert copies.keep_one(docs).count() == 4
+    assert sorted(r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, sf_dir).collect()) == [1, 10]
