@@ -38,6 +38,7 @@ from changefeed.schema import (
 _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 # A row group is what a read of some records of a shard decodes; small ones keep that small.
 _ROW_GROUP_BYTES = 1 << 20
+_FILE_BYTES = 128 << 20
 
 # Partition columns: which append a row came with, and in which of its files.
 _APPEND = T.StructField("append", T.StringType())
@@ -76,6 +77,12 @@ def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
+def _bytes(feed: DataFrame) -> int:
+    """Bytes of the records' text and payload, and some for what a row takes besides."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (*ENVELOPE.names[:4], "shardId")]
+    return feed.select(F.sum(sum(sizes, F.lit(64)).cast("bigint"))).first()[0] or 0
+
+
 class Heads:
     """The highest key of each shard in the appends that one writer has seen.
 
@@ -127,8 +134,9 @@ def append_feed(
 
     ``page`` is the most records one listed page has, the grain of a capped
     stream. Within a shard, later appends hold later sequence numbers; an append
-    that does not is refused and removed. ``files`` is how many to write, at most
-    as many as shuffle partitions by default; aim at some 128 MB each. ``once`` names
+    that does not is refused and removed. ``files`` is how many to write, and more if
+    they would hold over 128 MB of records each, as a task sorts one file; by default
+    at most as many as shuffle partitions, so have these follow the data. ``once`` names
     the append: if one of that name is complete, nothing is written. A writer of many
     appends hands its ``heads`` to each.
     """
@@ -142,6 +150,8 @@ def append_feed(
             return
         ticket = f"{ticket}-{once}"
     data = f"{path}/data/append={ticket}"
+    if files:
+        files = max(files, -(-_bytes(feed) // _FILE_BYTES))
     laid_out = (
         feed.select(*ENVELOPE.names, "shardId", norm_seq("sequenceNumber").alias("seqKey"))
         .repartitionByRange(*([files] if files else []), *SHARD_KEY, "seqKey")

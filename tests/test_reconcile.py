@@ -71,3 +71,14 @@ def test_digests_of_new_appends_only(spark, tmp_path):
     assert read_feed(spark, f"{tmp_path}/one").count() == 70
     levels = [rc._stored(spark, f"{tmp_path}/one", n).select(F.sum("records")).head()[0] for n in range(4)]
     assert levels == [70] * 4
+
+
+def test_large_files_become_more(spark, tmp_path, monkeypatch):
+    from changefeed.sources import store
+
+    monkeypatch.setattr(store, "_FILE_BYTES", 20_000)
+    append_feed(feed_of(spark, {"a": 1_000, "b": 100}), f"{tmp_path}/many", files=3)
+    append_feed(feed_of(spark, {"a": 100}), f"{tmp_path}/few", files=3)
+    parts = [read_feed(spark, f"{tmp_path}/{x}").groupBy("part").count().collect() for x in ("many", "few")]
+    assert 5 <= len(parts[0]) and max(r["count"] for r in parts[0]) <= 400
+    assert len(parts[1]) <= 3
