@@ -281,6 +281,7 @@ class ChangeFeedReader(DataSourceStreamReader):
         self._pages = PageListing(_PAGES.empty_table())
         self._files: OrderedDict = OrderedDict()
         self._columns: OrderedDict = OrderedDict()
+        self._held = 0
         self._ends: dict | None = None
         self._gone: set = set()
         self._seen: dict = {}
@@ -362,15 +363,16 @@ class ChangeFeedReader(DataSourceStreamReader):
         group = int(np.searchsorted(starts, row, "right")) - 1
         if row >= starts[-1]:
             raise ValueError(f"{file} has no such row")
-        column = _kept(
-            self._columns,
-            (file, group),
-            lambda: source.read_row_group(group, ["sequenceNumber"])["sequenceNumber"].combine_chunks(),
-        )
-        while len(self._columns) > 1 and sum(c.nbytes for c in self._columns.values()) > _KEPT_BYTES:
-            self._columns.popitem(last=False)
+        column = _kept(self._columns, (file, group), lambda: self._numbers(source, group))
+        while len(self._columns) > 1 and self._held > _KEPT_BYTES:
+            self._held -= self._columns.popitem(last=False)[1].nbytes
         return column[row - int(starts[group])].as_py()
 
+    def _numbers(self, source: pq.ParquetFile, group: int) -> pa.Array:
+        column = source.read_row_group(group, ["sequenceNumber"])["sequenceNumber"].combine_chunks()
+        self._held += column.nbytes
+        return column
+
     def _open(self, file: str) -> tuple[pq.ParquetFile, np.ndarray]:
         """A file, and the rows at which its row groups start, its end with them."""
         fs, root = open_path(f"{self._options.path}/data")
@@ -443,6 +445,7 @@ class ChangeFeedReader(DataSourceStreamReader):
             source.close(force=True)
         self._files.clear()
         self._columns.clear()
+        self._held = 0
         self._loaded = set()
 
     # Reading, on the executors.

@@ -550,3 +550,19 @@ def test_drain_goes_on_in_one_query(spark, tmp_path):
     assert drain(lambda: started.append(0) or writer_of(stream, tmp_path)) == 8
     assert len(started) == 2
     assert written(spark, tmp_path) == list(range(1, 41))
+
+
+def test_planner_keeps_few_row_groups(spark, tmp_path, monkeypatch):
+    from changefeed.sources import stream as module
+
+    monkeypatch.setattr(module, "_KEPT_BYTES", 1)
+    append_one_file(feed_of(spark, {"a": 30, "b": 30}), str(tmp_path), page=5)
+    append_feed(feed_of(spark, {"a": 30}, first=100), str(tmp_path), page=5)
+    limits = {"executor.maxrecordperread": "7", "executor.maxfetchrecordspershard": "6"}
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **limits))
+    at, found = reader.initialOffset(), []
+    while (end := reader.latestOffset()) != at:
+        found += rows_of(reader, at, end)
+        at = end
+        assert len(reader._columns) == 1 and reader._held == sum(c.nbytes for c in reader._columns.values())
+    assert sorted(found) == [*range(1, 61), *range(100, 130)]
