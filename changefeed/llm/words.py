@@ -58,9 +58,9 @@ class WordEncoder:
             known = json.load(file)
         self.special = [t["content"] for t in known["added_tokens"]]
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.signs: dict[str, bytes] = {}
         pattern = known["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        find, word = regex.compile(pattern).findall, self._word
-        self.parts = Remembered(lambda part: b"".join(map(word, find(part))))
+        self.find, self.parts = regex.compile(pattern).findall, Remembered(self._part)
 
     def encode(self, text: str) -> bytes:
         if _OTHER.search(text) or any(s in text for s in self.special):
@@ -69,9 +69,27 @@ class WordEncoder:
         plain = unicodedata.normalize("NFC", text).lower()
         return b"".join(map(self.parts.__getitem__, plain.split()))
 
+    def _part(self, part: str) -> bytes:
+        # Letters alone are a word, and one sign or digit behind them is another: no need
+        # to cut these by the pattern. A word of letters is one for all parts that have it.
+        if part.isalpha():
+            return self._word(part)
+        if part[:-1].isalpha():
+            return self.parts[part[:-1]] + self._sign(part[-1])
+        return b"".join(self.parts[w] if w.isalpha() else self._sign(w) for w in self.find(part))
+
+    def _sign(self, sign: str) -> bytes:
+        found = self.signs.get(sign)
+        if found is None:
+            found = self._word(sign)
+            if len(sign) == 1:
+                self.signs[sign] = found
+        return found
+
     def _word(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
+        letters = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
+        tokens = self.model.tokenize(letters)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
 
 _encoders: dict[str, WordEncoder] = {}

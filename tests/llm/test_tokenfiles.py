@@ -10,7 +10,7 @@ from odd_inputs import DOCS
 from tokenizers import Tokenizer
 
 from changefeed.llm import queries, tokenfiles
-from changefeed.llm.words import word_encoder
+from changefeed.llm.words import WordEncoder, word_encoder
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +116,19 @@ def test_latin_letters_have_the_ids_of_tokenizers(plain):
     for _ in range(500):
         text = "".join(pick.choices(letters, k=80))
         assert np.frombuffer(word_encoder(None).encode(text), "<u4").tolist() == plain(text)
+
+
+def test_a_word_is_tokenised_once():
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    given, plain = [], encoder.model
+
+    class Counted:
+        def tokenize(self, word):
+            given.append(word)
+            return plain.tokenize(word)
+
+    encoder.model = Counted()
+    text = "Thing thing, thing. (thing) thing's thing's! thing9 9thing thing9, don't, it's' é, é. 'é' ...é"
+    ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+    assert ids == encoder.whole.encode(text, add_special_tokens=False).ids
+    assert given.count("thing") == 1 and given.count("9") == 1
