@@ -16,7 +16,7 @@ import re
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from changefeed import storage
 from changefeed.functions.sequence import norm_seq
@@ -39,6 +39,9 @@ _TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
 # A row group is what a read of some records of a shard decodes; small ones keep that small.
 _ROW_GROUP_BYTES = 1 << 20
 _FILE_BYTES = 128 << 20
+# What one task sorts about as fast as several tasks agree on where to cut.
+_SMALL_BYTES = 16 << 20
+_MARKS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 # Partition columns: which append a row came with, and in which of its files.
 _APPEND = T.StructField("append", T.StringType())
@@ -77,49 +80,95 @@ def _ticket() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def _bytes(feed: DataFrame) -> int:
-    """Bytes of the records' text and payload, and some for what a row takes besides."""
+def _size() -> Column:
+    """Bytes of a record's text and payload, and some for what a row takes besides."""
     sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (*ENVELOPE.names[:4], "shardId")]
-    return feed.select(F.sum(sum(sizes, F.lit(64)).cast("bigint"))).first()[0] or 0
+    return sum(sizes, F.lit(64)).cast("bigint")
+
+
+def _bytes(feed: DataFrame) -> int:
+    return feed.select(F.sum(_size())).first()[0] or 0
+
+
+def measure(feed: DataFrame) -> list[Row]:
+    """Of each shard in a batch the first and the last key, and the bytes of its records; see ``_ends``."""
+    ends = F.struct(norm_seq("sequenceNumber").alias("firstKey"), F.col("sequenceNumber").alias("firstSeq"))
+    return (
+        feed.select(*SHARD_KEY, ends.alias("_ends"), _size().alias("_bytes"))
+        .groupBy(*SHARD_KEY)
+        .agg(F.min("_ends").alias("_first"), F.max("_ends.firstKey").alias("_last"), F.sum("_bytes").alias("_bytes"))
+        .collect()
+    )
 
 
 class Heads:
     """The highest key of each shard in the appends that one writer has seen.
 
     Only listings that it has not seen are read for the next append, so that
-    many appends in a row do not read all listings before them each time.
+    many appends in a row do not read all listings before them each time. The
+    driver holds a key per shard, as it does for the offset of a stream.
     """
 
     def __init__(self) -> None:
         self.seen: set[str] = set()
-        self.rows: DataFrame | None = None
-
-    def require_later(self, pages: DataFrame, path: str, own: str) -> None:
-        """Take in the listing of an append ``own``; it fails if a shard has records as late as that."""
-        spark = pages.sparkSession
-        listed = complete(spark, path, "pages")
-        if not self.seen <= set(listed):
-            self.seen, self.rows = set(), None
-        new = [name for name in listed if name not in self.seen]
-        before = _read(spark, path, "pages", PAGES, new).groupBy(*SHARD_KEY).agg(F.max("lastKey").alias("_head"))
-        if self.rows is not None:
-            known = self.rows.select(*SHARD_KEY, "_head")
-            before = before.unionByName(known).groupBy(*SHARD_KEY).agg(F.max("_head").alias("_head")) if new else known
-        ends = pages.groupBy(*SHARD_KEY).agg(
-            F.min(F.struct("firstKey", "firstSeq")).alias("_first"), F.max("lastKey").alias("_last")
-        )
-        both = ends.join(before, SHARD_KEY, "full").select(
-            *SHARD_KEY, "_first", F.col("_head").alias("_before"), F.greatest("_last", "_head").alias("_head")
-        )
-        behind = F.col("_first.firstKey") <= F.col("_before")
-        rows, late = storage.materialise_counted(both, "heads", behind)
-        if late:
-            row = rows.filter(behind).head(1)[0]
-            raise ValueError(
-                f"shard {row['shardId']} already has records up to {row['_before']}; "
-                f"an append from {row['_first']['firstSeq']} would be out of sequence"
-            )
-        self.seen, self.rows = {*listed, own}, rows.filter(F.col("shardId").isNotNull())
+        self.last: dict[tuple[str, str], str] = {}
+
+    def unseen(self, spark: SparkSession, path: str) -> list[str]:
+        """Complete listings that the writer has not taken in yet."""
+        if not self.seen:
+            return complete(spark, path, "pages")
+        names = set(storage.child_names(spark, f"{path}/pages"))
+        if not self.seen <= names:
+            self.seen, self.last = set(), {}
+        return [n for n in sorted(names - self.seen) if storage.exists(spark, f"{path}/pages/{n}/_SUCCESS")]
+
+    def take(self, pages: DataFrame, names: list[str]) -> None:
+        """Take in some listings."""
+        self.add(names, {_shard(r): r["_before"] for r in _heads(pages).collect()} if names else {})
+
+    def add(self, names: list[str], last: dict[tuple[str, str], str]) -> None:
+        for shard, key in last.items():
+            if key is not None:
+                self.last[shard] = max(key, self.last.get(shard, key))
+        self.seen.update(names)
+
+    def require_later(self, ends: list[Row]) -> dict[tuple[str, str], str]:
+        """The last keys of an append; it fails if a shard has records as late as that."""
+        last = {}
+        for row in ends:
+            first, before = row["_first"], self.last.get(_shard(row))
+            if None not in (*_shard(row), before, first["firstKey"]) and first["firstKey"] <= before:
+                raise _late(row["shardId"], before, first["firstSeq"])
+            last[_shard(row)] = row["_last"]
+        return last
+
+
+def _shard(row: Row) -> tuple[str, str]:
+    return row["streamName"], row["shardId"]
+
+
+def _heads(pages: DataFrame) -> DataFrame:
+    return pages.groupBy(*SHARD_KEY).agg(F.max("lastKey").alias("_before"))
+
+
+def _ends(pages: DataFrame) -> DataFrame:
+    return pages.groupBy(*SHARD_KEY).agg(
+        F.min(F.struct("firstKey", "firstSeq")).alias("_first"),
+        F.max("lastKey").alias("_last"),
+    )
+
+
+def _late(shard: str, before: str, first: str) -> ValueError:
+    return ValueError(
+        f"shard {shard} already has records up to {before}; an append from {first} would be out of sequence"
+    )
+
+
+def _require_later(pages: DataFrame, before: DataFrame) -> None:
+    """Fails if a shard of an append has records as late as it in the listings before."""
+    behind = F.col("_first.firstKey") <= F.col("_before")
+    for row in _ends(pages).join(_heads(before), SHARD_KEY).filter(behind).head(1):
+        raise _late(row["shardId"], row["_before"], row["_first"]["firstSeq"])
 
 
 def append_feed(
@@ -129,6 +178,8 @@ def append_feed(
     files: int | None = None,
     once: str | None = None,
     heads: Heads | None = None,
+    measured: list[Row] | None = None,
+    session: SparkSession | None = None,
 ) -> None:
     """Append records (envelope plus ``shardId``) to a stored feed.
 
@@ -138,20 +189,31 @@ def append_feed(
     they would hold over 128 MB of records each, as a task sorts one file; by default
     at most as many as shuffle partitions, so have these follow the data. ``once`` names
     the append: if one of that name is complete, nothing is written. A writer of many
-    appends hands its ``heads`` to each.
+    appends hands its ``heads`` to each, and what it ``measured`` of the records: a small
+    append is then one file, without a look at its records for where to cut. ``session``
+    reads what was written, by default that of the feed.
     """
-    spark = feed.sparkSession
+    spark = session or feed.sparkSession
     path = path.rstrip("/")
     ticket = _ticket()
+    listed = complete(spark, path, "pages") if heads is None else heads.unseen(spark, path)
     if once is not None:
         if not re.fullmatch(r"[A-Za-z0-9_.]+", once):
             raise ValueError(f"an append is named by letters, digits, dots and underscores, not {once!r}")
-        if any(name.endswith(f"-{once}") for name in complete(spark, path, "pages")):
+        if any(name.endswith(f"-{once}") for name in (*listed, *(heads.seen if heads else ()))):
             return
         ticket = f"{ticket}-{once}"
-    data = f"{path}/data/append={ticket}"
+    name = f"append={ticket}"
+    data, listing = f"{path}/data/{name}", f"{path}/pages/{name}"
+    size = None if measured is None else sum(row["_bytes"] for row in measured)
     if files:
-        files = max(files, -(-_bytes(feed) // _FILE_BYTES))
+        files = max(files, -(-(_bytes(feed) if size is None else size) // _FILE_BYTES))
+    elif size is not None and size <= _SMALL_BYTES:
+        files = 1
+    before = _read(spark, path, "pages", PAGES, listed) if heads is not None or listed else None
+    if heads is not None:
+        heads.take(before, listed)
+    last = heads.require_later(measured) if heads is not None and measured is not None else None
     laid_out = (
         feed.select(*ENVELOPE.names, "shardId", norm_seq("sequenceNumber").alias("seqKey"))
         .repartitionByRange(*([files] if files else []), *SHARD_KEY, "seqKey")
@@ -159,27 +221,35 @@ def append_feed(
         .sortWithinPartitions("part", *SHARD_KEY, "seqKey")
     )
     # Unlike the default type, this one has statistics that a filter on time can use.
-    with storage.session_conf(spark, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
+    with storage.session_conf(feed.sparkSession, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.partitionBy("part").option("parquet.block.size", str(_ROW_GROUP_BYTES)).parquet(data)
-    pages = _list_pages(spark, data, ticket, page)
-    if heads is not None or complete(spark, path, "pages"):
-        pages = storage.materialise(pages, "pages")
+    # The listing counts from its mark on, which it gets once it was checked.
+    _list_pages(spark, data, ticket, page, files == 1).write.option(_MARKS, "false").parquet(listing)
+    if before is not None and last is None:
+        pages = spark.read.schema(PAGES).parquet(listing)
         try:
-            (heads or Heads()).require_later(pages, path, f"append={ticket}")
+            if heads is None:
+                _require_later(pages, before)
+            else:
+                last = heads.require_later(_ends(pages).collect())
         except ValueError:
+            storage.delete_dir(spark, listing)
             storage.delete_dir(spark, data)
             raise
-    pages.write.parquet(f"{path}/pages/append={ticket}")
+    storage.touch(spark, f"{listing}/_SUCCESS")
+    if heads is not None:
+        heads.add([name], last)
 
 
-def _list_pages(spark: SparkSession, data: str, ticket: str, page: int) -> DataFrame:
+def _list_pages(spark: SparkSession, data: str, ticket: str, page: int, single: bool = False) -> DataFrame:
     # A file is sorted, so a page of a shard is what it has of so many rows of the
-    # file, and its ends are at its lowest and highest row: one scan, no join.
+    # file, and its ends are at its lowest and highest row: one scan, no join, and
+    # no shuffle of a single file.
     row = F.col("_row")
     ends = F.struct("seqKey", "sequenceNumber")
+    rows = spark.read.schema(T.StructType([*_FEED.fields, _PART])).parquet(data)
     return (
-        spark.read.schema(T.StructType([*_FEED.fields, _PART]))
-        .parquet(data)
+        (rows.coalesce(1) if single else rows)
         .select(
             *SHARD_KEY,
             "part",

@@ -60,6 +60,8 @@ _ORDER = [("shardId", "ascending"), ("firstKey", "ascending"), ("lastKey", "asce
 # Rows and buffered bytes that a task holds of a file, and what the planner keeps of files.
 _READ_ROWS, _READ_BYTES = 4_096, 1 << 20
 _KEPT_FILES, _KEPT_BYTES = 64, 64 << 20
+# Wanted rows up to which files share a task.
+_TASK_ROWS = 1_000
 
 # Where in a file a batch ended that stopped inside a page.
 _FILE, _ROW = "file", "row"
@@ -164,7 +166,10 @@ def stored_rows(
 
 
 class FileRanges(InputPartition):
-    """What to read of one file: of each shard, records in (after, upto]; they lie in runs of rows."""
+    """What to read of one file: of each shard, records in (after, upto]; they lie in runs of rows.
+
+    ``more`` are other files of which the same task reads a few rows.
+    """
 
     def __init__(self, file: str, shards: list, after: list, upto: list, runs: list):
         self.file = file
@@ -172,6 +177,21 @@ class FileRanges(InputPartition):
         self.after = after
         self.upto = upto
         self.runs = runs
+        self.more: list[FileRanges] = []
+
+
+def shared_tasks(parts: list[FileRanges]) -> list[FileRanges]:
+    """Files with few wanted rows share a task, as starting one takes longer than to read these."""
+    found, rows = [], 0
+    for part in parts:
+        size = sum(end - first for first, end in part.runs)
+        if found and rows + size <= _TASK_ROWS:
+            found[-1].more.append(part)
+            rows += size
+        else:
+            found.append(part)
+            rows = size
+    return found
 
 
 class PageListing:
@@ -430,10 +450,12 @@ class ChangeFeedReader(DataSourceStreamReader):
                 shards, runs = found.setdefault(file, ({}, []))
                 shards[shard] = None
                 runs.append(run)
-        return [
-            FileRanges(file, [*ids], [after.get(s, "") for s in ids], [upto[s] for s in ids], merged(runs))
-            for file, (ids, runs) in sorted(found.items())
-        ]
+        return shared_tasks(
+            [
+                FileRanges(file, [*ids], [after.get(s, "") for s in ids], [upto[s] for s in ids], merged(runs))
+                for file, (ids, runs) in sorted(found.items())
+            ]
+        )
 
     def commit(self, end: dict) -> None:
         for shard, at in check_offset(end).items():
@@ -451,6 +473,10 @@ class ChangeFeedReader(DataSourceStreamReader):
     # Reading, on the executors.
 
     def read(self, partition: FileRanges) -> Iterator[pa.RecordBatch]:
+        for part in (partition, *partition.more):
+            yield from self._file_rows(part)
+
+    def _file_rows(self, partition: FileRanges) -> Iterator[pa.RecordBatch]:
         fs, root = open_path(f"{self._options.path}/data")
         wanted, types = _columns(self._options), _arrow_schema(self._options)
         shards = pa.array(partition.shards, pa.string())

@@ -14,7 +14,7 @@ from changefeed.operators.lineage import require_closed_parents
 from changefeed.operators.progress import ITERATOR_POSITION, ITERATOR_TYPE, METADATA, previous_positions
 from changefeed.schema import DEFAULT_CAP, POSITIONS, SHARD_END, SHARD_KEY, TRIM_HORIZON
 from changefeed.sources import options as opts
-from changefeed.sources.store import Heads, append_feed, read_catalogue
+from changefeed.sources.store import Heads, append_feed, measure, read_catalogue
 from changefeed.sources.stream import FORMAT, register
 
 
@@ -41,13 +41,20 @@ def append_stream(
     named after the writer and the batch id, and its page listing is its commit, so a
     batch that fails half way is not seen and one that is replayed counts once. Give
     writers to one feed names of their own. A batch without records appends nothing.
+    Records are read from the source once and kept while their batch is written; if an
+    executor is lost with them, they are read again.
     """
 
-    heads = Heads()
+    heads, session = Heads(), stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_feed(batch, path, page, files, once=f"{name}.{batch_id}", heads=heads)
+        batch.persist()
+        try:
+            measured = measure(batch)
+            if measured:
+                append_feed(batch, path, page, files, f"{name}.{batch_id}", heads, measured, session)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
 

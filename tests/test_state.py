@@ -7,7 +7,7 @@ from helpers import FEED, START, feed_of
 from pyspark.sql import functions as F
 
 from changefeed.operators import progress
-from changefeed.sources.store import append_feed, read_feed, read_pages, stored_ordinal
+from changefeed.sources.store import Heads, append_feed, read_feed, read_pages, stored_ordinal
 from changefeed.streaming import state
 from changefeed.streaming.runner import append_stream, drain, read_stream
 
@@ -176,3 +176,40 @@ def test_appends_in_a_row_read_new_listings_only(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="shard a already has records up to .*33"):
         append_feed(feed_of(spark, {"a": 4}, first=32), str(tmp_path), heads=heads)
     assert read_feed(spark, str(tmp_path)).count() == 26
+
+
+def test_streamed_batch_is_read_once_into_one_file(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 20, "b": 7}), f"{tmp_path}/feed", page=5)
+    limits = {"executor.maxRecordPerRead": "5", "executor.maxFetchRecordsPerShard": "7"}
+    stream = read_stream(spark, f"{tmp_path}/feed", "s", startingPosition="TRIM_HORIZON", includeShardId="true", **limits)
+    read = []
+    while not read or read[-1]:
+        query = append_stream(stream, f"{tmp_path}/copy", f"{tmp_path}/check", "w", page=4).trigger(availableNow=True).start()
+        query.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+    assert read == [17, 10, 0]
+    assert len(list((tmp_path / "copy" / "data").rglob("*.parquet"))) == 2
+    assert sorted(r["records"] for r in read_pages(spark, f"{tmp_path}/copy").collect()) == [1, 2, 2, 2, 4, 4, 4, 4, 4]
+
+
+def test_late_stream_is_refused(spark, tmp_path):
+    append_feed(feed_of(spark, {"a": 5}), f"{tmp_path}/feed")
+    append_feed(feed_of(spark, {"b": 2, "a": 1}, first=5), f"{tmp_path}/copy")
+    with pytest.raises(Exception, match="shard a already has records up to .*7"):
+        drain(lambda: append_stream(stream_of(spark, tmp_path), f"{tmp_path}/copy", f"{tmp_path}/check", "w"))
+    assert read_feed(spark, f"{tmp_path}/copy").count() == 3
+    assert len(list((tmp_path / "copy" / "data").iterdir())) == 1
+
+
+def test_unmarked_listing_is_no_append(spark, tmp_path, monkeypatch):
+    from changefeed import storage
+
+    heads = Heads()
+    append_feed(feed_of(spark, {"a": 2}), str(tmp_path), once="w.0", heads=heads)
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "touch", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            append_feed(feed_of(spark, {"a": 3}, first=3), str(tmp_path), once="w.1", heads=heads)
+    assert read_feed(spark, str(tmp_path)).count() == 2
+    append_feed(feed_of(spark, {"a": 3}, first=3), str(tmp_path), once="w.1", heads=heads)
+    assert read_feed(spark, str(tmp_path)).count() == 5
