@@ -39,8 +39,9 @@ from changefeed.sources.store import (
     stored_slice,
     write_catalogue,
 )
-from changefeed.storage import materialise, scratch_path
+from changefeed.storage import materialise, scratch_path, session_conf
 from changefeed.streaming import state
+from changefeed.streaming.state import SHUFFLE
 from changefeed.streaming.runner import append_stream, drain, read_stream, read_table, write_with_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,18 +139,23 @@ def _limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream(spark, path, ef.STREAM, startingPosition="TRIM_HORIZON", includeShardId="true", **limits_of)
 
 
-def _latest_of_batches(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """A stream in update mode, run up to its head; of each key what its last batch gave."""
+def _latest_of_batches(stream: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """A stream in update mode, run up to its head; of each key what its last batch gave.
+
+    ``partitions`` is how many its state has, by default as many as shuffle partitions.
+    """
     spark, place = stream.sparkSession, scratch_path(stream.sparkSession, "updates")
 
     def keep(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{place}/rows/batch={n}")
 
-    drain(
-        lambda: stream.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{place}/checkpoint")
-        .foreachBatch(keep)
-    )
+    # A query takes this over as it starts, and goes on with what its checkpoint has.
+    with session_conf(spark, SHUFFLE, str(partitions or spark.conf.get(SHUFFLE))):
+        drain(
+            lambda: stream.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{place}/checkpoint")
+            .foreachBatch(keep)
+        )
     rows = spark.read.schema(stream.schema.add("batch", T.LongType())).parquet(f"{place}/rows")
     newest = F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "batch").alias("newest")
     return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*")
@@ -160,7 +166,8 @@ def stream_current_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decode_event(_limited(spark, sf_dir), ef.EVENT)
     image = F.struct(typed_attribute("id", "N", "bigint").alias("id"), new_image("n", "S").alias("n"))
     images = state.current_images(rows, ["partitionKey"], image, F.col("event.eventName"))
-    return _latest_of_batches(images, ["partitionKey"]).select(
+    records = ef.stored(spark, sf_dir).ranges.select(F.sum("records")).first()[0] or 0
+    return _latest_of_batches(images, ["partitionKey"], state.partitions(spark, records)).select(
         "partitionKey", "sequenceNumber", "image.id", "image.n", "removed"
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from changefeed.functions.sequence import norm_seq
 from changefeed.schema import SHARD_KEY
@@ -10,6 +10,20 @@ from changefeed.schema import SHARD_KEY
 ARRIVAL = "approximateArrivalTimestamp"
 # Fixed value: what a change that deletes its item is called.
 REMOVE = "REMOVE"
+SHUFFLE = "spark.sql.shuffle.partitions"
+# Keys that a partition of state may hold.
+_STATE_KEYS = 1_000_000
+
+
+def partitions(spark: SparkSession, records: int) -> int:
+    """How many partitions to start a stream with whose state has a row per key, of so many records.
+
+    Each batch writes a file or two for each of them, however few of its keys are there,
+    so a limited stream gets one per core, and more only if the keys of that many records
+    could be over a million each; never more than shuffle partitions.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return min(int(spark.conf.get(SHUFFLE)), max(cores, -(-records // _STATE_KEYS)))
 
 
 def current_images(rows: DataFrame, keys: list[str], image: Column, kind: Column) -> DataFrame:

@@ -1,6 +1,7 @@
 """Keyed and windowed state on streams that get their records in several appends."""
 
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from helpers import FEED, START, feed_of
@@ -213,3 +214,27 @@ def test_unmarked_listing_is_no_append(spark, tmp_path, monkeypatch):
     assert read_feed(spark, str(tmp_path)).count() == 2
     append_feed(feed_of(spark, {"a": 3}, first=3), str(tmp_path), once="w.1", heads=heads)
     assert read_feed(spark, str(tmp_path)).count() == 5
+
+
+def test_partitions_of_state(spark):
+    from changefeed.storage import session_conf
+
+    cores = spark.sparkContext.defaultParallelism
+    with session_conf(spark, "spark.sql.shuffle.partitions", "100"):
+        assert [state.partitions(spark, n) for n in (0, 6_000_000, 36_000_000, 10**9)] == [cores, cores, 36, 100]
+    assert state.partitions(spark, 0) == min(4, cores)
+
+
+def test_state_takes_the_partitions_it_is_given(spark, tmp_path):
+    from changefeed.plans import queries
+    from changefeed.storage import shared_dir
+
+    append_feed(records(spark, [("a", "k", 1, 1, b"one"), ("b", "j", 2, 3, b"two")]), f"{tmp_path}/feed")
+    rows = images(stream_of(spark, tmp_path))
+    folder = Path(shared_dir(spark)) / "changefeed"
+    before = set(folder.glob("updates-*"))
+    found = queries._latest_of_batches(rows, ["partitionKey"], 3)
+    assert found.count() == 2
+    (place,) = set(folder.glob("updates-*")) - before
+    assert len([d for d in (place / "checkpoint" / "state" / "0").iterdir() if d.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
