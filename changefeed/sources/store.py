@@ -224,7 +224,8 @@ def append_feed(
     with storage.session_conf(feed.sparkSession, _TIMESTAMP_TYPE, "TIMESTAMP_MICROS"):
         laid_out.write.partitionBy("part").option("parquet.block.size", str(_ROW_GROUP_BYTES)).parquet(data)
     # The listing counts from its mark on, which it gets once it was checked.
-    _list_pages(spark, data, ticket, page, files == 1).write.option(_MARKS, "false").parquet(listing)
+    pages = _list_pages(spark, data, ticket, page, files == 1)
+    pages.write.options(**{_MARKS: "false", "parquet.block.size": str(_ROW_GROUP_BYTES)}).parquet(listing)
     if before is not None and last is None:
         pages = spark.read.schema(PAGES).parquet(listing)
         try:
@@ -248,7 +249,7 @@ def _list_pages(spark: SparkSession, data: str, ticket: str, page: int, single:
     row = F.col("_row")
     ends = F.struct("seqKey", "sequenceNumber")
     rows = spark.read.schema(T.StructType([*_FEED.fields, _PART])).parquet(data)
-    return (
+    pages = (
         (rows.coalesce(1) if single else rows)
         .select(
             *SHARD_KEY,
@@ -284,6 +285,9 @@ def _list_pages(spark: SparkSession, data: str, ticket: str, page: int, single:
             "records",
         )
     )
+    # In order, so that who plans from a listing finds the pages of a shard in few row groups.
+    order = [*SHARD_KEY, "firstKey"]
+    return (pages if single else pages.repartitionByRange(*order)).sortWithinPartitions(*order)
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:

@@ -60,6 +60,8 @@ _ORDER = [("shardId", "ascending"), ("firstKey", "ascending"), ("lastKey", "asce
 # Rows and buffered bytes that a task holds of a file, and what the planner keeps of files.
 _READ_ROWS, _READ_BYTES = 4_096, 1 << 20
 _KEPT_FILES, _KEPT_BYTES = 64, 64 << 20
+# What the planner holds of page listings: pages ahead of all shards, and bytes of row groups.
+_NEAR_PAGES, _LISTED_BYTES = 500_000, 32 << 20
 # Wanted rows up to which files share a task.
 _TASK_ROWS = 1_000
 
@@ -194,60 +196,198 @@ def shared_tasks(parts: list[FileRanges]) -> list[FileRanges]:
     return found
 
 
-class PageListing:
-    """The pages of a stream, of each shard in order of their keys.
+class Stretch:
+    """Pages of a shard that are listed together: their ends, and the row groups of listings that have them."""
 
-    What a shard has left is found by bisection, so planning a batch costs what the
-    batch has, not what is listed. Pages without a shard are no part of a stream.
-    """
+    __slots__ = ("first_key", "last_key", "last_seq", "groups")
 
-    def __init__(self, pages: pa.Table):
-        pages = pages.filter(pc.is_valid(pages["shardId"]))
-        for key in ("firstKey", "lastKey"):  # a page may begin with records without a number
-            pages = pages.set_column(pages.schema.get_field_index(key), key, pc.fill_null(pages[key], ""))
-        self.table = pages.unify_dictionaries().sort_by(_ORDER).combine_chunks()
-        column = {name: self.table[name].combine_chunks() for name in _PAGES.names}
+    def __init__(self, first_key: str, last_key: str, last_seq: str, group: int):
+        self.first_key, self.last_key, self.last_seq, self.groups = first_key, last_key, last_seq, [group]
+
+
+class Pages:
+    """Some pages in a row of a stretch, from its ``start`` on; ``whole`` is how many it has."""
+
+    def __init__(self, table: pa.Table, start: int, end: int):
+        self.start, self.whole = start, len(table)
+        # A slice would keep all of the table.
+        table = table.take(pa.array(range(start, min(end, len(table))), pa.int64())).combine_chunks()
+        column = {name: table[name].combine_chunks() for name in table.column_names}
         self.first_key, self.last_key, self.last_seq = column["firstKey"], column["lastKey"], column["lastSeq"]
         self.first_row, self.records = column["firstRow"].to_numpy(), column["records"].to_numpy()
-        self.file, self.files = column["file"].indices.to_numpy(), column["file"].dictionary.to_pylist()
-        named = column["shardId"].dictionary_encode()
-        starts = np.flatnonzero(np.diff(named.indices.to_numpy(), prepend=-1))
-        ends = [*starts[1:].tolist(), len(self.table)]
-        # Of each shard its first page that no batch has committed, and the end of its pages.
-        self.shards = {column["shardId"][a].as_py(): (a, b) for a, b in zip(starts.tolist(), ends)}
+        self.file = column["file"].to_numpy()
+        self.end = start + len(self.file)
+
+    def behind(self, keys: pa.Array, key: str) -> int | None:
+        """The first page of the stretch whose key is behind ``key``, if these pages tell."""
+        at = bisect_right(range(len(keys)), key, key=lambda i: keys[i].as_py())
+        told = (at or not self.start) and (at < len(keys) or self.end == self.whole)
+        return self.start + at if told else None
 
-    def after(self, shard: str, key: str) -> int:
-        """The first page of a shard with a record behind ``key``."""
-        return self._behind(self.last_key, shard, key)
 
-    def upto(self, shard: str, key: str) -> int:
-        """The first page of a shard with no record up to ``key``."""
-        return self._behind(self.first_key, shard, key)
+class PageListing:
+    """The pages of a stream, of each shard in order of their keys.
 
-    def _behind(self, keys: pa.Array, shard: str, key: str) -> int:
-        start, end = self.shards[shard]
-        return start + bisect_right(range(start, end), key, key=lambda i: keys[i].as_py())
+    Listings stay in their files. What is held is where the pages of each shard lie there:
+    the ends of a stretch of them per shard and row group. Of what a batch needs some pages
+    in a row are held for each shard, and the row groups that were read last. Pages without
+    a shard are no part of a stream.
+    """
+
+    def __init__(self, stream_name: str):
+        self._name = stream_name
+        self._groups: list = []  # file system, path and number of each row group
+        self.files: list[str] = []
+        self._file_ids: dict[str, int] = {}
+        self.shards: dict[str, list[Stretch]] = {}
+        self._near: dict[str, tuple[Stretch, Pages]] = {}
+        self._read: OrderedDict = OrderedDict()
+        self._held = 0
+
+    def load(self, fs: pafs.FileSystem, directory: str) -> None:
+        """Take in the listing of an append."""
+        found: dict[str, list[Stretch]] = {}
+        listed = fs.get_file_info(pafs.FileSelector(directory, recursive=True))
+        for path in sorted(i.path for i in listed if i.is_file and i.path.endswith(".parquet")):
+            with fs.open_input_file(path) as file:
+                source = pq.ParquetFile(file, read_dictionary=["file"], pre_buffer=False)
+                for number in range(source.num_row_groups):
+                    group = len(self._groups)
+                    self._groups.append((fs, path, number))
+                    table, shards = self._sorted(source, number)
+                    for shard, (start, end) in shards.items():
+                        ends = (table["firstKey"][start], table["lastKey"][end - 1], table["lastSeq"][end - 1])
+                        found.setdefault(shard, []).append(Stretch(*(e.as_py() for e in ends), group))
+        for shard, more in found.items():
+            self.shards[shard] = _apart([*self.shards.get(shard, []), *more])
+            self._near.pop(shard, None)
+
+    def _sorted(self, source: pq.ParquetFile, number: int) -> tuple[pa.Table, dict]:
+        """The pages of the stream in a row group, in order, and between which rows each shard has its own."""
+        pages = source.read_row_group(number, ["streamName", *_PAGES.names])
+        pages = pages.filter((pc.field("streamName") == self._name) & pc.is_valid(pc.field("shardId")))
+        for key in ("firstKey", "lastKey"):  # a page may begin with records without a number
+            pages = pages.set_column(pages.schema.get_field_index(key), key, pc.fill_null(pages[key], ""))
+        named = pages["file"].combine_chunks()
+        ids = [self._file_ids.setdefault(f, len(self._file_ids)) for f in named.dictionary.to_pylist()]
+        self.files += [*self._file_ids][len(self.files) :]
+        at = np.array(ids, np.int32)[named.indices.to_numpy()] if len(pages) else np.array([], np.int32)
+        pages = pages.set_column(pages.schema.get_field_index("file"), "file", pa.array(at))
+        pages = pages.select(_PAGES.names).combine_chunks()
+        if not _in_order(pages):
+            pages = pages.sort_by(_ORDER).combine_chunks()
+        named = pages["shardId"].combine_chunks().dictionary_encode()
+        starts = np.flatnonzero(np.diff(named.indices.to_numpy(), prepend=-1)).tolist()
+        return pages, dict(zip(named.dictionary.to_pylist(), zip(starts, [*starts[1:], len(pages)])))
+
+    def _group(self, group: int) -> tuple[pa.Table, dict]:
+        if group in self._read:
+            self._read.move_to_end(group)
+            return self._read[group]
+        fs, path, number = self._groups[group]
+        with fs.open_input_file(path) as file:
+            read = self._sorted(pq.ParquetFile(file, read_dictionary=["file"], pre_buffer=False), number)
+        self._read[group] = read
+        self._held += read[0].nbytes
+        while len(self._read) > 1 and self._held > _LISTED_BYTES:
+            self._held -= self._read.popitem(last=False)[1][0].nbytes
+        return read
+
+    def _pages(self, shard: str, of: Stretch) -> pa.Table:
+        parts = [(table, *shards[shard]) for table, shards in map(self._group, of.groups)]
+        tables = [table.slice(start, end - start) for table, start, end in parts]
+        return tables[0] if len(tables) == 1 else pa.concat_tables(tables).sort_by(_ORDER).combine_chunks()
+
+    def _at(self, shard: str, of: Stretch, page: int) -> Pages:
+        """Pages of a stretch with this one among them."""
+        held = self._near.get(shard)
+        if held is None or held[0] is not of or not held[1].start <= page < held[1].end:
+            self._near[shard] = held = of, self._some(self._pages(shard, of), page)
+        return held[1]
+
+    def _behind(self, shard: str, column: str, key: str) -> tuple[int, int]:
+        """The first page of a shard with a key behind ``key``: its stretch, and its place there."""
+        of = self.shards[shard]
+        if column == "last_key":
+            n = bisect_right(of, key, key=lambda s: s.last_key)
+            if n == len(of) or of[n].first_key > key:
+                return n, 0
+        else:
+            n = bisect_right(of, key, key=lambda s: s.first_key) - 1
+            if n < 0 or of[n].last_key <= key:
+                return n + 1, 0
+        held = self._near.get(shard)
+        page = held[1].behind(getattr(held[1], column), key) if held and held[0] is of[n] else None
+        if page is None:
+            table = self._pages(shard, of[n])
+            keys = table["lastKey" if column == "last_key" else "firstKey"]
+            page = bisect_right(range(len(keys)), key, key=lambda i: keys[i].as_py())
+            if page < len(keys):
+                self._near[shard] = of[n], self._some(table, page)
+        return n, page
+
+    def _some(self, table: pa.Table, page: int) -> Pages:
+        """Pages from one on, with the one before, which tells that this is the first behind a key."""
+        return Pages(table, max(0, page - 1), page + max(8, _NEAR_PAGES // len(self.shards)))
+
+    def ahead(self, shard: str, key: str, most: int) -> Iterator[tuple[Pages, int, int]]:
+        """Pages of a shard behind ``key``, ``most`` of them at most, as runs of held pages."""
+        n, page = self._behind(shard, "last_key", key)
+        while most > 0 and n < len(self.shards[shard]):
+            pages = self._at(shard, self.shards[shard][n], page)
+            end = min(pages.end, page + most)
+            yield pages, page - pages.start, end - pages.start
+            most -= end - page
+            n, page = (n, end) if end < pages.whole else (n + 1, 0)
+
+    def between(self, shard: str, after: str, upto: str) -> Iterator[tuple[str, tuple[int, int]]]:
+        """Files of a shard's pages with records in (after, upto], and which run of rows these are there."""
+        (n, page), last = self._behind(shard, "last_key", after), self._behind(shard, "first_key", upto)
+        while (n, page) < last and n < len(self.shards[shard]):
+            pages = self._at(shard, self.shards[shard][n], page)
+            end = min(pages.end, last[1]) if n == last[0] else pages.end
+            first, stop = page - pages.start, end - pages.start
+            cuts = [0, *(np.flatnonzero(np.diff(pages.file[first:stop])) + 1).tolist(), stop - first]
+            for a, b in zip(cuts, cuts[1:]):
+                rows = slice(first + a, first + b)
+                behind = pages.first_row[rows] + pages.records[rows]
+                yield self.files[pages.file[first + a]], (int(pages.first_row[rows].min()), int(behind.max()))
+            n, page = (n, end) if end < pages.whole else (n + 1, 0)
 
     def head(self, shard: str) -> str:
         """The last key of a shard's pages, empty if none is left."""
-        start, end = self.shards.get(shard, (0, 0))
-        return self.last_key[end - 1].as_py() if start < end else ""
-
-    def runs(self, first: int, end: int) -> Iterator[tuple[str, tuple[int, int]]]:
-        """Files of some pages of a shard, and which run of rows these are there."""
-        cuts = [0, *(np.flatnonzero(np.diff(self.file[first:end])) + 1).tolist(), end - first]
-        for a, b in zip(cuts, cuts[1:]):
-            rows = slice(first + a, first + b)
-            last = self.first_row[rows] + self.records[rows]
-            yield self.files[self.file[first + a]], (int(self.first_row[rows].min()), int(last.max()))
+        of = self.shards.get(shard)
+        return of[-1].last_key if of else ""
 
     def drop(self, shard: str, key: str) -> None:
-        """Forget the pages of a shard up to ``key``; they are freed when the next append is loaded."""
-        if shard in self.shards:
-            self.shards[shard] = (self.after(shard, key), self.shards[shard][1])
-
-    def left(self) -> pa.Table:
-        return pa.concat_tables([self.table.slice(a, b - a) for a, b in self.shards.values()] or [self.table])
+        """Forget the stretches of a shard up to ``key``."""
+        of = self.shards.get(shard, [])
+        done = bisect_right(of, key, key=lambda s: s.last_key)
+        if done:
+            del of[:done]
+            self._near.pop(shard, None)
+
+
+def _in_order(pages: pa.Table) -> bool:
+    """Whether pages certainly are in order: their shards, and in a shard the first keys, without ties."""
+    shard, key = pages["shardId"].combine_chunks(), pages["firstKey"].combine_chunks()
+    same = pc.equal(shard[1:], shard[:-1])
+    later = pc.or_(pc.greater(shard[1:], shard[:-1]), pc.and_(same, pc.greater(key[1:], key[:-1])))
+    return pc.all(later, min_count=0).as_py()
+
+
+def _apart(stretches: list[Stretch]) -> list[Stretch]:
+    """Stretches of a shard in order, those that overlap as one."""
+    found: list[Stretch] = []
+    for each in sorted(stretches, key=lambda s: (s.first_key, s.last_key)):
+        if found and each.first_key <= found[-1].last_key:
+            one = found[-1]
+            one.groups = [*one.groups, *each.groups]
+            if each.last_key >= one.last_key:
+                one.last_key, one.last_seq = each.last_key, each.last_seq
+        else:
+            found.append(each)
+    return found
 
 
 def _kept(held: OrderedDict, key, make):
@@ -258,6 +398,10 @@ def _kept(held: OrderedDict, key, make):
     return held[key]
 
 
+def _after(seq: str) -> dict:
+    return {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: seq}
+
+
 def _key(seq: str) -> str:
     return sequence_key(seq) if seq else ""
 
@@ -298,7 +442,7 @@ class ChangeFeedReader(DataSourceStreamReader):
     def __init__(self, options: FeedOptions):
         self._options = options
         self._loaded: set = set()
-        self._pages = PageListing(_PAGES.empty_table())
+        self._pages = PageListing(options.stream_name)
         self._files: OrderedDict = OrderedDict()
         self._columns: OrderedDict = OrderedDict()
         self._held = 0
@@ -328,8 +472,9 @@ class ChangeFeedReader(DataSourceStreamReader):
     def _refresh(self) -> None:
         new = self._new_directories("pages")
         if new:
-            parts = [self._rows(d, _PAGES.names).cast(_PAGES) for d in new]
-            self._pages = PageListing(pa.concat_tables([self._pages.left(), *parts]))
+            fs, _ = open_path(self._options.path)
+            for directory in new:
+                self._pages.load(fs, directory)
             self._loaded.update(new)
         listings = self._new_directories("shards")
         if listings:
@@ -344,34 +489,37 @@ class ChangeFeedReader(DataSourceStreamReader):
 
         All stored records are read, those of shards that a listing has dropped as well.
         """
-        pages, heads = self._pages, dict(progress)
-        for shard, (_, stop) in pages.shards.items():
+        heads = dict(progress)
+        for shard, stretches in sorted(self._pages.shards.items()):
             before = progress.get(shard, {})
-            first = pages.after(shard, _key(before.get(ITERATOR_POSITION, "")))
-            if first == stop:
+            key = _key(before.get(ITERATOR_POSITION, ""))
+            if not stretches or key >= stretches[-1].last_key:
                 continue
             if limit is None:
-                heads[shard] = self._head(stop - 1)
+                heads[shard] = _after(stretches[-1].last_seq)
                 continue
-            left = pages.records[first : min(stop, first + limit)].copy()
-            # A batch may have ended inside a page, which then has fewer rows left.
-            begin, read = int(pages.first_row[first]), 0
-            if _FILE in before and before[_FILE] == pages.files[pages.file[first]]:
-                read = before[_ROW] + 1 - begin if begin <= before[_ROW] < begin + left[0] else 0
-                left[0] -= read
-            upto = left.cumsum()
-            n = min(int(np.searchsorted(upto, limit)), len(upto) - 1)
-            heads[shard] = self._head(first + n)
-            if upto[n] > limit:
+            done, last = 0, None
+            for pages, first, end in self._pages.ahead(shard, key, limit + 1):
+                left = pages.records[first:end].copy()
+                # A batch may have ended inside a page, which then has fewer rows left.
+                read = 0
+                file, begin = self._pages.files[pages.file[first]], int(pages.first_row[first])
+                if last is None and before.get(_FILE) == file:
+                    read = before[_ROW] + 1 - begin if begin <= before[_ROW] < begin + left[0] else 0
+                    left[0] -= read
+                upto = left.cumsum() + done
+                n = min(int(np.searchsorted(upto, limit)), len(upto) - 1)
+                last, done = pages.last_seq[first + n].as_py(), int(upto[n])
+                if done >= limit:
+                    break
+            heads[shard] = _after(last)
+            if done > limit:
                 start = int(pages.first_row[first + n]) + (0 if n else read)
-                end = start + limit - int(upto[n] - left[n]) - 1
-                file = pages.files[pages.file[first + n]]
-                heads[shard] |= {ITERATOR_POSITION: self._sequence_at(file, end), _FILE: file, _ROW: end}
+                row = start + limit - int(upto[n] - left[n]) - 1
+                file = self._pages.files[pages.file[first + n]]
+                heads[shard] |= {ITERATOR_POSITION: self._sequence_at(file, row), _FILE: file, _ROW: row}
         return heads
 
-    def _head(self, page: int) -> dict:
-        return {ITERATOR_TYPE: AFTER_SEQUENCE_NUMBER, ITERATOR_POSITION: self._pages.last_seq[page].as_py()}
-
     def _sequence_at(self, file: str, row: int) -> str:
         """The sequence number in one row of a file; reads one column of one row group.
 
@@ -445,8 +593,7 @@ class ChangeFeedReader(DataSourceStreamReader):
         upto = {s: _key(at[ITERATOR_POSITION]) for s, at in last.items()}
         found: dict[str, tuple[dict, list]] = {}
         for shard in sorted(upto.keys() & self._pages.shards.keys()):
-            low, high = self._pages.after(shard, after.get(shard, "")), self._pages.upto(shard, upto[shard])
-            for file, run in self._pages.runs(low, high) if low < high else ():
+            for file, run in self._pages.between(shard, after.get(shard, ""), upto[shard]):
                 shards, runs = found.setdefault(file, ({}, []))
                 shards[shard] = None
                 runs.append(run)
@@ -462,7 +609,7 @@ class ChangeFeedReader(DataSourceStreamReader):
             self._pages.drop(shard, _key(at[ITERATOR_POSITION]))
 
     def stop(self) -> None:
-        self._pages = PageListing(_PAGES.empty_table())
+        self._pages = PageListing(self._options.stream_name)
         for source, _ in self._files.values():
             source.close(force=True)
         self._files.clear()

@@ -566,3 +566,43 @@ def test_planner_keeps_few_row_groups(spark, tmp_path, monkeypatch):
         at = end
         assert len(reader._columns) == 1 and reader._held == sum(c.nbytes for c in reader._columns.values())
     assert sorted(found) == [*range(1, 61), *range(100, 130)]
+
+
+@pytest.mark.parametrize("order", ["sorted", "mixed"])
+def test_planner_holds_few_pages(spark, tmp_path, monkeypatch, order):
+    # Listings of any order and of many pages; a row group is read again for the next pages of a shard.
+    from changefeed.sources import store, stream as module
+
+    plain = store._list_pages
+    if order == "mixed":
+        monkeypatch.setattr(store, "_list_pages", lambda *a: plain(*a).orderBy(F.rand(1)).repartition(3))
+    append_feed(feed_of(spark, {"a": 300, "b": 100}), str(tmp_path), page=1)
+    append_feed(feed_of(spark, {"b": 90, "c": 10}, first=500), str(tmp_path), page=3)
+    monkeypatch.setattr(module, "_NEAR_PAGES", 24)
+    monkeypatch.setattr(module, "_LISTED_BYTES", 1)
+    limits = {"executor.maxrecordperread": "20", "executor.maxfetchrecordspershard": "15"}
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon", **limits))
+    at, sizes, found = reader.initialOffset(), [], []
+    while (end := reader.latestOffset()) != at:
+        batch = rows_of(reader, at, end)
+        assert rows_of(reader, at, end) == batch
+        sizes.append(len(batch))
+        found += batch
+        reader.commit(end)
+        at = end
+        listing = reader._pages
+        assert all(len(pages.file) <= 9 for _, pages in listing._near.values()) and len(listing._read) <= 1
+        assert sum(len(of) for of in listing.shards.values()) <= 16
+    assert sorted(found) == [*range(1, 401), *range(500, 600)]
+    assert sizes == [50, *[40] * 8, 30, *[20] * 5]
+
+
+def test_planner_takes_numbers_that_repeat(spark, tmp_path):
+    # Pages of one number and records without one.
+    rows = feed_of(spark, {"a": 12}).withColumn(
+        "sequenceNumber", F.expr("case when sequenceNumber < 4 then null when sequenceNumber < 9 then '5' else sequenceNumber end")
+    )
+    append_feed(rows, str(tmp_path), page=2)
+    reader = ChangeFeedReader(options_of(tmp_path, startingposition="trim_horizon"))
+    at, end = reader.initialOffset(), reader.latestOffset()
+    assert rows_of(reader, at, end) == [5] * 5 + [9, 10, 11, 12]
